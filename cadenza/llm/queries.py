@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import token_records
+from . import simhash, token_records
 
 QUERIES = {
     "op1_token_records": token_records.op1_token_records,
+    "op4_simhash": simhash.op4_simhash,
 }
 
 ORACLE_SQL: dict[str, str] = {}
