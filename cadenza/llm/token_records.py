@@ -19,10 +19,14 @@ by text. An empty table gives no records. Other columns are ignored.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +36,7 @@ from pyspark.sql import functions as F
 from .common import table, work_folder
 
 TEXT_BYTES_PER_FILE = 32 << 20
-CACHED_CHUNKS = 400_000
+CACHED_CHUNKS = 300_000
 INDEX = "file int, ordinal int, offset long, length long, doc_id long, n_tokens long, start_in_file long, ids_crc32 long"
 
 _HEAD = struct.Struct("<QI")
@@ -40,6 +44,7 @@ _KEY = struct.Struct("<bqb")
 _CRC = struct.Struct("<I")
 #: A space before further white space: there a cut at every space could change the ids.
 _UNSAFE = re.compile(r" [\s\x85\xa0]")
+_MARKS = ".,;:!?"
 _SAFE_CUT = re.compile(r" (?=[^\s\x85\xa0])")
 
 
@@ -56,27 +61,83 @@ class ChunkEncoder:
     """
 
     def __init__(self, tokenizer_file: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks use the cores
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.tokenizer.encode_special_tokens = True
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
+        self.width = array(self.code).itemsize
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        tokens = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.spaced = np.zeros(max(tokens.values()) + 1, bool)
+        self.spaced[[i for t, i in tokens.items() if t.startswith("\u0120")]] = True  # the byte-level name of a space
+        self.marks = dict(zip(_MARKS, self._ids(list(_MARKS))))
+
+    def pack(self, ids: list[int]) -> bytes:
+        packed = array(self.code, ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [self.pack(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _word_ids(self, words: list[str]) -> list[bytes]:
+        """The ids of " " + word for each of ``words``, which hold no space: encoded as one text and cut at its spaces."""
+        packed = []
+        for i in range(0, len(words), 20_000):
+            part = words[i : i + 20_000]
+            text = " " + " ".join(part)
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
+            starts = np.flatnonzero(self.spaced[ids])
+            if len(starts) != len(part):  # never seen; then the slow way
+                packed += self._ids([" " + w for w in part])
+                continue
+            data, ends = self.pack(ids.tolist()), [*(starts[1:] * self.width).tolist(), len(ids) * self.width]
+            packed += [data[s:e] for s, e in zip((starts * self.width).tolist(), ends)]
+        return packed
+
+    def _learn(self, chunks: list[str]) -> dict[str, bytes]:
+        """The ids of chunks that ``known`` lacks. When ``known`` is full it becomes ``older``."""
+        new, older = set(chunks), self.older
+        found = {x: older[x] for x in new if x in older}
+        new.difference_update(found)
+        # a mark after a plain letter is a piece of its own, so the word before it needs encoding only once
+        marked = {x for x in new if x[-1:] in _MARKS and len(x) > 1 and x[-2] < "\u0250" and x[-2].isalpha()}
+        words = {x[:-1] for x in marked} | (new - marked)
+        found.update((x, self.known[x]) for x in words if x in self.known)
+        words.difference_update(found)
+        plain = [x for x in words if x and " " not in x]
+        found.update(zip(plain, self._word_ids(plain)))
+        rest = [x for x in words if x not in found]
+        found.update(zip(rest, self._ids([" " + x for x in rest])))
+        found.update((x, found[x[:-1]] + self.marks[x[-1]]) for x in marked)
+        if len(self.known) + len(found) > CACHED_CHUNKS:
+            self.older, self.known = self.known, {}
+        self.known.update(found)
+        return found
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         for i in range(0, len(texts), 256):
             cut = [_SAFE_CUT.split(t) if _UNSAFE.search(t) else t.split(" ") for t in texts[i : i + 256]]
             firsts = self._ids([c[0] for c in cut])
-            if len(self.known) > CACHED_CHUNKS:
-                self.known.clear()
-            new = list({x for c in cut for x in c[1:]}.difference(self.known))
-            self.known.update(zip(new, self._ids([" " + x for x in new])))
-            of = self.known.__getitem__
-            for first, chunks in zip(firsts, cut):
-                yield first + b"".join(map(of, chunks[1:]))
+            get = self.known.get
+            parts = [list(map(get, c)) for c in cut]
+            gaps = [[j for j, x in enumerate(p) if x is None and j] for p in parts]
+            found = self._learn([c[j] for c, g in zip(cut, gaps) for j in g])
+            for first, c, p, g in zip(firsts, cut, parts, gaps):
+                p[0] = first
+                for j in g:
+                    p[j] = found[c[j]]
+                yield b"".join(p)
+
+
+@lru_cache(1)
+def encoder_of(tokenizer_file: str) -> ChunkEncoder:
+    """One for each Python worker: what it knows serves the worker's later tasks too."""
+    return ChunkEncoder(tokenizer_file)
 
 
 def frame(doc_id: int | None, ids: bytes, width: int) -> bytes:
@@ -106,8 +167,8 @@ def write_token_records(docs: DataFrame, path: str, tokenizer_file: str, end_id:
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(tokenizer_file)
-        end, width = np.asarray([end_id], encoder.dtype).tobytes(), encoder.dtype.itemsize
+        encoder = encoder_of(tokenizer_file)
+        end, width = encoder.pack([end_id]), encoder.width
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
