@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import simhash, token_records
+from . import simhash, token_records, toxicity
 
 QUERIES = {
     "op1_token_records": token_records.op1_token_records,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op4_simhash": simhash.op4_simhash,
 }
 
