@@ -5,7 +5,7 @@ states): insult, threat, target, negation and reported speech. The insult transd
 and word beginnings with weights; the other four read closed word classes. A clause's score is the sum
 of its insult and threat weights, each lowered while the negation transducer is in scope, and the whole
 raised if the clause names a target and lowered if it reports what others said. A document's score is
-the sum over its clauses, mapped to 0..1 by a logistic curve.
+the sum over its clauses, mapped to 0..1 by a logistic curve that also knows the text's length.
 
 The insult arcs and the curve are learned from labelled rows that are not held out (crc32 of the doc_id
 as text, modulo 3, is not 1), at most ``MAX_TRAIN`` of them, drawn by hash. An arc is kept if
@@ -31,15 +31,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import table
+from .common import table, written
 
 MAX_TRAIN = 10_000
 MAX_ARCS = 20_000
 CUT = 0.7
 BEGINNINGS = (3, 4, 5, 6, 7)
-MOST, LEAST = 6.0, 2.5
+MOST, LEAST = 8.0, 2.5
 THREAT, NEGATED, TARGETED, REPORTED = 3.0, 0.3, 1.5, 0.5
 SCOPE = 3
+PURE = 0.7
+PRIOR = (2.5, 0.0, -4.0)
 CACHED_WORDS = 400_000
 
 # Closed classes in the four languages of the tables.
@@ -109,37 +111,43 @@ class Grammar:
         return total
 
 
-def _weights(counts: list[tuple[str, int, int]], toxic: int, clean: int) -> dict[str, float]:
+def _weights(counts: list[tuple[str, int, int]], toxic: int, clean: int, tried: int) -> dict[str, float]:
+    """tried: patterns that were counted; the more, the rarer by chance an arc must be."""
+    least = max(LEAST, math.log10(max(1, tried)))
     base = min(max(toxic / max(1, toxic + clean), 1e-6), 1 - 1e-6)
     found = {}
     for pattern, t, c in counts:
         share = t / (t + c)
-        if t >= 2 and share > 0.5:
+        if t >= 2 and share > PURE:
             k = share * math.log(share / base) + ((1 - share) * math.log((1 - share) / (1 - base)) if share < 1 else 0.0)
-            if (t + c) * k / math.log(10) >= LEAST:
+            if (t + c) * k / math.log(10) >= least:
                 found[pattern] = min(MOST, math.log((t + 0.5) / (toxic + 1)) - math.log((c + 0.5) / (clean + 1)))
     return dict(sorted(found.items(), key=lambda x: (-x[1], x[0]))[:MAX_ARCS])
 
 
-def _curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic curve, both pulled slightly towards (1.5, -4)."""
-    prior, theta = np.array([1.5, -4.0]), np.array([1.5, -4.0])
-    design = np.stack([x, np.ones_like(x)], axis=1)
+def _features(scores: list[float], texts: list[str | None]) -> np.ndarray:
+    """What the curve reads: the score and the length, as logarithms. A text's length in characters stands for its words."""
+    return np.stack([np.log1p(np.array(scores, float)), np.log1p(np.array([len(t or "") for t in texts], float)), np.ones(len(scores))], axis=1)
+
+
+def _curve(design: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Coefficients of a logistic curve, pulled slightly towards PRIOR."""
+    prior = theta = np.array(PRIOR)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(design @ theta, -30, 30)))
-        step = np.linalg.solve((design * (p * (1 - p))[:, None]).T @ design + 0.1 * np.eye(2), design.T @ (p - y) + 0.1 * (theta - prior))
+        step = np.linalg.solve((design * (p * (1 - p))[:, None]).T @ design + 0.1 * np.eye(3), design.T @ (p - y) + 0.1 * (theta - prior))
         theta = theta - step
         if np.abs(step).max() < 1e-6:
             break
-    return float(theta[0]), float(theta[1])
+    return theta
 
 
 def held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], float, float]:
-    """(arcs, slope, offset), learned from at most MAX_TRAIN labelled rows that are not held out."""
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], np.ndarray]:
+    """(arcs, curve), learned from at most MAX_TRAIN labelled rows that are not held out."""
     by_id = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     train = by_id.where(~held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_TRAIN)
     train = docs.sparkSession.createDataFrame(train.toPandas(), "doc_id long, toxic int")  # bounded by MAX_TRAIN
@@ -158,29 +166,32 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], float, fl
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys]), pa.array([k[1] + 2 * k[2] for k in keys], pa.int32()), pa.array(list(found.values()), pa.int64())], ["pattern", "kind", "n"])
 
     counted = rows.mapInArrow(count, "pattern string, kind int, n long").groupBy("pattern").agg(*(F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in range(4)))
+    counted = written(counted, "patterns")
+    tried = counted.where("n0 + n1 + n2 + n3 >= 2").count()
     # arcs have at least two toxic documents, mostly toxic ones: few rows, bounded by the training rows
     few = counted.where("pattern = '' or (n1 + n3 >= 2 and n1 + n3 > n0 + n2) or (n1 >= 2 and n1 > n0) or (n3 >= 2 and n3 > n2)").collect()
     totals = next(((r.n0, r.n1, r.n2, r.n3) for r in few if r.pattern == ""), (0, 0, 0, 0))
     few = [r for r in few if r.pattern]
-    arcs = _weights([(r.pattern, r.n1 + r.n3, r.n0 + r.n2) for r in few], totals[1] + totals[3], totals[0] + totals[2])
-    halves = [_weights([(r.pattern, r.n1, r.n0) for r in few if r.n1], totals[1], totals[0]), _weights([(r.pattern, r.n3, r.n2) for r in few if r.n3], totals[3], totals[2])]
+    arcs = _weights([(r.pattern, r.n1 + r.n3, r.n0 + r.n2) for r in few], totals[1] + totals[3], totals[0] + totals[2], tried)
+    halves = [_weights([(r.pattern, r.n1, r.n0) for r in few if r.n1], totals[1], totals[0], tried), _weights([(r.pattern, r.n3, r.n2) for r in few if r.n3], totals[3], totals[2], tried)]
     shared = docs.sparkSession.sparkContext.broadcast(halves)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grammars = [Grammar(x) for x in shared.value]
         for batch in batches:
-            scores = [grammars[1 - half].score(text) for text, half in zip(batch.column("text").to_pylist(), batch.column("half").to_pylist())]
-            yield pa.RecordBatch.from_arrays([pa.array(scores, pa.float64()), batch.column("toxic")], ["score", "toxic"])
+            texts = batch.column("text").to_pylist()
+            x = _features([grammars[1 - half].score(t) for t, half in zip(texts, batch.column("half").to_pylist())], texts)
+            yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1]), batch.column("toxic")], ["score", "length", "toxic"])
 
-    scored = rows.mapInArrow(score, "score double, toxic int").toPandas()  # a row for each training row
+    scored = rows.mapInArrow(score, "score double, length double, toxic int").toPandas()  # a row for each training row
     if scored.empty:
-        return arcs, 1.5, -4.0
-    return arcs, *_curve(np.log1p(scored["score"].to_numpy()), scored["toxic"].to_numpy(float))
+        return arcs, np.array(PRIOR)
+    return arcs, _curve(np.column_stack([scored["score"], scored["length"], np.ones(len(scored))]), scored["toxic"].to_numpy(float))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` with ``toxicity`` (0..1)."""
-    arcs, slope, offset = fit(docs, labels)
+    arcs, curve = fit(docs, labels)
     shared = docs.sparkSession.sparkContext.broadcast(arcs)
     name = "toxicity"
     while name in docs.columns:
@@ -189,8 +200,9 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grammar = Grammar(shared.value)
         for batch in batches:
-            scores = np.array([grammar.score(t.as_py()) for t in batch.column("text")], float)
-            yield batch.append_column(name, pa.array(1 / (1 + np.exp(-np.clip(slope * np.log1p(scores) + offset, -30, 30))), pa.float64()))
+            texts = batch.column("text").to_pylist()
+            x = _features([grammar.score(t) for t in texts], texts)
+            yield batch.append_column(name, pa.array(1 / (1 + np.exp(-np.clip(x @ curve, -30, 30))), pa.float64()))
 
     return docs.mapInArrow(score, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
