@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import simhash, token_records, toxicity
+from . import mixing, simhash, token_records, toxicity, url_filter
 
 QUERIES = {
     "op1_token_records": token_records.op1_token_records,
+    "op2_mixing": mixing.op2_mixing,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_simhash": simhash.op4_simhash,
+    "op9_url_filter": url_filter.op9_url_filter,
 }
 
 ORACLE_SQL: dict[str, str] = {}
