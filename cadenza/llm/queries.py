@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from . import mixing, simhash, token_records, toxicity, url_filter
+from . import mixing, simhash, token_records, topk, toxicity, url_filter, warc
 
 QUERIES = {
     "op1_token_records": token_records.op1_token_records,
     "op2_mixing": mixing.op2_mixing,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_simhash": simhash.op4_simhash,
+    "op6_warc": warc.op6_warc,
+    "op7_topk": topk.op7_topk,
     "op9_url_filter": url_filter.op9_url_filter,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op6_warc": warc.OP6_SQL,
+    "op7_topk": topk.OP7_SQL,
+}
