@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing, simhash, token_records, topk, toxicity, url_filter, warc
+from . import decontaminate, mixing, simhash, token_records, topk, toxicity, url_filter, warc
 
 QUERIES = {
     "op1_token_records": token_records.op1_token_records,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_simhash": simhash.op4_simhash,
     "op6_warc": warc.op6_warc,
     "op7_topk": topk.op7_topk,
+    "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_url_filter": url_filter.op9_url_filter,
 }
 
