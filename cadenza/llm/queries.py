@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, simhash, token_records, topk, toxicity, url_filter, warc
+from . import decontaminate, mixing, secrets, simhash, token_records, topk, toxicity, url_filter, warc
 
 QUERIES = {
     "op1_token_records": token_records.op1_token_records,
     "op2_mixing": mixing.op2_mixing,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_simhash": simhash.op4_simhash,
+    "op5_secrets": secrets.op5_secrets,
     "op6_warc": warc.op6_warc,
     "op7_topk": topk.op7_topk,
     "op8_decontaminate": decontaminate.op8_decontaminate,
