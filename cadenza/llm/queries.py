@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, secrets, simhash, token_records, topk, toxicity, url_filter, warc
+from . import decontaminate, mixing, secrets, simhash, substring_dedup, token_records, topk, toxicity, url_filter, warc
 
 QUERIES = {
     "op1_token_records": token_records.op1_token_records,
@@ -14,9 +14,11 @@ QUERIES = {
     "op7_topk": topk.op7_topk,
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_url_filter": url_filter.op9_url_filter,
+    "op10_substring_dedup": substring_dedup.op10_substring_dedup,
 }
 
 ORACLE_SQL = {
     "op6_warc": warc.OP6_SQL,
     "op7_topk": topk.OP7_SQL,
+    "op10_substring_dedup": substring_dedup.OP10_SQL,
 }
