@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # The states of a reconciled row.
 STATES = ("NEW", "CHANGED", "UNCHANGED", "MISSING")
@@ -16,25 +20,18 @@ def canonical_json(payload: Column, schema: str | None = None) -> Column:
     """
     if schema is not None:
         return F.to_json(F.from_json(payload, schema))
-    return _canonical()(payload)
-
-
-def _canonical():
-    import json
-
-    import pandas as pd
+    return _sorted_keys(payload)
 
-    @F.pandas_udf("string")
-    def sorted_keys(texts: pd.Series) -> pd.Series:
-        def one(text):
-            try:
-                return None if text is None else json.dumps(json.loads(text), sort_keys=True, separators=(",", ":"))
-            except ValueError:
-                return text
 
-        return texts.map(one)
+@F.pandas_udf(StringType())
+def _sorted_keys(texts: pd.Series) -> pd.Series:
+    def one(text):
+        try:
+            return None if text is None else json.dumps(json.loads(text), sort_keys=True, separators=(",", ":"))
+        except ValueError:
+            return text
 
-    return sorted_keys
+    return texts.map(one)
 
 
 def baseline(df: DataFrame, at: str, now: str, days: int) -> DataFrame:

@@ -22,27 +22,34 @@ class Raw:
     runs: DataFrame
 
 
-def build_silver(raw: Raw, manual: DataFrame, overrides: DataFrame, gear_id: str) -> dict[str, DataFrame]:
-    """All silver tables and the power control row."""
-    evidence = silver.power_evidence(raw.activities, raw.streams, raw.laps, raw.details)
-    control = silver.power_cutover(silver.cutover_candidates(evidence, gear_id), manual)
+def saved(df: DataFrame, path: str) -> DataFrame:
+    """Each layer is written and read again, so plans stay short and what follows reads columns, not queries."""
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def build_silver(raw: Raw, manual: DataFrame, overrides: DataFrame, gear_id: str, root: str) -> dict[str, DataFrame]:
+    """All silver tables and the power control row, written under ``root``."""
+    keep = lambda name, df: saved(df, f"{root}/{name}")
+    evidence = keep("power_evidence", silver.power_evidence(raw.activities, raw.streams, raw.laps, raw.details))
+    control = keep("power_source_classification", silver.power_cutover(silver.cutover_candidates(evidence, gear_id), manual))
     laps, rejects = silver.type_laps(raw.laps, raw.activities)
-    return {
+    tables = {
         "silver_activities": silver.silver_activities(silver.classify_power(evidence, control, overrides)),
         "silver_activity_streams": silver.widen_streams(raw.streams),
         "silver_activity_laps": laps,
         "silver_activity_laps_rejects": rejects,
         "silver_gear": silver.silver_gear(raw.gear, raw.runs),
-        "power_source_classification": control,
     }
+    return {n: keep(n, t) for n, t in tables.items()} | {"power_source_classification": control}
 
 
-def build_gold(tables: dict[str, DataFrame], durations=gold.DURATIONS) -> dict[str, DataFrame]:
-    """Everything evaluated anew."""
+def build_gold(tables: dict[str, DataFrame], root: str, durations=gold.DURATIONS) -> dict[str, DataFrame]:
+    """Everything evaluated anew, written under ``root``."""
     activities = tables["silver_activities"]
-    efforts = gold.activity_best_efforts(tables["silver_activity_streams"], activities, durations)
-    sources = gold.achievement_sources(efforts, activities, durations)
-    return {"gold_activity_best_efforts": efforts, "gold_activity_achievements": gold.achievements(sources)}
+    efforts = saved(gold.activity_best_efforts(tables["silver_activity_streams"], activities, durations), f"{root}/gold_activity_best_efforts")
+    sources = saved(gold.achievement_sources(efforts, activities, durations), f"{root}/achievement_sources")
+    return {"gold_activity_best_efforts": efforts, "gold_activity_achievements": saved(gold.achievements(sources), f"{root}/gold_activity_achievements")}
 
 
 def update_efforts(existing: DataFrame, streams: DataFrame, activities: DataFrame, affected: DataFrame, durations=gold.DURATIONS) -> DataFrame:
