@@ -141,7 +141,8 @@ def mix(docs: DataFrame, block: int = BLOCK, seed: int = SEED) -> DataFrame:
     here = placed(sized)
     times = draw(sources, block, seed).groupBy("source", "index").agg(F.count("*").alias("times")).select(F.col("source").alias("s"), F.col("index").alias("i"), "times")
     p = pieces(here, block)
-    taken = p.join(times, p.source.eqNullSafe(times.s) & (p.index == times.i)).groupBy("doc_id", "source", "at").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
+    # planners take an exploded table for as small as what it came from; a merge join needs no estimate
+    taken = p.join(times.hint("merge"), p.source.eqNullSafe(times.s) & (p.index == times.i)).groupBy("doc_id", "source", "at").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
     taken = taken.select(F.col("doc_id").alias("d"), F.col("source").alias("s"), F.col("at").alias("a"), "taken")
     joined = here.join(taken, here.doc_id.eqNullSafe(taken.d) & here.source.eqNullSafe(taken.s) & (here.at == taken.a) & (here.size > 0), "left")
     named = sources.select(F.col("source").alias("of"), "source_size", "target")
@@ -159,7 +160,7 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, seed: int = SEED) -> Da
     here = placed(sized)
     slots = draw(sources, block, seed).select(F.col("source").alias("s"), F.col("index").alias("i"), "pass")
     p = pieces(here, block)
-    chosen = p.join(slots, p.source.eqNullSafe(slots.s) & (p.index == slots.i)).groupBy("doc_id", "source", "pass").agg(F.array_sort(F.collect_set(F.struct("from_word", "words"))).alias("parts"), F.first("size").alias("size"))
+    chosen = p.join(slots.hint("merge"), p.source.eqNullSafe(slots.s) & (p.index == slots.i)).groupBy("doc_id", "source", "pass").agg(F.array_sort(F.collect_set(F.struct("from_word", "words"))).alias("parts"), F.first("size").alias("size"))
     chosen = chosen.select(F.col("doc_id").alias("d"), F.col("source").alias("s"), F.col("pass"), "parts", F.col("size").alias("whole"))
     joined = docs.join(chosen, docs.doc_id.eqNullSafe(chosen.d) & docs.source.eqNullSafe(chosen.s))
     words = F.regexp_extract_all("text", F.lit(f"({WORD})"))
