@@ -51,14 +51,14 @@ def fingerprint(text: str | None) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint as a signed long."""
+    """(doc_id, tag, fp): tag is a hash of the text; fp is the fingerprint as a signed long."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([fingerprint(t.as_py()) for t in batch.column("text")], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tag"), pa.array(fps)], ["doc_id", "tag", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(hashed, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("tag"), "text").mapInArrow(hashed, "doc_id long, tag long, fp long")
 
 
 def links(fps: DataFrame) -> DataFrame:
@@ -70,24 +70,33 @@ def links(fps: DataFrame) -> DataFrame:
     asked = held.select(F.col("b").alias("a"), F.col("segment").alias("own"), F.explode(masks).alias("mask"))
     asked = asked.select("a", F.col("own").bitwiseXOR(F.col("mask")).alias("segment"))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS
-    return asked.join(held, "segment").where((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
+    return asked.join(held.hint("merge"), "segment").where((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
 
 
-def simhash_components(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp, component_id) of each document; the id is the smallest one that links reach."""
+def _grouped(docs: DataFrame) -> DataFrame:
+    """(doc_id, tag, fp, root, component_id) of each document; a root is a component's least fingerprint."""
     hashed = written(fingerprints(docs), "fingerprints")
     distinct = written(hashed.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     member = components(links(distinct.select("fp")))
     rooted = distinct.join(member, distinct.fp == member.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return hashed.join(rooted.join(least, "root").select("fp", "component_id"), "fp")
+    return hashed.join(rooted.join(least, "root").select("fp", "root", "component_id"), "fp")
+
+
+def simhash_components(docs: DataFrame) -> DataFrame:
+    """(doc_id, fp, component_id) of each document; the id is the smallest one that links reach."""
+    return _grouped(docs).select("doc_id", "fp", "component_id")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents whose id is the smallest of their component; of rows with equal id, one."""
-    keep = simhash_components(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept")).distinct()
-    held = docs.join(keep, docs.doc_id.eqNullSafe(keep.kept), "left_semi")
-    return held.dropDuplicates(["doc_id"])
+    """One document of each component: the one with the smallest id (of equal ids, with the smallest hash of its
+    text; a document without an id only where none has one)."""
+    row = [F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("_id"), F.col("doc_id").isNull().alias("_none")]
+    first = _grouped(docs).groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), "tag")).alias("k"))
+    keep = first.select(F.col("k.id").alias("_id"), F.col("k.none").alias("_none"), F.col("k.tag").alias("_tag"))
+    marked = docs.select(*docs.columns, *row, F.xxhash64("text").alias("_tag"))
+    on = ["_id", "_none", "_tag"]
+    return marked.join(keep, on, "left_semi").dropDuplicates(on).select(*docs.columns)
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
