@@ -212,3 +212,19 @@ def schema_contract(df: DataFrame, contract: list[dict], keys: list[str], spark)
         repeated = unique_key(df, keys).agg(F.count("*").alias("n")).where("n > 0")
         out = out.unionByName(repeated.select(F.lit(",".join(keys)).alias("column_name"), F.concat_ws(" ", F.col("n").cast("string"), F.lit("repeated keys")).alias("finding")))
     return out
+
+
+def payload_presence(df: DataFrame, payload: str, keys: list[str]) -> DataFrame:
+    """Rows whose payload is missing or can't be read."""
+    from ..functions.json import parse_state
+
+    return df.select(*keys, parse_state(F.col(payload)).alias("state")).where("state <> 'ok'")
+
+
+def checksum_matches(df: DataFrame, payload: str, checksum: str, keys: list[str]) -> DataFrame:
+    return column_matches(df, {checksum: F.sha2(payload, 256)}, keys)
+
+
+def coordinate_precision(df: DataFrame, text: str, digits: int, keys: list[str]) -> DataFrame:
+    """Rows whose coordinate, as text, has fewer decimal places."""
+    return df.where(F.col(text).isNotNull() & ~F.col(text).rlike(rf"^-?\d+\.\d{{{digits},}}$")).select(*keys, text)

@@ -14,7 +14,7 @@ from .operators import joins as J
 from .operators import reconcile as R
 from .operators import upsert as U
 from .operators import windows as W
-from .plans import reports, silver
+from .plans import gold, reports, silver
 from .quality import families as V
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -184,10 +184,10 @@ def implication(t):
     return V.implies(t("lineitem"), F.col("l_returnflag") == "R", F.col("l_linestatus") == "F").select("l_orderkey", "l_linenumber")
 
 
-@query("WITH c AS (SELECT user_id, count(*) AS k FROM events GROUP BY 1) SELECT user_id, CAST(n AS INTEGER) AS n FROM c, (SELECT unnest([5, 50, 100, 150]) AS n) WHERE n <= k AND NOT (n = 50 AND user_id % 2 = 0)")
+@query("WITH c AS (SELECT user_id, count(*) AS k FROM events GROUP BY 1) SELECT user_id, CAST(n AS INTEGER) AS n FROM c, (SELECT unnest([5, 50, 100, 150]) AS n) WHERE n <= k AND NOT (n = 50 AND k >= 100)")
 def coverage_expected(t):
     counts = t("events").groupBy("user_id").agg(F.count("*").alias("k"))
-    there = J.range_expand(counts.where("user_id % 2 = 0"), "k", [50], "n")
+    there = J.range_expand(counts.where("k >= 100"), "k", [50], "n")
     return V.coverage(counts, "user_id", "k", there, [5, 50, 100, 150], "n")
 
 
@@ -217,12 +217,12 @@ def _domains(t):
 
 
 @query("""
-WITH e AS (SELECT CAST(ts AS DATE) AS day, sum(value) AS v FROM events WHERE event_type = 'error' AND user_id % 7 = 0 GROUP BY 1),
+WITH e AS (SELECT CAST(ts AS DATE) AS day, sum(value) AS v FROM events WHERE event_type = 'error' AND value > 40 GROUP BY 1),
 d AS (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM e)
 SELECT day, round(coalesce(v, 0), 4) AS value FROM d LEFT JOIN e USING (day)
 """, texts=('day',))
 def densify_daily(t):
-    e = t("events").where("event_type = 'error' and user_id % 7 = 0").select(F.to_date("ts").alias("day"), "value")
+    e = t("events").where("event_type = 'error' and value > 40").select(F.to_date("ts").alias("day"), "value")
     return A.densify_daily(e, "day", "value", 0.0).select("day", r("value"))
 
 
@@ -232,8 +232,8 @@ def multi_source_per_key(t):
 
 
 @query("""
-WITH i AS (SELECT c_custkey AS k, '{"b": ' || CASE WHEN c_custkey % 10 = 0 THEN '1' ELSE '0' END || '}' AS p FROM customer WHERE c_custkey % 3 <> 0),
-e AS (SELECT c_custkey AS k, '{"b": 0}' AS p, CASE c_custkey % 4 WHEN 0 THEN 'FAILED' WHEN 1 THEN 'PENDING' ELSE 'SUCCESS' END AS s FROM customer WHERE c_custkey % 5 <> 0)
+WITH i AS (SELECT c_custkey AS k, '{"b": ' || CASE WHEN c_nationkey = 3 THEN '1' ELSE '0' END || '}' AS p FROM customer WHERE c_acctbal > 0),
+e AS (SELECT c_custkey AS k, '{"b": 0}' AS p, CASE c_mktsegment WHEN 'BUILDING' THEN 'FAILED' WHEN 'MACHINERY' THEN 'PENDING' ELSE 'SUCCESS' END AS s FROM customer WHERE c_nationkey <> 7)
 SELECT k, CASE WHEN e.p IS NULL THEN 'NEW' WHEN i.p IS NULL THEN 'MISSING' WHEN i.p = e.p THEN 'UNCHANGED' ELSE 'CHANGED' END AS reconciliation_status,
   CASE WHEN e.p IS NULL THEN 'INCOMPLETE' WHEN s = 'FAILED' THEN 'FAILED' WHEN s = 'PENDING' THEN 'INCOMPLETE' ELSE 'COMPLETE' END AS child_status,
   coalesce(i.p <> e.p, FALSE) AS payload_changed, i.p IS NOT NULL AND (e.p IS NULL OR i.p <> e.p OR s <> 'SUCCESS') AS repair_s
@@ -241,17 +241,18 @@ FROM i FULL JOIN e USING (k)
 """)
 def reconcile_sources(t):
     c = t("customer").withColumnRenamed("c_custkey", "k")
-    incoming = c.where("k % 3 <> 0").select("k", F.concat(F.lit('{"b": '), F.when(F.col("k") % 10 == 0, "1").otherwise("0"), F.lit("}")).alias("p"))
-    status = F.when(F.col("k") % 4 == 0, "FAILED").when(F.col("k") % 4 == 1, "PENDING").otherwise("SUCCESS")
-    return R.classify_sources(incoming, c.where("k % 5 <> 0").select("k", F.lit('{"b":0}').alias("p"), status.alias("s")), "k", "p", ["s"], "b int")
+    incoming = c.where("c_acctbal > 0").select("k", F.concat(F.lit('{"b": '), F.when(F.col("c_nationkey") == 3, "1").otherwise("0"), F.lit("}")).alias("p"))
+    status = F.when(F.col("c_mktsegment") == "BUILDING", "FAILED").when(F.col("c_mktsegment") == "MACHINERY", "PENDING").otherwise("SUCCESS")
+    return R.classify_sources(incoming, c.where("c_nationkey <> 7").select("k", F.lit('{"b":0}').alias("p"), status.alias("s")), "k", "p", ["s"], "b int")
 
 
 def _customer_halves(t):
-    c = t("customer").select("c_custkey", "c_name", "c_acctbal")
-    return c.where("c_custkey % 3 <> 0"), c.where("c_custkey % 2 = 0").withColumn("c_acctbal", F.when(F.col("c_custkey") % 10 == 0, F.lit(None)).otherwise(F.col("c_acctbal")))
+    c, columns = t("customer"), ["c_custkey", "c_name", "c_acctbal"]
+    newer = c.where("c_nationkey < 15").withColumn("c_acctbal", F.when(F.col("c_acctbal") <= 5000, F.col("c_acctbal")))
+    return c.where("c_mktsegment <> 'BUILDING'").select(*columns), newer.select(*columns)
 
 
-HALVES = "WITH t AS (SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey % 3 <> 0), s AS (SELECT c_custkey, c_name, CASE WHEN c_custkey % 10 <> 0 THEN c_acctbal END AS c_acctbal FROM customer WHERE c_custkey % 2 = 0)"
+HALVES = "WITH t AS (SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_mktsegment <> 'BUILDING'), s AS (SELECT c_custkey, c_name, CASE WHEN c_acctbal <= 5000 THEN c_acctbal END AS c_acctbal FROM customer WHERE c_nationkey < 15)"
 
 
 @query(HALVES + """ SELECT c_custkey, coalesce(s.c_name, t.c_name) AS c_name, CASE WHEN s.c_custkey IS NULL THEN t.c_acctbal ELSE s.c_acctbal END AS c_acctbal,
@@ -314,22 +315,22 @@ def population_profile(t):
     return A.population_profile(t("customer"), ["c_custkey", "c_mktsegment", "c_nationkey"]).select("column_name", "rows", "non_null", "distinct_values")
 
 
-SNAPSHOTS = "WITH b AS (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS day, o_totalprice AS v, o_orderstatus AS p FROM orders WHERE o_orderkey % 5 <> 0), a AS (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) + CAST(CASE WHEN o_orderkey % 11 = 0 THEN 1 ELSE 0 END AS INTEGER) AS day, o_totalprice AS v, CASE WHEN o_orderkey % 13 = 0 THEN 'X' ELSE o_orderstatus END AS p FROM orders WHERE o_orderkey % 7 <> 0)"
+SNAPSHOTS = "WITH b AS (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS day, o_totalprice AS v, o_orderstatus AS p FROM orders WHERE o_orderpriority <> '5-LOW'), a AS (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) + CAST(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS INTEGER) AS day, o_totalprice AS v, CASE WHEN o_totalprice > 200000 THEN 'X' ELSE o_orderstatus END AS p FROM orders WHERE o_orderstatus <> 'P')"
 
 
 def _snapshots(t):
-    o = t("orders").select(F.col("o_orderkey").alias("k"), F.to_date("o_orderdate").alias("day"), F.col("o_totalprice").alias("v"), F.col("o_orderstatus").alias("p"))
-    later = o.where("k % 7 <> 0").withColumns({"day": F.date_add("day", F.when(F.col("k") % 11 == 0, 1).otherwise(0)), "p": F.when(F.col("k") % 13 == 0, "X").otherwise(F.col("p"))})
-    return o.where("k % 5 <> 0"), later
+    o = t("orders").select(F.col("o_orderkey").alias("k"), F.to_date("o_orderdate").alias("day"), F.col("o_totalprice").alias("v"), F.col("o_orderstatus").alias("p"), "o_orderpriority")
+    later = o.where("p <> 'P'").withColumns({"day": F.date_add("day", F.when(F.col("o_orderpriority") == "1-URGENT", 1).otherwise(0)), "p": F.when(F.col("v") > 200000, "X").otherwise(F.col("p"))})
+    return o.where("o_orderpriority <> '5-LOW'").drop("o_orderpriority"), later.drop("o_orderpriority")
 
 
 @query(SNAPSHOTS + """ SELECT k, CASE WHEN b.k IS NULL THEN 'insert' WHEN a.k IS NULL THEN 'delete_or_exclude' ELSE 'update' END AS change_type, b.day AS activity_date_before, a.day AS activity_date_after,
-b.k IS NULL OR a.k IS NULL OR b.day <> a.day OR b.p <> a.p AS silver_activities_changed, k % 17 = 0 AS silver_streams_changed, b.p IS DISTINCT FROM a.p AS power_classification_changed,
-least(coalesce(b.day, a.day), coalesce(a.day, b.day)) AS dependency_start_date FROM b FULL JOIN a USING (k) WHERE b.k IS NULL OR a.k IS NULL OR b.day <> a.day OR b.p <> a.p OR k % 17 = 0""", texts=('activity_date_before', 'activity_date_after', 'dependency_start_date'))
+b.k IS NULL OR a.k IS NULL OR b.day <> a.day OR b.p <> a.p AS silver_activities_changed, coalesce(b.v, a.v) < 10000 AS silver_streams_changed, b.p IS DISTINCT FROM a.p AS power_classification_changed,
+least(coalesce(b.day, a.day), coalesce(a.day, b.day)) AS dependency_start_date FROM b FULL JOIN a USING (k) WHERE b.k IS NULL OR a.k IS NULL OR b.day <> a.day OR b.p <> a.p OR coalesce(b.v, a.v) < 10000""", texts=('activity_date_before', 'activity_date_after', 'dependency_start_date'))
 def change_rows(t):
     before, after = (d.withColumn("sig", keys.row_signature(F.col("day"), F.col("v"), F.col("p"))) for d in _snapshots(t))
-    ids = before.select("k").unionByName(after.select("k"))
-    return I.change_rows(ids, before, after, "k", "day", ["p"], ids.where("k % 17 = 0"))
+    ids = before.select("k", "v").unionByName(after.select("k", "v"))
+    return I.change_rows(ids, before, after, "k", "day", ["p"], ids.where("v < 10000"))
 
 
 @query(SNAPSHOTS + " SELECT k FROM b FULL JOIN a USING (k) WHERE b.k IS NULL OR a.k IS NULL OR b.day <> a.day OR b.p <> a.p")
@@ -338,15 +339,15 @@ def symmetric_diff(t):
 
 
 @query("""
-WITH e AS (SELECT l_orderkey AS k, count(*) + CAST(l_orderkey % 9 = 0 AS INTEGER) AS expected_rows FROM lineitem GROUP BY 1),
-a AS (SELECT l_orderkey AS k, count(*) AS n, count(*) FILTER (WHERE l_linestatus <> 'F') AS stale FROM lineitem WHERE l_orderkey % 8 <> 0 GROUP BY 1)
+WITH e AS (SELECT l_orderkey AS k, count(*) AS expected_rows FROM lineitem GROUP BY 1),
+a AS (SELECT l_orderkey AS k, count(*) AS n, count(*) FILTER (WHERE l_linestatus <> 'F') AS stale FROM lineitem WHERE l_tax < 0.07 GROUP BY 1)
 SELECT k, expected_rows, coalesce(n, 0) AS actual_rows, CASE WHEN n IS NULL THEN 'missing' WHEN n <> expected_rows THEN 'incomplete' ELSE 'stale_version' END AS reason
 FROM e LEFT JOIN a USING (k) WHERE n IS NULL OR n <> expected_rows OR stale > 0
 """)
 def repair_plan(t):
     l = t("lineitem").withColumnRenamed("l_orderkey", "k")  # noqa: E741
-    expected = l.groupBy("k").agg(F.count("*").alias("n")).select("k", (F.col("n") + (F.col("k") % 9 == 0).cast("int")).alias("expected_rows"))
-    return I.repair_plan(expected, l.where("k % 8 <> 0"), ["k"], version=("l_linestatus", "F"))
+    expected = l.groupBy("k").agg(F.count("*").alias("expected_rows"))
+    return I.repair_plan(expected, l.where("l_tax < 0.07"), ["k"], version=("l_linestatus", "F"))
 
 
 @query("""
@@ -387,9 +388,103 @@ def duration_text(t):
 
 
 @query("""
-WITH p AS (SELECT p_partkey AS k, p_name AS n, CAST(p_size AS DOUBLE) AS v FROM part), q AS (SELECT p_partkey AS k, p_name AS n, CAST(CASE WHEN p_partkey % 6 = 0 THEN p_size + 1 ELSE p_size END AS DOUBLE) AS v FROM part WHERE p_partkey % 4 <> 0)
+WITH p AS (SELECT p_partkey AS k, p_name AS n, CAST(p_size AS DOUBLE) AS v FROM part), q AS (SELECT p_partkey AS k, p_name AS n, CAST(CASE WHEN p_retailprice > 1500 THEN p_size + 1 ELSE p_size END AS DOUBLE) AS v FROM part WHERE p_size > 5)
 SELECT k, CASE WHEN q.k IS NULL THEN 'only_before' WHEN q.v = p.v THEN 'equal' ELSE 'mismatched' END AS difference FROM p LEFT JOIN q USING (k)
 """)
 def compare_facts(t):
-    p = t("part").select(F.col("p_partkey").alias("k"), F.col("p_name").alias("n"), F.col("p_size").cast("double").alias("v"))
-    return I.compare_facts(p, p.where("k % 4 <> 0").withColumn("v", F.when(F.col("k") % 6 == 0, F.col("v") + 1).otherwise(F.col("v"))), ["k"], ["n", "v"])
+    p = t("part").select(F.col("p_partkey").alias("k"), F.col("p_name").alias("n"), F.col("p_size").cast("double").alias("v"), "p_retailprice")
+    return I.compare_facts(p, p.where("v > 5").withColumn("v", F.when(F.col("p_retailprice") > 1500, F.col("v") + 1).otherwise(F.col("v"))), ["k"], ["n", "v"])
+
+
+@query("SELECT c_custkey, c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 200000) AS has_large FROM customer")
+def exists_flag(t):
+    large = t("orders").where("o_totalprice > 200000").withColumnRenamed("o_custkey", "c_custkey")
+    return J.exists_flag(t("customer"), large, ["c_custkey"], "has_large").select("c_custkey", "has_large")
+
+
+@query("""
+WITH l AS (SELECT user_id, event_id, value, count(value) OVER w AS prior, quantile_cont(value, 0.5) OVER w AS m FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT user_id, event_id FROM l WHERE prior >= 5 AND value > greatest(60, 1.5 * m)
+""")
+def slow_batches(t):
+    return A.slow_batches(t("events"), "user_id", "event_id", "value", factor=1.5).where("is_slow").select("user_id", "event_id")
+
+
+@query("""
+WITH r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS i FROM events QUALIFY i <= 10),
+h AS (SELECT user_id, sum(event_id) FILTER (WHERE i > 5) / sum(value) FILTER (WHERE i > 5) AS a, sum(event_id) FILTER (WHERE i <= 5) / sum(value) FILTER (WHERE i <= 5) AS b FROM r GROUP BY 1)
+SELECT user_id, CASE WHEN b / a - 1 IS NULL THEN 'unknown' WHEN b / a - 1 > 0.1 THEN 'improving' WHEN b / a - 1 < -0.1 THEN 'degrading' ELSE 'stable' END AS trend FROM h
+""")
+def throughput_trend(t):
+    return A.throughput_trend(t("events"), "user_id", "event_id", "event_id", "value").select("user_id", "trend")
+
+
+@query("SELECT user_id, event_id, round(sum(event_id) OVER w / sum(value) OVER w, 4) AS rows_per_second FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)")
+def rolling_throughput(t):
+    found = A.rolling_throughput(t("events").withColumn("left", F.lit(0)), "user_id", "event_id", "event_id", "value", "left")
+    return found.select("user_id", "event_id", r("rows_per_second"))
+
+
+@query("""
+WITH d AS (SELECT ps, sum(q) AS q FROM (SELECT l_orderkey || '/' || l_partkey AS ps, l_quantity AS q FROM lineitem WHERE l_tax < 0.06) GROUP BY 1),
+p AS (SELECT ps, sum(q) AS q FROM (SELECT l_orderkey || '/' || l_partkey AS ps, CASE WHEN l_discount > 0.08 THEN l_quantity + 1 ELSE l_quantity END AS q FROM lineitem WHERE l_returnflag <> 'R') GROUP BY 1)
+SELECT ps, CASE WHEN p.q IS NULL THEN 'inserted' WHEN d.q IS NULL THEN 'deleted' WHEN d.q = p.q THEN 'unchanged' ELSE 'updated' END AS action FROM d FULL JOIN p USING (ps)
+""")
+def tree_actions(t):
+    l = t("lineitem").withColumn("ps", F.concat_ws("/", "l_orderkey", "l_partkey"))  # noqa: E741
+    declared = l.where("l_tax < 0.06").groupBy("ps").agg(F.sum("l_quantity").alias("q"))
+    published = l.where("l_returnflag <> 'R'").groupBy("ps").agg(F.sum(F.when(F.col("l_discount") > 0.08, F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))).alias("q"))
+    return U.tree_actions(declared, published, ["ps"], ["q"])
+
+
+@query("""
+SELECT d.doc_id, s AS status, CASE WHEN s = 'SUCCESS' AND l.doc_id IS NULL THEN 'success_without_data' WHEN s = 'NOT_FOUND' AND l.doc_id IS NOT NULL THEN 'not_found_with_data' ELSE 'data_without_success' END AS finding
+FROM (SELECT doc_id, CASE lang WHEN 'en' THEN 'SUCCESS' WHEN 'de' THEN 'NOT_FOUND' ELSE 'PENDING' END AS s FROM documents) d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l ON d.doc_id = l.doc_id
+WHERE (s = 'SUCCESS') <> (l.doc_id IS NOT NULL)
+""")
+def status_vs_data(t):
+    d = t("documents").select("doc_id", F.when(F.col("lang") == "en", "SUCCESS").when(F.col("lang") == "de", "NOT_FOUND").otherwise("PENDING").alias("status"))
+    return V.status_vs_data(d, "status", t("labels"), "doc_id")
+
+
+@query("SELECT event_id, coalesce(json_extract_string(props, '$.k'), '-') AS k, coalesce(json_extract_string(props, '$.none.x'), '-') AS x FROM events")
+def nested_value(t):
+    return t("events").select("event_id", reports.nested_value(F.col("props"), "k", F.lit("-")).alias("k"), reports.nested_value(F.col("props"), "none.x", F.lit("-")).alias("x"))
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10")
+def top_rows(t):
+    return A.top_rows(t("orders").select("o_orderkey", "o_totalprice"), [F.col("o_totalprice").desc(), F.col("o_orderkey")], 10)
+
+
+@query("SELECT o_orderpriority, list_position(['3-MEDIUM', '1-URGENT'], o_orderpriority) AS place, count(*) AS rows FROM orders GROUP BY 1, 2")
+def custom_order(t):
+    place = F.coalesce(A.custom_order(F.col("o_orderpriority"), ["3-MEDIUM", "1-URGENT"]), F.lit(0))
+    counts = t("orders").groupBy("o_orderpriority").agg(F.count("*").alias("rows"))
+    return counts.select("o_orderpriority", F.when(place > 0, place.cast("int")).alias("place"), "rows")
+
+
+@query("SELECT 'orders' AS table_name, count(*) AS rows FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem UNION ALL SELECT 'events', count(*) FROM events")
+def row_counts(t):
+    return A.row_counts({n: t(n) for n in ("orders", "lineitem", "events")})
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_tax > 0.02 THEN greatest(l_quantity, l_extendedprice / 1000) END AS most FROM lineitem")
+def greatest_or_null(t):
+    maybe = F.when(F.col("l_tax") > 0.02, F.col("l_quantity"))
+    return t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", A.greatest_or_null(maybe, F.col("l_extendedprice") / 1000).alias("most"))
+
+
+@query("""
+WITH s AS (SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS d, o_orderpriority AS m, o_totalprice AS v FROM orders),
+o AS (SELECT *, row_number() OVER (PARTITION BY m ORDER BY d, id) AS i FROM s),
+x AS (SELECT *, max(v) OVER (PARTITION BY m ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS ba, max(v) OVER (PARTITION BY m, year(d) ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best_year FROM o),
+y AS (SELECT x.*, (SELECT max(i) FROM o WHERE o.m = x.m AND o.i < x.i AND o.v >= x.v) AS near FROM x WHERE best_year IS NULL OR v > best_year)
+SELECT id AS activity_id, m AS metric_name, 'all_time' AS comparison_scope, v AS metric_value, ba AS previous_best_value, CAST(NULL AS INTEGER) AS days_since_previous_best,
+  sha256(id || '|longest_distance|' || m || '|0|all_time|1000-01-01|9999-12-31') AS activity_achievement_key FROM x WHERE ba IS NULL OR v > ba
+UNION ALL
+SELECT y.id, y.m, 'calendar_year', y.v, o.v, CAST(date_diff('day', o.d, y.d) AS INTEGER), sha256(y.id || '|longest_distance|' || y.m || '|0|calendar_year|' || year(y.d) || '-01-01|' || year(y.d) || '-12-31') FROM y LEFT JOIN o ON o.m = y.m AND o.i = y.near
+""")
+def achievements(t):
+    s = t("orders").select(F.col("o_orderkey").alias("activity_id"), F.to_date("o_orderdate").alias("activity_date"), F.lit("longest_distance").alias("achievement_type"), F.col("o_orderpriority").alias("metric_name"), F.lit(0).alias("duration_seconds"), F.col("o_totalprice").alias("value"))
+    return gold.achievements(s).select("activity_id", "metric_name", "comparison_scope", "metric_value", "previous_best_value", "days_since_previous_best", "activity_achievement_key")
