@@ -170,7 +170,7 @@ class Detector:
                 wide = ids[max(0, s - edits) : s + n + edits]
                 key = (k, wide.tobytes())
                 if key not in self.verified:
-                    if len(self.verified) > 100_000:
+                    if len(self.verified) > 10_000:
                         self.verified.clear()
                     self.verified[key] = least_edits(item, wide) if self._close(k, ids[s : s + n]) else None
                 e = self.verified[key]

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from .common import table, work_folder
 
 TEXT_BYTES_PER_FILE = 32 << 20
-CACHED_CHUNKS = 300_000
+CACHED_CHUNKS = 150_000
 INDEX = "file int, ordinal int, offset long, length long, doc_id long, n_tokens long, start_in_file long, ids_crc32 long"
 
 _HEAD = struct.Struct("<QI")

@@ -42,7 +42,7 @@ THREAT, NEGATED, TARGETED, REPORTED = 3.0, 0.3, 1.5, 0.5
 SCOPE = 3
 PURE = 0.7
 PRIOR = (2.5, 0.0, -4.0)
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 
 # Closed classes in the four languages of the tables.
 CLASSES = {
@@ -146,6 +146,12 @@ def held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def _parts(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], np.ndarray]:
     """(arcs, curve), learned from at most MAX_TRAIN labelled rows that are not held out."""
     by_id = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
@@ -155,15 +161,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], np.ndarra
     rows = rows.select("text", "toxic", (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0).cast("int").alias("half"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter = Counter()
-        for batch in batches:
+        found: list[Counter] = [Counter() for _ in range(4)]
+        for batch in _parts(batches):
             for text, toxic, half in zip(*(batch.column(c).to_pylist() for c in ("text", "toxic", "half"))):
                 words = {_EDGE.sub("", t) for t in set((text or "").lower().split())} - {""}
-                found.update((p, toxic, half) for p in {p for w in words for p in patterns(w)})
-                found[("", toxic, half)] += 1
-        if found:
-            keys = list(found)
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys]), pa.array([k[1] + 2 * k[2] for k in keys], pa.int32()), pa.array(list(found.values()), pa.int64())], ["pattern", "kind", "n"])
+                here = found[toxic + 2 * half]
+                here.update({p for w in words for p in patterns(w)})
+                here[""] += 1
+        for kind, n in enumerate(found):
+            if n:
+                yield pa.RecordBatch.from_arrays([pa.array(list(n)), pa.array([kind] * len(n), pa.int32()), pa.array(list(n.values()), pa.int64())], ["pattern", "kind", "n"])
 
     counted = rows.mapInArrow(count, "pattern string, kind int, n long").groupBy("pattern").agg(*(F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in range(4)))
     counted = written(counted, "patterns")
@@ -178,7 +185,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], np.ndarra
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grammars = [Grammar(x) for x in shared.value]
-        for batch in batches:
+        for batch in _parts(batches):
             texts = batch.column("text").to_pylist()
             x = _features([grammars[1 - half].score(t) for t, half in zip(texts, batch.column("half").to_pylist())], texts)
             yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1]), batch.column("toxic")], ["score", "length", "toxic"])
@@ -199,7 +206,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grammar = Grammar(shared.value)
-        for batch in batches:
+        for batch in _parts(batches):
             texts = batch.column("text").to_pylist()
             x = _features([grammar.score(t) for t in texts], texts)
             yield batch.append_column(name, pa.array(1 / (1 + np.exp(-np.clip(x @ curve, -30, 30))), pa.float64()))
