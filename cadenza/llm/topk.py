@@ -109,7 +109,7 @@ def top_k(vectors: DataFrame, wanted: Column, k: int = K) -> DataFrame:
                     out.append((np.full(len(best), q_ids[j]), ids[members][best], scores[best]))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["query_id", "vec_id", "score"])
 
-    found = asked.join(index, "cell").select("n", "width", "ids", "data", "q_n", "q_width", "q_ids", "q_data").mapInArrow(answer, "query_id long, vec_id long, score long")
+    found = asked.join(index.hint("merge"), "cell").select("n", "width", "ids", "data", "q_n", "q_width", "q_ids", "q_data").mapInArrow(answer, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
