@@ -5,7 +5,8 @@ rule's; the longest (host and path together) wins. URLs that a rule accepts or r
 variable-order Markov models over the characters of a URL with digits made equal: contexts of 0 to 4
 characters, interpolated by Witten-Bell smoothing. A URL's score is the mean over its characters of
 the difference of log likelihoods. The cut is calibrated on a fifth of the judged URLs, kept from training:
-the score that best separates accepted from rejected ones (by true minus false positive rate).
+the score that best separates accepted from rejected ones (by true minus false positive rate), half way to
+the next score below it.
 
 All counts cover all URLs. A score depends on the distinct windows of 5 characters only, so the models are
 joined to those windows first and then to the positions of the distinct URLs.
@@ -103,8 +104,9 @@ def cut(scored: DataFrame) -> DataFrame:
     everything = Window.orderBy(F.col("bin").desc()).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     above = Window.orderBy(F.col("bin").desc()).rowsBetween(Window.unboundedPreceding, 0)
     gain = F.sum("a").over(above) / F.sum("a").over(everything) - F.sum("r").over(above) / F.sum("r").over(everything)
-    best = bins.select("bin", gain.alias("gain")).where("gain is not null").agg(F.max(F.struct("gain", "bin")).alias("best"))
-    return best.select(F.coalesce(F.col("best.bin") / BINS, F.lit(0.0)).alias("cut"))
+    below = F.lead("bin").over(Window.orderBy(F.col("bin").desc()))
+    best = bins.select("bin", gain.alias("gain"), F.coalesce(below, F.col("bin")).alias("below")).where("gain is not null").agg(F.max(F.struct("gain", "bin", "below")).alias("best"))
+    return best.select(F.coalesce((F.col("best.bin") + F.col("best.below")) / (2 * BINS), F.lit(0.0)).alias("cut"))
 
 
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:
