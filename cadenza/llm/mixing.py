@@ -29,6 +29,8 @@ BLOCK = 64
 SEED = 7
 SLOTS_PER_SHARD = 4096
 ROUNDS = 4
+#: A value leaves the range with a probability below 1/sqrt(n) a step, and at most sqrt(n) times in a row.
+WALK = 32
 ROWS_PER_BUCKET = 100_000
 
 
@@ -70,12 +72,14 @@ def permuted(index: Column, n: Column, *key: Column) -> Column:
 
     wide = F.ceil(F.sqrt(n.cast("double"))).cast("long")
     high = F.ceil(n / wide).cast("long")
+    first = once(index.cast("long"), wide, high)
     walk = F.aggregate(
-        F.sequence(F.lit(1), F.lit(64)),
-        F.struct(index.cast("long").alias("x"), F.lit(False).alias("done")),
+        F.sequence(F.lit(1), F.lit(WALK)),
+        F.struct(first.alias("x"), F.lit(False).alias("done")),
         lambda acc, _: F.when(acc.done, acc).otherwise(_stepped(once(acc.x, wide, high), n)),
     )
-    return F.when(walk.done, walk.x).otherwise(F.raise_error(F.lit("a permutation left its range 64 times")))
+    # few values leave the range at once, and only these walk
+    return F.when(first < n, first).when(walk.done, walk.x).otherwise(F.raise_error(F.lit("a permutation left its range too often")).cast("long"))
 
 
 def _stepped(x: Column, n: Column) -> Column:
