@@ -29,21 +29,26 @@ from .components import components
 SHINGLE_WORDS, RADIUS = 3, 3
 
 
-def fingerprint(text: str | None) -> int:
+def shingle_hashes(text: str | None, shingle_words: int = SHINGLE_WORDS) -> np.ndarray:
+    """The XXH64 of each shingle, repeats included; none for a text without words."""
     from xxhash import xxh64_intdigest
 
     words = (text or "").encode("utf-8", "replace").lower().split()
     if not words:
-        return 0
+        return np.empty(0, np.uint64)
     whole = b" ".join(words)
-    if len(words) < SHINGLE_WORDS:
+    if len(words) < shingle_words:
         cuts = [(0, len(whole))]
     else:
         ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
         starts = np.concatenate(([0], ends[:-1] + 1))
-        cuts = zip(starts[: 1 - SHINGLE_WORDS].tolist(), ends[SHINGLE_WORDS - 1 :].tolist())
-    n = max(1, len(words) - SHINGLE_WORDS + 1)
-    hashes = np.fromiter((xxh64_intdigest(whole[s:e], 42) for s, e in cuts), np.uint64, n)
+        cuts = zip(starts[: len(words) - shingle_words + 1].tolist(), ends[shingle_words - 1 :].tolist())
+    return np.fromiter((xxh64_intdigest(whole[s:e], 42) for s, e in cuts), np.uint64, max(1, len(words) - shingle_words + 1))
+
+
+def fingerprint(text: str | None) -> int:
+    hashes = shingle_hashes(text)
+    n = len(hashes)
     ones = np.zeros(64, np.int64)
     for at in range(0, n, 1 << 13):  # bounded memory for long texts
         ones += np.unpackbits(hashes[at : at + (1 << 13)].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
