@@ -13,7 +13,7 @@ through again until it is below.
 
 A null text has size 0; a null source is a source of its own, the last one. Rows with equal doc_id are
 apart. Sources without words have target 0. An empty table gives no rows. Reruns agree, whatever the
-partitions, as long as rows with equal source and doc_id have equal texts. Other columns are ignored.
+partitions, up to the order of rows with equal source, doc_id and text. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,6 +32,8 @@ ROUNDS = 4
 #: A value leaves the range with a probability below 1/sqrt(n) a step, and at most sqrt(n) times in a row.
 WALK = 32
 ROWS_PER_BUCKET = 100_000
+#: A row's number, where rows with equal doc_id and source must be told apart.
+ROW = "_row"
 
 
 def size_of(text: Column) -> Column:
@@ -87,14 +89,15 @@ def _stepped(x: Column, n: Column) -> Column:
 
 
 def placed(docs: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, source, size) with ``at``: words of the source's stream before the document.
+    """``docs`` (doc_id, source, tag, size) with ``at``: words of the source's stream before the document.
 
-    The stream's order is by bucket of the doc_id's hash, then doc_id. Counts within buckets and
-    the sum over buckets are separate, so no task holds a source.
+    The stream's order is by bucket of the doc_id's hash (of the text's hash where the id is null, so that these
+    rows are spread, too), then doc_id. Counts within buckets and the sum over buckets are separate, so no
+    task holds a source.
     """
     buckets = max(256, docs.count() // ROWS_PER_BUCKET)
-    d = docs.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)))
-    inside = Window.partitionBy("source", "bucket").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    d = docs.withColumn("bucket", F.pmod(F.when(F.col("doc_id").isNull(), F.xxhash64("tag")).otherwise(F.xxhash64("doc_id")), F.lit(buckets)))
+    inside = Window.partitionBy("source", "bucket").orderBy("doc_id", "size", "tag").rowsBetween(Window.unboundedPreceding, -1)
     over = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = d.groupBy("source", "bucket").agg(F.sum("size").alias("words")).withColumn("bucket_at", F.coalesce(F.sum("words").over(over), F.lit(0)))
     starts = starts.select(F.col("source").alias("s"), F.col("bucket").alias("b"), "bucket_at")
@@ -134,7 +137,8 @@ def pieces(placed_docs: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def _sized(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    sized = written(docs.select("doc_id", "source", size_of(F.col("text")).alias("size")), "sizes")
+    row = [c for c in docs.columns if c == ROW]
+    sized = written(docs.select("doc_id", "source", *row, F.xxhash64("text").alias("tag"), size_of(F.col("text")).alias("size")), "sizes")
     sources = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")))
     return sized, written(sources, "sources")
 
@@ -157,23 +161,24 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, seed: int = SEED) -> Da
     """The mix as documents: for each document and pass one row with the words taken then, in order.
 
     A document taken whole keeps its text as it is; the words of one taken in part are joined by spaces.
-    The columns are those of ``docs``; n_chars, if there, is counted anew. Rows with equal doc_id and source
-    are taken for copies of one document here.
+    The columns are those of ``docs``; n_chars, if there, is counted anew. Rows are numbered and written first, so
+    that rows with equal (or null) doc_id stay apart.
     """
+    columns = docs.columns
+    docs = written(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
     sized, sources = _sized(docs)
     here = placed(sized)
     slots = draw(sources, block, seed).select(F.col("source").alias("s"), F.col("index").alias("i"), "pass")
     p = pieces(here, block)
-    chosen = p.join(slots.hint("merge"), p.source.eqNullSafe(slots.s) & (p.index == slots.i)).groupBy("doc_id", "source", "pass").agg(F.array_sort(F.collect_set(F.struct("from_word", "words"))).alias("parts"), F.first("size").alias("size"))
-    chosen = chosen.select(F.col("doc_id").alias("d"), F.col("source").alias("s"), F.col("pass"), "parts", F.col("size").alias("whole"))
-    joined = docs.join(chosen, docs.doc_id.eqNullSafe(chosen.d) & docs.source.eqNullSafe(chosen.s))
+    chosen = p.join(slots.hint("merge"), p.source.eqNullSafe(slots.s) & (p.index == slots.i)).groupBy(ROW, "pass").agg(F.array_sort(F.collect_set(F.struct("from_word", "words"))).alias("parts"), F.first("size").alias("size"))
+    joined = docs.join(chosen.select(ROW, "pass", "parts", F.col("size").alias("whole")), ROW)
     words = F.regexp_extract_all("text", F.lit(f"({WORD})"))
     taken = F.aggregate("parts", F.lit(0).cast("long"), lambda acc, x: acc + x.words)
     cut = F.array_join(F.flatten(F.transform("parts", lambda x: F.slice(words, x.from_word.cast("int") + 1, x.words.cast("int")))), " ")
     joined = joined.withColumn("text", F.when(taken == F.col("whole"), F.col("text")).otherwise(cut))
-    if "n_chars" in docs.columns:
+    if "n_chars" in columns:
         joined = joined.withColumn("n_chars", F.length("text").cast("long"))
-    return joined.select(*docs.columns)
+    return joined.select(*columns)
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

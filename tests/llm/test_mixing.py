@@ -70,3 +70,20 @@ def test_the_mix_as_documents(spark, docs):
 def test_no_documents(spark, docs):
     none = docs.limit(0)
     assert M.mix(none).isEmpty() and M.mixed_documents(none).isEmpty()
+
+
+def test_the_mix_as_documents_keeps_rows_with_equal_ids_apart(spark, docs):
+    more = spark.createDataFrame([(i, f"{'x' if i else 'n'}{k} " * (30 + k), "en", "a", 0, 1, 2, 3, "4", "5", 6, 0.5, 7, "8") for i in (None, 2) for k in range(12)], docs.schema)
+    rows = docs.unionByName(more)
+    count = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t))
+    by_source = {}
+    for r in M.mix(rows, block=16).collect():
+        by_source.setdefault(r.source, []).append((r.taken, r.size))
+    mixed, texts = M.mixed_documents(rows, block=16).collect(), [r.text for r in rows.collect() if r.text]
+    for source, of in by_source.items():
+        assert sum(count(r.text) for r in mixed if r.source == source) == sum(t for t, _ in of)
+    # each word of the added rows comes as often as its row was taken, three times at most
+    for name in (f"{c}{k}" for c in "xn" for k in range(12)):
+        times = sum(r.text.split().count(name) for r in mixed)
+        size = sum(t.split().count(name) for t in texts)
+        assert times <= 3 * size and any((times, size) == pair for pair in by_source["a"])
