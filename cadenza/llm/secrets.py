@@ -5,13 +5,14 @@ assign, access and hex. Matches that are too short are dropped after matching.
 
 Spans of kind ``random`` are added for runs of 20 or more of [A-Za-z0-9+/_-] outside of base spans that
 no test tells from random characters. A run's encoding is inferred from its characters: decimal, hex
-(one case), base32, or base64. Three tests give p-values under the hypothesis of uniform,
+(one case), base32, base36 (one case), or base64. Three tests give p-values under the hypothesis of uniform,
 independent characters of that encoding: chi-squared of the characters' counts, the number of runs of
 characters in the lower or upper half of the alphabet, and the correlation of neighbours. Bonferroni's
 bound combines the three. The Benjamini-Yekutieli procedure, over all candidates of the corpus, rejects
 randomness; it is length-aware: a run's p-value is weighted by its length over the mean length, so long runs,
-whose tests see more, must look random to a finer measure. What stays unrejected, has at
-least three classes of characters (or is hex) and is long enough for the tests to have power is a span.
+whose tests see more, must look random to a finer measure. What stays unrejected is a
+span, whatever its classes of characters. The tests of a run of 20 to 25 letters of one case have little power, so
+a long word can stay.
 The p-values are counted in bins of a tenth of a power of ten, so nothing is sorted or collected.
 
 A null text counts as empty. Rows with equal doc_id stay apart. An empty table gives no rows. Other
@@ -83,7 +84,9 @@ def randomness(s: Column) -> Column:
         F.when(s.rlike("^[0-9]+$"), digits)
         .when(s.rlike("^[0-9a-f]+$"), digits + "abcdef")
         .when(s.rlike("^[0-9A-F]+$"), digits + "ABCDEF")
-        .when(s.rlike("^[A-Z2-7]+$"), upper + "234567")
+        .when(s.rlike("^[A-Z2-7]*[2-7][A-Z2-7]*$"), upper + "234567")
+        .when(s.rlike("^[0-9A-Z]+$"), digits + upper)
+        .when(s.rlike("^[0-9a-z]+$"), digits + upper.lower())
         .when(s.rlike("[+/]"), upper + upper.lower() + digits + "+/")
         .when(s.rlike("[_-]"), upper + upper.lower() + digits + "-_")
         .otherwise(upper + upper.lower() + digits)
@@ -114,9 +117,8 @@ def randomness(s: Column) -> Column:
 def candidates(text: Column, base: Column) -> Column:
     """(start, end, p) of the runs outside of ``base`` that could be keys."""
     spans = F.filter(matches(text, RANDOM, 0, 20, "random", len(KINDS)), lambda x: ~F.exists(base, lambda b: (b.start < x.end) & (x.start < b.end)))
-    several = lambda s: (s.rlike("[a-z]").cast("int") + s.rlike("[A-Z]").cast("int") + s.rlike("[0-9]").cast("int") + s.rlike("[+/_-]").cast("int") >= 3) | s.rlike("^[0-9A-F]+$")
     with_text = F.transform(spans, lambda x: F.struct(x.start.alias("start"), x.end.alias("end"), F.substring(text, x.start + 1, x.end - x.start).alias("s")))
-    return F.transform(F.filter(with_text, lambda x: several(x.s)), lambda x: F.struct(x.start.alias("start"), x.end.alias("end"), randomness(x.s).alias("p")))
+    return F.transform(with_text, lambda x: F.struct(x.start.alias("start"), x.end.alias("end"), randomness(x.s).alias("p")))
 
 
 def _bin(p: Column, length: Column, mean: Column) -> Column:

@@ -50,3 +50,16 @@ def test_digest(spark):
     df = spark.createDataFrame([(1, TEXTS[1])], "doc_id long, text string")
     want = ",".join(f"{k}:{s}:{e}" for s, _, e, k in base(TEXTS[1]))
     assert S.secrets(df).select(F.sha2(S.joined(F.col("base")), 256)).first()[0] == hashlib.sha256(want.encode()).hexdigest()
+
+
+def test_keys_of_one_or_two_classes_are_found(spark):
+    rng = random.Random(3)
+    lower, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    alphabets = [lower.upper() + "234567", lower + digits, lower.upper() + digits, lower + lower.upper()]
+    keys = ["".join(rng.choices(a, k=40)) for a in alphabets for _ in range(20)]
+    prose = ["donaudampfschifffahrtsgesellschaftskapitaen", "see/the/long/path/to/the/needed/file/there", "a-well-known-and-often-repeated-long-phrase", "-" * 60]
+    df = spark.createDataFrame(list(enumerate([f"see {k} there" for k in keys + prose])), "doc_id long, text string")
+    found = {r.doc_id: [(x.start, x.end) for x in r.spans if x.kind == "random"] for r in S.secrets(df).collect()}
+    for k in range(4):
+        assert sum(found[20 * k + i] == [(4, 44)] for i in range(20)) >= 17, alphabets[k]
+    assert not any(found[80 + i] for i in range(1, 4))
