@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.json import object_or_only, tri_state
@@ -124,7 +125,9 @@ def platform_checks(as_of: str, gear_id: str) -> list[Check]:
     for metric in gold.METRICS:
         present = lambda s, m=metric: s.where(F.col(m).isNotNull()).groupBy("activity_id").agg(F.count("*").alias("samples"))
         add(f"gold_best_efforts_{metric}_presence", "CRITICAL", "gold", [streams, eff], lambda s, e, m=metric, p=present: V.missing_downstream(p(s).where(f"samples >= {min(gold.DURATIONS)}"), e.where(F.col("metric_name") == m), ["activity_id"]), scope="deep")
-        runs = lambda s, m=metric: s.groupBy("activity_id").agg(F.when(F.count("*") == F.count(m), F.count("*")).otherwise(0).alias("samples"))
+        # an effort of N rows needs N values in a row, so the longest run without a null says which durations must be there
+        gap = lambda m: F.sum(F.col(m).isNull().cast("int")).over(Window.partitionBy("activity_id").orderBy("sample_index"))
+        runs = lambda s, m=metric, g=gap: s.select("activity_id", m, g(m).alias("_gap")).groupBy("activity_id", "_gap").agg(F.count(m).alias("_n")).groupBy("activity_id").agg(F.max("_n").alias("samples"))
         add(f"gold_best_efforts_{metric}_duration_coverage", "CRITICAL", "gold", [streams, eff], lambda s, e, m=metric, r=runs: V.coverage(r(s), "activity_id", "samples", e.where(F.col("metric_name") == m), list(gold.DURATIONS)), scope="deep")
     control = "power_source_classification"
     support = lambda c, a: c.join(a, F.col("supporting_activity_id") == F.col("activity_id"))
