@@ -11,10 +11,15 @@ A file is a sequence of frames, each::
 
 Files are numbered in ascending order of doc_id and records ascend inside each file. The index is
 a Parquet table beside the files: file, ordinal, offset, length, doc_id, n_tokens, start_in_file and
-ids_crc32, so that a reader can take records in any order.
+ids_crc32, so that a reader can take records in any order: ``read_at`` cuts them out by offset and length.
+
+Frames are written by Spark's text writer, which puts out a string column's bytes as they are, valid UTF-8 or not, and
+ends each row with its separator, here the frame's newline. The writer needs no file system of its own so.
 
 Null texts count as empty; a null doc_id sorts first. Repeated doc_ids are separate records, ordered
-by text. An empty table gives no records. Other columns are ignored.
+by the text's hash and then the text, so that a hot id is spread over files; only rows with equal id and text are
+kept together. An empty table gives no records. Other columns are ignored. A text that holds a zero byte or
+begins with white space is encoded as one piece.
 """
 
 from __future__ import annotations
@@ -22,30 +27,33 @@ from __future__ import annotations
 import os
 import re
 import struct
-import sys
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import table, work_folder
 
 TEXT_BYTES_PER_FILE = 32 << 20
-CACHED_CHUNKS = 150_000
+#: Texts are encoded in slices of about so many bytes.
+SLICE_BYTES = 6 << 20
+CACHED_CHUNKS = 300_000
 INDEX = "file int, ordinal int, offset long, length long, doc_id long, n_tokens long, start_in_file long, ids_crc32 long"
 
 _HEAD = struct.Struct("<QI")
 _KEY = struct.Struct("<bqb")
 _CRC = struct.Struct("<I")
-#: A space before further white space: there a cut at every space could change the ids.
-_UNSAFE = re.compile(r" [\s\x85\xa0]")
 _MARKS = ".,;:!?"
-_SAFE_CUT = re.compile(r" (?=[^\s\x85\xa0])")
+_CUT = "\0"
+_SPACE = r"\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}"  # at least all that the tokenizer takes for white space
+#: White space after a space or newline, or at the start: not every space and newline is a place to cut.
+_UNSAFE = rf"[ \n][{_SPACE}]|^[{_SPACE}]"
+_SAFE = rf"([ \n])([^{_SPACE}])"
 
 
 def masked_crc(data: bytes) -> int:
@@ -53,11 +61,24 @@ def masked_crc(data: bytes) -> int:
     return (((crc >> 15) | (crc << 17)) + 0xA282EAD8) & 0xFFFFFFFF
 
 
+def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """``batch`` in parts of about ``most`` bytes of ``column``, a row at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 class ChunkEncoder:
     """Encodes texts with a byte-level BPE tokenizer, chunk by chunk.
 
-    The tokenizer's splitting pattern always cuts before a space that follows anything and precedes a
-    visible character, so the ids of a text are those of its chunks. Chunks repeat, and their ids are kept.
+    The tokenizer's splitting pattern always cuts before a space or newline that precedes a visible character, whatever
+    stands before, so the ids of a text are those of its chunks. Arrow cuts a slice of texts and numbers
+    its distinct chunks, these are looked up or encoded once each, and numpy puts their ids together.
+    A text begins a line for this purpose; that newline's id is taken away again.
     """
 
     def __init__(self, tokenizer_file: str):
@@ -66,72 +87,95 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.tokenizer.encode_special_tokens = True
-        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
-        self.width = array(self.code).itemsize
+        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         tokens = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.spaced = np.zeros(max(tokens.values()) + 1, bool)
-        self.spaced[[i for t, i in tokens.items() if t.startswith("\u0120")]] = True  # the byte-level name of a space
+        self.begins = {}
+        for lead, name in ((" ", "\u0120"), ("\n", "\u010a")):  # the byte-level names of a space and a newline
+            self.begins[lead] = np.zeros(max(tokens.values()) + 1, bool)
+            self.begins[lead][[i for t, i in tokens.items() if t.startswith(name)]] = True
         self.marks = dict(zip(_MARKS, self._ids(list(_MARKS))))
 
     def pack(self, ids: list[int]) -> bytes:
-        packed = array(self.code, ids)
-        if sys.byteorder == "big":
-            packed.byteswap()
-        return packed.tobytes()
+        return np.array(ids, self.dtype).tobytes()
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [self.pack(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _word_ids(self, words: list[str]) -> list[bytes]:
-        """The ids of " " + word for each of ``words``, which hold no space: encoded as one text and cut at its spaces."""
-        packed = []
-        for i in range(0, len(words), 20_000):
-            part = words[i : i + 20_000]
-            text = " " + " ".join(part)
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
-            starts = np.flatnonzero(self.spaced[ids])
+    def _word_ids(self, chunks: list[str], lead: str) -> list[bytes]:
+        """The ids of ``chunks``, which begin with ``lead`` and hold no other white space: encoded as one text and cut there."""
+        packed, width = [], self.dtype.itemsize
+        for i in range(0, len(chunks), 20_000):
+            part = chunks[i : i + 20_000]
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, self.dtype)
+            starts = np.flatnonzero(self.begins[lead][ids])
             if len(starts) != len(part):  # never seen; then the slow way
-                packed += self._ids([" " + w for w in part])
+                packed += self._ids(part)
                 continue
-            data, ends = self.pack(ids.tolist()), [*(starts[1:] * self.width).tolist(), len(ids) * self.width]
-            packed += [data[s:e] for s, e in zip((starts * self.width).tolist(), ends)]
+            data, cuts = ids.tobytes(), [*(starts * width).tolist(), len(ids) * width]
+            packed += [data[s:e] for s, e in zip(cuts, cuts[1:])]
         return packed
 
     def _learn(self, chunks: list[str]) -> dict[str, bytes]:
-        """The ids of chunks that ``known`` lacks. When ``known`` is full it becomes ``older``."""
-        new, older = set(chunks), self.older
-        found = {x: older[x] for x in new if x in older}
-        new.difference_update(found)
+        """The ids of distinct chunks that ``known`` lacks. When ``known`` is full it becomes ``older``."""
+        older, known, marks = self.older, self.known, self.marks
+        found = {x: older[x] for x in chunks if x in older}
         # a mark after a plain letter is a piece of its own, so the word before it needs encoding only once
-        marked = {x for x in new if x[-1:] in _MARKS and len(x) > 1 and x[-2] < "\u0250" and x[-2].isalpha()}
-        words = {x[:-1] for x in marked} | (new - marked)
-        found.update((x, self.known[x]) for x in words if x in self.known)
-        words.difference_update(found)
-        plain = [x for x in words if x and " " not in x]
-        found.update(zip(plain, self._word_ids(plain)))
-        rest = [x for x in words if x not in found]
-        found.update(zip(rest, self._ids([" " + x for x in rest])))
-        found.update((x, found[x[:-1]] + self.marks[x[-1]]) for x in marked)
-        if len(self.known) + len(found) > CACHED_CHUNKS:
-            self.older, self.known = self.known, {}
+        marked, words = [], {}
+        for x in chunks if not found else [x for x in chunks if x not in found]:
+            if x[-1] in marks and len(x) > 2 and x[-2] < "\u0250" and x[-2].isalpha():
+                marked.append(x)
+                x = x[:-1]
+            words[x] = None
+        found.update((x, known[x]) for x in words if x in known)
+        plain, rest = {lead: [] for lead in self.begins}, []
+        for x in words:
+            if x not in found:
+                (plain[x[0]] if x.split() == [x[1:]] else rest).append(x)
+        for lead, those in plain.items():
+            found.update(zip(those, self._word_ids(those, lead)))
+        found.update(zip(rest, self._ids(rest)))
+        found.update((x, found[x[:-1]] + marks[x[-1]]) for x in marked)
+        if len(known) + len(found) > CACHED_CHUNKS:
+            self.older, self.known = known, {}
         self.known.update(found)
         return found
 
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        for i in range(0, len(texts), 256):
-            cut = [_SAFE_CUT.split(t) if _UNSAFE.search(t) else t.split(" ") for t in texts[i : i + 256]]
-            firsts = self._ids([c[0] for c in cut])
-            get = self.known.get
-            parts = [list(map(get, c)) for c in cut]
-            gaps = [[j for j, x in enumerate(p) if x is None and j] for p in parts]
-            found = self._learn([c[j] for c, g in zip(cut, gaps) for j in g])
-            for first, c, p, g in zip(firsts, cut, parts, gaps):
-                p[0] = first
-                for j in g:
-                    p[j] = found[c[j]]
-                yield b"".join(p)
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """The packed ids of each text; null is as empty."""
+        texts = pc.fill_null(texts, "")
+        whole = pc.match_substring(texts, _CUT)  # holds the mark that cuts are shown by: encoded as it is
+        odd = np.flatnonzero(whole.to_numpy(zero_copy_only=False) | pc.match_substring_regex(texts, rf"^[{_SPACE}]").to_numpy(zero_copy_only=False))
+        given = dict(zip(odd.tolist(), self._ids(texts.take(pa.array(odd)).to_pylist())))
+        texts = pc.if_else(whole, "", texts)
+        unsafe = pc.match_substring_regex(texts, _UNSAFE)
+        lined = pc.binary_join_element_wise("\n", texts, "")
+        cut = pc.replace_substring(pc.replace_substring(lined, " ", _CUT + " "), "\n", _CUT + "\n")
+        if pc.any(unsafe).as_py():
+            cut = pc.if_else(unsafe, pc.replace_substring_regex(lined, _SAFE, rf"{_CUT}\1\2"), cut)
+        split = pc.split_pattern(cut, _CUT)
+        bounds = split.offsets.to_numpy().astype(np.int64)
+        numbered = split.values.slice(int(bounds[0]), int(bounds[-1] - bounds[0])).dictionary_encode()
+        chunks, at = numbered.dictionary.to_numpy(zero_copy_only=False).tolist(), numbered.indices.to_numpy()
+        packed = list(map(self.known.get, chunks))
+        gaps = [i for i, p in enumerate(packed) if p is None]
+        if gaps:
+            found = self._learn([c for i in gaps if (c := chunks[i])])
+            found[""] = b""
+            for i in gaps:
+                packed[i] = found[chunks[i]]
+        flat = np.frombuffer(b"".join(packed), self.dtype)
+        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // self.dtype.itemsize
+        starts = np.cumsum(sizes) - sizes
+        n = sizes[at]
+        ends = np.cumsum(n)
+        ids = flat[np.repeat(starts[at] - (ends - n), n) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        edges = np.concatenate(([0], ends))[bounds - bounds[0]].tolist()
+        out = [ids[s + 1 : e].tobytes() for s, e in zip(edges, edges[1:])]
+        for i, x in given.items():
+            out[i] = x
+        return out
 
 
 @lru_cache(1)
@@ -163,21 +207,20 @@ def frames(data: bytes) -> Iterator[tuple[int, int, int | None, np.ndarray]]:
 
 def write_token_records(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, bytes_per_file: int = TEXT_BYTES_PER_FILE) -> None:
     """Encode ``docs`` (doc_id, text) in ascending doc_id order into numbered files under ``path``/data."""
-    docs = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
+    docs = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).withColumn("tag", F.xxhash64("text"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(tokenizer_file)
-        end, width = encoder.pack([end_id]), encoder.width
+        end, width = encoder.pack([end_id]), encoder.dtype.itemsize
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                ids = encoder.encode(part.column("text").to_pylist())
+            for part in slices(batch, "text"):
+                ids = encoder.encode(part.column("text"))
                 out = [frame(d, x + end, width) for d, x in zip(part.column("doc_id").to_pylist(), ids)]
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["frame"])
 
-    parts = docs.repartitionByRange(max(1, -(-total // bytes_per_file)), "doc_id").sortWithinPartitions("doc_id", "text")
-    parts.mapInArrow(encode, "frame binary").select(F.col("frame").cast("string").alias("value")).write.option("lineSep", "\n").text(f"{path}/data")
+    parts = docs.repartitionByRange(max(1, -(-total // bytes_per_file)), "doc_id", "tag").sortWithinPartitions("doc_id", "tag", "text")
+    parts.select("doc_id", "text").mapInArrow(encode, "frame binary").select(F.col("frame").cast("string").alias("value")).write.option("lineSep", "\n").text(f"{path}/data")
 
 
 def _read(spark: SparkSession, path: str, schema: str, rows) -> DataFrame:
@@ -225,10 +268,33 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, path, "doc_id long, file int, ordinal int, ids array<int>", rows)
 
 
+def read_at(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
+    """(place, doc_id, ids) of the records that ``wanted`` (place, file, offset, length) names, each cut out of its file
+    by offset and length and checked; the other records of the file are not looked at."""
+    n = (wanted.agg(F.max("file")).first()[0] or 0) + 1
+    places = wanted.select("file", F.struct("offset", "length", "place").alias("at")).repartition(n, "file").groupBy("file").agg(F.array_sort(F.collect_list("at")).alias("at"))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{path}/data")
+    files = files.select(F.regexp_extract("path", r"part-(\d+)", 1).cast("int").alias("file"), "content").repartition(n, "file")
+
+    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data, at in zip(batch.column("content"), batch.column("at")):
+                data, out = memoryview(data.as_buffer()), []
+                for x in at.as_py():
+                    ((_, size, doc_id, ids),) = frames(bytes(data[x["offset"] : x["offset"] + x["length"]]))
+                    out.append((x["place"], doc_id, ids.astype(np.int32)))
+                for i in range(0, len(out), 500):
+                    place, doc_id, ids = zip(*out[i : i + 500])
+                    yield pa.RecordBatch.from_arrays([pa.array(place, pa.int64()), pa.array(doc_id, pa.int64()), pa.array(ids, pa.list_(pa.int32()))], ["place", "doc_id", "ids"])
+
+    return files.join(places.hint("merge"), "file").select("content", "at").mapInArrow(fetch, "place long, doc_id long, ids array<int>")
+
+
 def read_shuffled(spark: SparkSession, path: str, seed: int) -> DataFrame:
-    """The records in an order drawn from ``seed``, by way of the index."""
-    order = spark.read.schema(INDEX).parquet(f"{path}/index").select("file", "ordinal", F.xxhash64(F.lit(seed), "file", "ordinal").alias("place"))
-    return read_tokens(spark, path).join(order, ["file", "ordinal"]).orderBy("place", "file", "ordinal")
+    """(place, doc_id, ids) in an order drawn from ``seed``, each record fetched by the index."""
+    index = spark.read.schema(INDEX).parquet(f"{path}/index")
+    wanted = index.select(F.xxhash64(F.lit(seed), "file", "ordinal").alias("place"), "file", "offset", "length")
+    return read_at(spark, path, wanted).orderBy("place")
 
 
 def token_records(docs: DataFrame, tokenizer_file: str, end_id: int) -> DataFrame:
