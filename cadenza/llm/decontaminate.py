@@ -4,43 +4,47 @@ A passage of a document matches a benchmark item of n words if at most floor(0.2
 and replacements turn one into the other. Words are runs of non-white-space, in lower case and without
 the punctuation marks of _MARKS at their ends; tokens of marks alone are left out.
 
-1. Windows: by the q-gram lemma a match shares a known number of word q-grams with the item, on diagonals
-   (place in the document less place in the item) no further apart than twice the allowed edits. Item-sized
-   windows are taken at all diagonals of every such cluster, so none is lost here.
-2. CGK: a random walk copies each word of a window or item one or more times; edits then show as few unequal
-   places. Of each embedding, TABLES random samples of BITS places are compared, and a window goes on if any
-   sample is equal throughout. The number of tables follows from the target recall.
+1. CGK: a random walk copies each word of a window one or more times and goes on, by bits that depend on the step and
+   the word only; after an edit, two walks soon copy the same words again, so few edits show as few unequal places. The
+   walk starts anew at each word of an item-sized window, so one walk a word of the document serves all windows.
+2. Bit sampling: each table samples a few places of a walk's first steps (TABLES: the steps; short items
+   have tables of their own). All items' samples, from each of their words, are held in a sorted table; a document's
+   samples are looked up there, and each hit votes for an item and a diagonal (place in the document less place in
+   the item). A passage of six or more words with the most edits always keeps three unedited words in a row, and a
+   table of three steps sees them if its walk moves on twice; a window goes on with votes from one in VOTES of
+   the item's words (at least one) on diagonals no further apart than twice the allowed edits. Walks that see too few
+   words, which say little, are left out on both sides. Recall is measured in the tests.
 3. A window that goes on is verified: the exact least edit distance between the item and any part of the
    window widened by the allowed edits (bit-parallel dynamic programming).
 
 The result has one row for each document row and item that matches: doc_id, item_id, edits (the least),
-similarity (1 - edits / n) and start (the window's first word, from 0).
+similarity (1 - edits / n) and start (the first word, from 0, on the diagonal with most votes).
 
-Null or empty texts and items without words match nothing. Repeated documents or items stay apart. Empty
-tables give no rows. Other columns are ignored. Items are read in groups of ITEMS, each a pass over the
-documents, so what a task holds of them is bounded.
+Null or empty texts and items without words match nothing. Repeated documents or items stay apart; a null doc_id
+or item_id stays null in the result. Empty tables give no rows. Other columns are ignored. Items are read in
+groups of about ITEMS, each a pass over the documents, so what a task holds of them is bounded (some 5 MB of samples
+for items of 40 words).
 """
 
 from __future__ import annotations
 
-import math
 import string
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import slices, table, written
 
 EDITS = 0.2
 ITEMS = 4096
-RECALL, AGREE, BITS = 0.995, 0.3, 2
-#: AGREE is the share of equal places below which, at the most edits, few embeddings fall.
-TABLES = math.ceil(math.log(1 - RECALL) / math.log(1 - AGREE**BITS))
-WALKS = 16
+#: For items of at least so many words: tables of (sampled places, steps that they are drawn from).
+TABLES = {1: ((1, 1),), 2: ((2, 2),) * 8, 6: ((3, 3),) * 6 + ((3, 4),) * 3 + ((3, 5),) * 3}
+VOTES = 6
 MATCH = "doc_id long, item_id long, edits int, similarity double, start int"
 _MARKS = string.punctuation + "“”„‘’‚«»‹›¿¡…–—·•"
 
@@ -49,24 +53,41 @@ def words_of(text: str | None) -> list[str]:
     return [w for t in (text or "").lower().split() if (w := t.strip(_MARKS))]
 
 
-def cgk(words: np.ndarray, steps: int, seed: int = 1) -> np.ndarray:
-    """WALKS embeddings of ``words`` (ids above 0), each of ``steps`` places; 0 past the end."""
-    rng = np.random.default_rng(seed)
-    padded = np.append(words, 0).astype(np.uint64)
-    at, out = np.zeros(WALKS, np.int64), np.zeros((WALKS, steps), np.uint64)
-    for t in range(steps):
-        factor = rng.integers(1, 1 << 62, WALKS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        out[:, t] = padded[at]
-        at = np.minimum(at + ((out[:, t] + np.uint64(1)) * factor >> np.uint64(63)).astype(np.int64), len(words))
-    return out
-
-
-def least_edits(item: np.ndarray, text: np.ndarray) -> int:
-    """The least edit distance between ``item`` and any part of ``text``."""
-    n = len(item)
+class Table:
+    """Samples of CGK walks: ``places`` of the first steps, of which the first place is always one."""
+
+    def __init__(self, sampled: int, steps: int, seed: int):
+        rng = np.random.default_rng(seed)
+        self.places = {0, *rng.choice(np.arange(1, steps), sampled - 1, replace=False).tolist()} if sampled > 1 else {0}
+        self.factors = rng.integers(1, 1 << 62, steps, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+    def samples(self, ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(starts, samples) of the walks that see as many words as places are sampled, and whose sampled places all hold
+        words: ids above 0. ``ids`` ends in zeros."""
+        at, key, last, moves = starts, np.zeros(len(starts), np.uint64), max(self.places), len(self.places) - 1
+        for t in range(last + 1):
+            w = ids[at]
+            held = (at - starts) >= moves - (last - t)  # walks that can still see enough words
+            if t in self.places:
+                held &= w > 0
+            at, starts, w, key = at[held], starts[held], w[held], key[held]
+            if t in self.places:
+                key = (key ^ w) * np.uint64(0x9E3779B97F4A7C15)
+                key ^= key >> np.uint64(29)
+            if t < last:
+                at = np.minimum(at + ((w + np.uint64(1)) * self.factors[t] >> np.uint64(63)).astype(np.int64), len(ids) - 1)
+        return starts, key
+
+
+def masks_of(item: np.ndarray) -> dict[int, int]:
     equal: dict[int, int] = defaultdict(int)
     for i, w in enumerate(item.tolist()):
         equal[w] |= 1 << i
+    return dict(equal)
+
+
+def least_edits(n: int, equal: dict[int, int], text: np.ndarray) -> int:
+    """The least edit distance between an item of n words, given by ``masks_of``, and any part of ``text``."""
     full, top = (1 << n) - 1, 1 << (n - 1)
     up, down, score, best = full, 0, n, n
     for w in text.tolist():
@@ -81,112 +102,113 @@ def least_edits(item: np.ndarray, text: np.ndarray) -> int:
 
 
 class Detector:
-    def __init__(self, items: list[tuple[int, str | None]]):
+    """Finds items in texts. Words of items are numbered from 1; all other words are 0."""
+
+    def __init__(self, items: list[tuple[int | None, str | None]]):
         found = [(i, w) for i, t in items if (w := words_of(t))]
         self.vocabulary = {w: k for k, w in enumerate(sorted({w for _, ws in found for w in ws}), 1)}
-        self.base = len(self.vocabulary) + 1
-        self.items = [(i, np.array([self.vocabulary[w] for w in ws], np.int64)) for i, ws in found]
+        self.names = [i for i, _ in found]
+        self.items = [np.array([self.vocabulary[w] for w in ws], np.int64) for _, ws in found]
+        self.lengths = np.array([len(x) for x in self.items], np.int64)
+        self.masks = [masks_of(x) for x in self.items]
         self.vocabulary[""] = -1
-        grams: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
-        self.least: list[int] = []  # q-grams that a match shares at least
-        for k, (_, ws) in enumerate(self.items):
-            n, edits = len(ws), self.edits(k)
-            q = next(q for q in (3, 2, 1) if n - q + 1 - edits * q >= 1)
-            self.least.append(n - q + 1 - edits * q)
-            grams[q] += [(self._code(ws[j : j + q]), k, j) for j in range(n - q + 1)]
-        self.grams = {q: tuple(np.array(c, np.int64) for c in zip(*sorted(g))) for q, g in grams.items()}
-        self.embedded: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-        self.verified: dict[tuple[int, bytes], int | None] = {}
-
-    def _code(self, words: np.ndarray) -> int:
-        code = 0
-        for w in words.tolist():
-            code = code * self.base + w
-        return code
+        self.verified: dict[tuple[int, bytes], int] = {}
+        self.tables = []
+        least = sorted(TABLES)
+        for low, high in zip(least, [*least[1:], 1 << 62]):
+            some = np.flatnonzero((self.lengths >= low) & (self.lengths < high))
+            if len(some):
+                gap = np.zeros(1 + max(steps for _, steps in TABLES[low]), np.int64)
+                ids = np.concatenate([x for k in some for x in (self.items[k], gap)])
+                of = np.repeat(some, self.lengths[some] + len(gap))
+                place = np.concatenate([np.arange(self.lengths[k] + len(gap)) for k in some])
+                for i, (sampled, steps) in enumerate(TABLES[low]):
+                    table = Table(sampled, steps, 100 * low + i)
+                    starts, keys = table.samples(ids.astype(np.uint64), np.flatnonzero(ids))
+                    order = np.argsort(keys, kind="stable")
+                    known, first, count = np.unique(keys[order], return_index=True, return_counts=True)
+                    maybe = np.zeros(1 << 20, bool)  # most samples of a document are not there: a small table says so at once
+                    maybe[(known >> np.uint64(44)).astype(np.int64)] = True
+                    self.tables.append((table, known, first, count, of[starts[order]], place[starts[order]], maybe))
 
     def edits(self, k: int) -> int:
-        return int(EDITS * len(self.items[k][1]))
+        return int(EDITS * self.lengths[k])
 
-    def ids(self, text: str) -> np.ndarray:
-        """Vocabulary numbers of the words of ``text``; 0 for others, -1 for tokens without a word."""
+    def numbered(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, bounds): the numbers of all texts' words with a zero after each text, and where each text begins."""
+        split = pc.utf8_split_whitespace(pc.fill_null(texts, ""))
+        bounds = split.offsets.to_numpy().astype(np.int64)
+        words = split.values.slice(int(bounds[0]), int(bounds[-1] - bounds[0])).dictionary_encode()
         get = self.vocabulary.get
-        return np.array([get(t.strip(_MARKS), 0) for t in text.lower().split()], np.int64)
-
-    def _windows(self, ids: np.ndarray) -> Iterator[tuple[int, list[int]]]:
-        """(item, starts) of the clusters of shared q-grams."""
-        items, diagonals = [], []
-        for q, (codes, of, places) in self.grams.items():
-            n = len(ids) - q + 1
-            if n <= 0:
-                continue
-            some = ids > 0
-            valid = some[:n].copy()
-            for j in range(1, q):
-                valid &= some[j : j + n]
-            at = np.flatnonzero(valid)
-            if not len(at):
-                continue
-            code = ids[at]
-            for j in range(1, q):
-                code = code * self.base + ids[at + j]
-            first, after = np.searchsorted(codes, code), np.searchsorted(codes, code, "right")
-            at, first, count = at[after > first], first[after > first], (after - first)[after > first]
-            if len(at):
-                rows = np.repeat(first, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                items.append(of[rows])
-                diagonals.append(np.repeat(at, count) - places[rows])
-        if not items:
-            return
-        item, diagonal = np.concatenate(items), np.concatenate(diagonals)
-        kinds, counts = np.unique(item, return_counts=True)
-        for k in kinds[counts >= np.array(self.least)[kinds]].tolist():
-            d, least, wide = np.sort(diagonal[item == k]), self.least[k], 2 * self.edits(k)
-            dense = np.flatnonzero(d[least - 1 :] - d[: len(d) - least + 1] <= wide)
-            if len(dense):
-                inside = np.unique(np.concatenate([d[i : i + least] for i in dense]))
-                yield k, inside.tolist()
-
-    def _close(self, k: int, window: np.ndarray) -> bool:
-        item = self.items[k][1]
-        steps = 3 * len(item)
-        if k not in self.embedded:
-            rng = np.random.default_rng(2)
-            self.embedded[k] = cgk(item, steps), rng.integers(0, WALKS, (TABLES, 1)), rng.integers(0, steps, (TABLES, BITS))
-        own, walks, places = self.embedded[k]
-        other = cgk(np.maximum(window, 0), steps)
-        return bool((own[walks, places] == other[walks, places]).all(axis=1).any())
-
-    def matches(self, text: str | None) -> list[tuple[int, int, float, int]]:
-        """(item_id, edits, similarity, start) of each item with a match in ``text``."""
-        ids = self.ids(text or "")
-        if ids.min(initial=0) < 0:
-            ids = ids[ids >= 0]
-        out = []
-        for k, starts in self._windows(ids):
-            item_id, item = self.items[k]
-            n, edits, best = len(item), self.edits(k), None
-            for s in starts:
-                s = max(0, s)
-                wide = ids[max(0, s - edits) : s + n + edits]
-                key = (k, wide.tobytes())
-                if key not in self.verified:
-                    if len(self.verified) > 10_000:
-                        self.verified.clear()
-                    self.verified[key] = least_edits(item, wide) if self._close(k, ids[s : s + n]) else None
-                e = self.verified[key]
-                if e is not None and e <= edits and (best is None or e < best[0]):
-                    best = e, s
-            if best:
-                out.append((item_id, best[0], 1 - best[0] / n, best[1]))
-        return out
-
-
-def _groups(benchmark: DataFrame) -> Iterator[list[tuple[int, str | None]]]:
-    rows = benchmark.select(F.col("item_id").cast("long"), "text")
-    groups = max(1, -(-rows.count() // (ITEMS // 2)))  # half of ITEMS in the mean, so that none passes it
+        number = np.array([get(w.lower().strip(_MARKS), 0) for w in words.dictionary.to_numpy(zero_copy_only=False).tolist()], np.int64)
+        ids = number[words.indices.to_numpy()] if len(number) else np.zeros(0, np.int64)
+        ends = np.concatenate(([0], np.cumsum(ids >= 0)))[bounds - bounds[0]]
+        out = np.zeros(ends[-1] + len(texts), np.int64)
+        keep = ids[ids >= 0]
+        out[np.arange(len(keep)) + np.repeat(np.arange(len(texts)), np.diff(ends))] = keep
+        return out, ends + np.arange(len(texts) + 1)
+
+    def _votes(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(item, place in ``ids``, place in the item), once each, of the hits of all tables, as item and a pair of columns."""
+        padded = np.concatenate((ids, np.zeros(1, np.int64))).astype(np.uint64)
+        words, found = np.flatnonzero(ids > 0), []
+        for table, known, first, count, of, place, maybe in self.tables:
+            starts, keys = table.samples(padded, words)
+            held = maybe[(keys >> np.uint64(44)).astype(np.int64)]
+            starts, keys = starts[held], keys[held]
+            at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+            held = known[at] == keys
+            starts, at = starts[held], at[held]
+            n = count[at]
+            rows = np.repeat(first[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            found.append(np.stack((of[rows], np.repeat(starts, n), place[rows])))
+        if not found:
+            return np.zeros(0, np.int64), np.zeros((2, 0), np.int64)
+        item, at, of = np.concatenate(found, axis=1)
+        order = np.lexsort((of, at, item))
+        item, at, of = item[order], at[order], of[order]
+        new = np.concatenate(([True], (np.diff(item) != 0) | (np.diff(at) != 0) | (np.diff(of) != 0)))[: len(item)]
+        return item[new], np.stack((at[new], of[new]))
+
+    def matches(self, texts: pa.Array) -> list[list[tuple[int | None, int, float, int]]]:
+        """For each text (item_id, edits, similarity, start) of each item with a match in it."""
+        ids, bounds = self.numbered(texts)
+        item, (at, place) = self._votes(ids)
+        text = np.searchsorted(bounds, at, "right") - 1
+        diagonal = at - place
+        order = np.lexsort((diagonal, item, text))
+        item, text, diagonal = item[order], text[order], diagonal[order]
+        wide = 2 * (EDITS * self.lengths[item]).astype(np.int64) if len(item) else item
+        # votes of a text and item on diagonals no further apart than ``wide`` belong together
+        new = np.concatenate(([True], (np.diff(text) != 0) | (np.diff(item) != 0) | (np.diff(diagonal) > wide[1:]))) if len(item) else np.zeros(0, bool)
+        starts = np.flatnonzero(new)
+        sizes = np.diff(np.append(starts, len(item)))
+        enough = sizes >= np.maximum(1, self.lengths[item[starts]] // VOTES) if len(starts) else starts
+        best: list[dict[int, tuple[int, int]]] = [{} for _ in range(len(texts))]
+        for s, n in zip(starts[enough].tolist(), sizes[enough].tolist()):
+            k, t, d = int(item[s]), int(text[s]), diagonal[s : s + n]
+            length, edits = int(self.lengths[k]), self.edits(k)
+            low, high = int(bounds[t]), int(bounds[t + 1]) - 1
+            window = ids[max(low, d[0] - edits) : min(high, d[-1] + length + edits)]
+            key = (k, window.tobytes())
+            if key not in self.verified:
+                if len(self.verified) > 10_000:
+                    self.verified.clear()
+                self.verified[key] = least_edits(length, self.masks[k], window)
+            e = self.verified[key]
+            if e <= edits and (k not in best[t] or e < best[t][k][0]):
+                values, counts = np.unique(d, return_counts=True)
+                best[t][k] = e, max(0, int(values[counts.argmax()]) - low)
+        return [[(self.names[k], e, 1 - e / len(self.items[k]), start) for k, (e, start) in sorted(found.items())] for found in best]
+
+
+def _groups(benchmark: DataFrame) -> Iterator[list[tuple[int | None, str | None]]]:
+    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("text"), F.monotonically_increasing_id().alias("row"))
+    rows = written(rows, "items")
+    groups = max(1, -(-rows.count() // ITEMS))
     for g in range(groups):
-        found = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(groups)) == g).toPandas()
-        yield list(zip(found["item_id"].tolist(), found["text"].tolist()))
+        found = rows.where(F.pmod(F.xxhash64("row"), F.lit(groups)) == g).select("item_id", "text").toArrow()
+        yield list(zip(found["item_id"].to_pylist(), found["text"].to_pylist()))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -199,8 +221,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         def find(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             detector = Detector(shared.value)
-            for batch in batches:
-                rows = [(d.as_py(), *m) for d, t in zip(batch.column("doc_id"), batch.column("text")) for m in detector.matches(t.as_py())]
+            for part in (x for batch in batches for x in slices(batch, "text")):
+                rows = [(d, *m) for d, found in zip(part.column("doc_id").to_pylist(), detector.matches(part.column("text"))) for m in found]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, arrow[t]) for c, t in zip(zip(*rows), types)], names)
 
@@ -216,8 +238,8 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             detector = Detector(shared.value)
-            for batch in batches:
-                yield batch.filter(pa.array([not detector.matches(t.as_py()) for t in batch.column("text")], pa.bool_()))
+            for part in (x for batch in batches for x in slices(batch, "text")):
+                yield part.filter(pa.array([not found for found in detector.matches(part.column("text"))], pa.bool_()))
 
         docs = docs.mapInArrow(keep, docs.schema)
     return docs

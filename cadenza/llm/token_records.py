@@ -37,11 +37,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table, work_folder
+from .common import slices, table, work_folder
 
 TEXT_BYTES_PER_FILE = 32 << 20
-#: Texts are encoded in slices of about so many bytes.
-SLICE_BYTES = 6 << 20
 CACHED_CHUNKS = 300_000
 INDEX = "file int, ordinal int, offset long, length long, doc_id long, n_tokens long, start_in_file long, ids_crc32 long"
 
@@ -61,17 +59,6 @@ def masked_crc(data: bytes) -> int:
     return (((crc >> 15) | (crc << 17)) + 0xA282EAD8) & 0xFFFFFFFF
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """``batch`` in parts of about ``most`` bytes of ``column``, a row at least."""
-    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-    at = 0
-    while at < batch.num_rows:
-        before = ends[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(ends, before + most, "right")))
-        yield batch.slice(at, to - at)
-        at = to
-
-
 class ChunkEncoder:
     """Encodes texts with a byte-level BPE tokenizer, chunk by chunk.
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cadenza.llm import token_records as R
+from cadenza.llm.common import slices
 
 public = pytest.importorskip("public_tokenizers")
 FILE = public.path("byte_bpe_50k.json")
@@ -39,7 +40,7 @@ def test_a_full_cache_changes_nothing(monkeypatch):
 
 def test_slices_hold_all_rows():
     batch = pa.RecordBatch.from_pydict({"text": ["a" * n for n in (5, 1, 1, 90, 0, 3)] + [None]})
-    got = list(R.slices(batch, "text", 7))
+    got = list(slices(batch, "text", 7))
     assert [b.num_rows for b in got] == [3, 1, 3] and pa.Table.from_batches(got).equals(pa.Table.from_batches([batch]))
 
 
