@@ -3,17 +3,23 @@
 Base spans, leftmost and non-overlapping for each kind, are those of three patterns with a least length:
 assign, access and hex. Matches that are too short are dropped after matching.
 
-Spans of kind ``random`` are added for runs of 20 or more of [A-Za-z0-9+/_-] outside of base spans that
-no test tells from random characters. A run's encoding is inferred from its characters: decimal, hex
-(one case), base32, base36 (one case), or base64. Three tests give p-values under the hypothesis of uniform,
-independent characters of that encoding: chi-squared of the characters' counts, the number of runs of
-characters in the lower or upper half of the alphabet, and the correlation of neighbours. Bonferroni's
-bound combines the three. The Benjamini-Yekutieli procedure, over all candidates of the corpus, rejects
-randomness; it is length-aware: a run's p-value is weighted by its length over the mean length, so long runs,
-whose tests see more, must look random to a finer measure. What stays unrejected is a
-span, whatever its classes of characters. The tests of a run of 20 to 25 letters of one case have little power, so
-a long word can stay.
-The p-values are counted in bins of a tenth of a power of ten, so nothing is sorted or collected.
+Spans of kind ``random`` are added for runs of 20 or more of [A-Za-z0-9+/_-] outside of base spans. A long run
+is judged in windows of 128 to 255 characters, so its cost is linear and no window's counts hide another's; windows that
+are found side by side become one span. Two hypotheses are tested:
+
+* random: uniform, independent characters of the window's encoding, inferred from its characters: decimal, hex (one
+  case), base32, base36 (one case), or base64. Chi-squared of the characters' counts, the number of runs of
+  characters in the lower or upper half of the alphabet, and the correlation of neighbours give three p-values, combined by
+  Bonferroni's bound, for all windows of a run. A window that they reject at ``RANDOM_LEVEL`` (repetitions, drawn lines, counting) is no secret.
+* ordinary text: neighbouring letters follow each other as they do in the corpus. The corpus's letter pairs (of all
+  texts but their runs of 20 or more) give the mean and the spread of a pair's surprise;
+  a window's mean surprise over its letter pairs, case folded, without steps from a small letter to a capital, gives an
+  upper-tail p-value. ``SPREAD`` widens the spread, since words differ by more than independent pairs would.
+
+The Benjamini-Yekutieli procedure over all windows of the corpus bounds the share of ordinary text among what is
+reported by ``FALSE_DISCOVERY``; it is length-aware: a p-value is weighted by the window's length over the mean length. The
+p-values are counted in bins of a tenth of a power of ten, so nothing is sorted or collected. A run without letters in a
+row can't be told from ordinary numbers and is not reported.
 
 A null text counts as empty. Rows with equal doc_id stay apart. An empty table gives no rows. Other
 columns are ignored. Positions are code points, ends exclusive.
@@ -21,6 +27,9 @@ columns are ignored. Positions are code points, ends exclusive.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -41,7 +50,9 @@ PRESENT = {
     "random": r"[A-Za-z0-9+/_-]{20}",
 }
 RANDOM = r"[A-Za-z0-9+/_-]{20,}"
-FALSE_DISCOVERY = 0.05
+WINDOW = 128
+FALSE_DISCOVERY, RANDOM_LEVEL, SPREAD = 0.05, 0.001, 2.0
+LETTERS = 26
 BINS_PER_POWER, MOST_POWER = 10, 300
 
 _SPAN = "array<struct<start:int,rank:int,end:int,kind:string>>"
@@ -72,15 +83,22 @@ def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x.kind, x.start, x.end)), ",")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is evaluated once, however often ``body`` uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _upper_tail(z: Column) -> Column:
-    """The normal distribution's upper tail, by its logistic approximation."""
-    return 1 / (1 + F.exp(F.least(F.lit(690.0), 1.5976 * z + 0.070565992 * z * z * z)))
+    """The normal distribution's upper tail, by a polynomial approximation (7.5e-8)."""
+    t = 1 / (1 + 0.2316419 * F.abs(z))
+    poly = t * (0.319381530 + t * (-0.356563782 + t * (1.781477937 + t * (-1.821255978 + t * 1.330274429))))
+    tail = F.exp(-F.least(z * z, F.lit(1300.0)) / 2) * 0.3989422804014327 * poly
+    return F.when(z < 0, 1 - tail).otherwise(tail)
 
 
-def randomness(s: Column) -> Column:
-    """The p-value of ``s`` under the hypothesis of random characters of its encoding."""
+def alphabet(s: Column) -> Column:
     upper, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
-    alphabet = (
+    return (
         F.when(s.rlike("^[0-9]+$"), digits)
         .when(s.rlike("^[0-9a-f]+$"), digits + "abcdef")
         .when(s.rlike("^[0-9A-F]+$"), digits + "ABCDEF")
@@ -91,34 +109,102 @@ def randomness(s: Column) -> Column:
         .when(s.rlike("[_-]"), upper + upper.lower() + digits + "-_")
         .otherwise(upper + upper.lower() + digits)
     )
-    n, kinds = F.length(s).cast("double"), F.length(alphabet).cast("double")
-    counts = F.transform(F.sequence(F.lit(1), F.length(alphabet)), lambda k: F.length(s) - F.length(F.replace(s, F.substring(alphabet, k, F.lit(1)), F.lit(""))))
-    squares = F.aggregate(counts, F.lit(0.0), lambda acc, c: acc + c * c)
-    df = kinds - 1
-    chi = squares * kinds / n - n
-    z_chi = (F.pow(F.greatest(chi, F.lit(0.0)) / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df))
-
-    x = F.transform(F.sequence(F.lit(1), F.length(s)), lambda i: F.instr(alphabet, F.substring(s, i, F.lit(1))).cast("double"))
-    half = F.transform(x, lambda v: (v > kinds / 2).cast("double"))
-    pairs = lambda a: F.zip_with(F.slice(a, F.lit(1), F.length(s) - 1), F.slice(a, F.lit(2), F.length(s) - 1), lambda u, v: F.struct(u.alias("u"), v.alias("v")))
-    high = F.aggregate(half, F.lit(0.0), lambda acc, v: acc + v)
-    product = 2 * high * (n - high)
-    runs = F.aggregate(pairs(half), F.lit(1.0), lambda acc, p: acc + (p.u != p.v).cast("double"))
-    spread = F.sqrt(product * (product - n) / (n * n * (n - 1)))
-    z_runs = F.when(spread > 0, F.abs(runs - product / n - 1) / spread).otherwise(F.lit(40.0))  # all in one half
-
-    mean = F.aggregate(x, F.lit(0.0), lambda acc, v: acc + v) / n
-    variance = F.aggregate(x, F.lit(0.0), lambda acc, v: acc + (v - mean) * (v - mean))
-    together = F.aggregate(pairs(x), F.lit(0.0), lambda acc, p: acc + (p.u - mean) * (p.v - mean))
-    z_serial = F.when(variance > 0, F.abs(together / variance + 1 / n) * F.sqrt(n)).otherwise(F.lit(40.0))
-    return F.least(F.lit(1.0), 3 * F.least(_upper_tail(z_chi), 2 * _upper_tail(z_runs), 2 * _upper_tail(z_serial)))
-
-
-def candidates(text: Column, base: Column) -> Column:
-    """(start, end, p) of the runs outside of ``base`` that could be keys."""
-    spans = F.filter(matches(text, RANDOM, 0, 20, "random", len(KINDS)), lambda x: ~F.exists(base, lambda b: (b.start < x.end) & (x.start < b.end)))
-    with_text = F.transform(spans, lambda x: F.struct(x.start.alias("start"), x.end.alias("end"), F.substring(text, x.start + 1, x.end - x.start).alias("s")))
-    return F.transform(with_text, lambda x: F.struct(x.start.alias("start"), x.end.alias("end"), randomness(x.s).alias("p")))
+
+
+def randomness(s: Column) -> Column:
+    """The p-value of ``s`` under the hypothesis of random characters of its encoding, in one pass over them."""
+    chars = F.regexp_extract_all(s, F.lit("."), F.lit(0))
+
+    def tests(letters: Column) -> Column:
+        n, kinds = F.length(s).cast("double"), F.length(letters).cast("double")
+        counts = F.transform(F.sequence(F.lit(1), F.length(letters)), lambda k: F.length(s) - F.length(F.replace(s, F.substring(letters, k, F.lit(1)), F.lit(""))))
+        squares = F.aggregate(counts, F.lit(0.0), lambda acc, c: acc + c * c)
+        df = kinds - 1
+        chi = squares * kinds / n - n
+        z_chi = (F.pow(F.greatest(chi, F.lit(0.0)) / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df))
+        zero, none = F.lit(0.0), F.lit(None).cast("double")
+        start = F.struct(zero.alias("sum"), zero.alias("square"), zero.alias("product"), zero.alias("high"), zero.alias("runs"), none.alias("first"), none.alias("last"))
+
+        def step(acc: Column, v: Column) -> Column:
+            upper = lambda x: (x > kinds / 2).cast("double")
+            again = F.coalesce(acc.last, F.lit(-1.0))
+            return F.struct(
+                (acc.sum + v).alias("sum"),
+                (acc.square + v * v).alias("square"),
+                (acc.product + F.coalesce(acc.last * v, F.lit(0.0))).alias("product"),
+                (acc.high + upper(v)).alias("high"),
+                (acc.runs + F.when(acc.last.isNull() | (upper(again) != upper(v)), 1.0).otherwise(0.0)).alias("runs"),
+                F.coalesce(acc.first, v).alias("first"),
+                v.alias("last"),
+            )
+
+        def combined(a: Column) -> Column:
+            product = 2 * a.high * (n - a.high)
+            spread = F.sqrt(product * (product - n) / (n * n * (n - 1)))
+            z_runs = F.when(spread > 0, F.abs(a.runs - product / n - 1) / spread).otherwise(F.lit(40.0))  # all in one half
+            mean = a.sum / n
+            variance = a.square - n * mean * mean
+            together = a.product - mean * (2 * a.sum - a.first - a.last) + (n - 1) * mean * mean
+            z_serial = F.when(variance > 1e-9, F.abs(together / variance + 1 / n) * F.sqrt(n)).otherwise(F.lit(40.0))
+            return F.least(F.lit(1.0), 3 * F.least(_upper_tail(z_chi), 2 * _upper_tail(z_runs), 2 * _upper_tail(z_serial)))
+
+        return let(F.aggregate(F.transform(chars, lambda c: F.instr(letters, c).cast("double")), start, step), combined)
+
+    return let(alphabet(s), tests)
+
+
+class PairModel:
+    """Surprise of each pair of letters, its mean and its spread in ordinary text."""
+
+    def __init__(self, counts: dict[str, int]):
+        place = {a + b: (ord(a) - 97) * LETTERS + ord(b) - 97 for a in map(chr, range(97, 123)) for b in map(chr, range(97, 123))}
+        table = [1.0] * LETTERS**2
+        for pair, n in counts.items():
+            table[place[pair]] += n
+        rows = [sum(table[i : i + LETTERS]) for i in range(0, LETTERS**2, LETTERS)]
+        self.surprise = [math.log(rows[i // LETTERS] / x) for i, x in enumerate(table)]
+        total = sum(table)
+        self.mean = sum(x * s for x, s in zip(table, self.surprise)) / total
+        self.spread = SPREAD * max(0.1, math.sqrt(sum(x * (s - self.mean) ** 2 for x, s in zip(table, self.surprise)) / total))
+
+
+def pair_counts(docs: DataFrame) -> DataFrame:
+    """(pair, n): the letter pairs of all texts, without runs of 20 or more; at most 676 rows."""
+    text = F.when(F.col("text").rlike(PRESENT["random"]), F.regexp_replace("text", RANDOM, " ")).otherwise(F.col("text"))
+    pairs = docs.select(F.explode(F.regexp_extract_all(text, F.lit("(?=([A-Za-z][a-z]))"), F.lit(1))).alias("pair"))
+    return pairs.groupBy("pair").agg(F.count("*").alias("n")).groupBy(F.lower("pair").alias("pair")).agg(F.sum("n").alias("n"))
+
+
+def ordinary(s: Column, model: PairModel) -> Column:
+    """The p-value of ``s`` under the hypothesis of ordinary text; 1 without letter pairs."""
+    table = F.lit(model.surprise)
+    start = F.struct(F.lit(0).alias("before"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("n"))
+
+    def step(acc: Column, code: Column) -> Column:
+        # codes: 65-90 and 97-122 are letters; a capital after a small letter begins a word
+        letter = lambda c: c.between(65, 90) | c.between(97, 122)
+        pair = letter(code) & letter(acc.before) & ~((acc.before >= 97) & (code <= 90))
+        fold = lambda c: F.pmod(c - 65, F.lit(32))
+        of = F.element_at(table, F.when(pair, fold(acc.before) * LETTERS + fold(code) + 1).otherwise(1))
+        return F.struct(code.alias("before"), (acc.sum + F.when(pair, of).otherwise(0.0)).alias("sum"), (acc.n + F.when(pair, 1.0).otherwise(0.0)).alias("n"))
+
+    codes = F.transform(F.regexp_extract_all(s, F.lit("."), F.lit(0)), lambda c: F.ascii(c))
+    z = lambda a: (a.sum / a.n - model.mean) * F.sqrt(a.n) / model.spread
+    return let(F.aggregate(codes, start, step), lambda a: F.when(a.n > 0, _upper_tail(z(a))).otherwise(1.0))
+
+
+def candidates(text: Column, base: Column, model: PairModel) -> Column:
+    """(start, end, p, random) of the windows of the runs outside of ``base``: both hypotheses' p-values."""
+    runs = F.arrays_zip(matches(text, RANDOM, 0, 20, "random", len(KINDS)).alias("span"), F.regexp_extract_all(text, F.lit(RANDOM), F.lit(0)).alias("s"))
+    outside = F.filter(runs, lambda x: ~F.exists(base, lambda b: (b.start < x.span.end) & (x.span.start < b.end)))
+    cut = F.lit(f".{{{WINDOW}}}(?:.{{0,{WINDOW - 1}}}$)?|.{{1,{WINDOW - 1}}}$")
+
+    def windows(x: Column) -> Column:
+        start = lambda i: x.span.start + i * WINDOW
+        judged = lambda w: F.transform(w, lambda s, i: F.struct(start(i).alias("start"), (start(i) + F.length(s)).alias("end"), ordinary(s, model).alias("p"), F.least(F.lit(1.0), randomness(s) * F.size(w)).alias("random")))
+        return let(F.regexp_extract_all(x.s, cut, F.lit(0)), judged)
+
+    return F.when(text.rlike(PRESENT["random"]), F.flatten(F.transform(outside, windows))).otherwise(F.array().cast("array<struct<start:int,end:int,p:double,random:double>>"))
 
 
 def _bin(p: Column, length: Column, mean: Column) -> Column:
@@ -140,16 +226,27 @@ def _first_rejected(found: DataFrame) -> DataFrame:
     return mean.crossJoin(rejected)
 
 
+def joined_windows(spans: Column) -> Column:
+    """Spans of kind random, those side by side as one."""
+
+    def step(acc: Column, x: Column) -> Column:
+        span = lambda start: F.struct(start.alias("start"), F.lit(len(KINDS)).alias("rank"), x.end.alias("end"), F.lit("random").alias("kind"))
+        last = F.try_element_at(acc, F.lit(-1))
+        return F.when(last.end == x.start, F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(span(last.start)))).otherwise(F.concat(acc, F.array(span(x.start))))
+
+    return F.aggregate(spans, F.array().cast(_SPAN), step)
+
+
 def secrets(docs: DataFrame) -> DataFrame:
     """(doc_id, base, spans) of each document: arrays of (start, rank, end, kind) in order."""
-    text = F.coalesce("text", F.lit(""))
-    kinds = [matches(text, pattern, group, least, kind, rank) for rank, (kind, pattern, group, least) in enumerate(KINDS)]
-    found = docs.select("doc_id", text.alias("text"), F.array_sort(F.concat(*kinds)).alias("base"))
-    found = written(found.select("doc_id", "base", candidates(F.col("text"), F.col("base")).alias("candidates")), "spans")
-    both = found.crossJoin(F.broadcast(_first_rejected(found)))
-    stays = F.filter("candidates", lambda x: F.coalesce(_bin(x.p, x.end - x.start, F.col("mean")) < F.col("rejected"), F.lit(True)))
-    added = F.transform(stays, lambda x: F.struct(x.start.alias("start"), F.lit(len(KINDS)).alias("rank"), x.end.alias("end"), F.lit("random").alias("kind")))
-    return both.select("doc_id", "base", F.array_sort(F.concat("base", added)).alias("spans"))
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    model = PairModel({r.pair: r.n for r in pair_counts(docs).collect()})  # at most 676 rows
+    kinds = [matches(F.col("text"), pattern, group, least, kind, rank) for rank, (kind, pattern, group, least) in enumerate(KINDS)]
+    both = let(F.array_sort(F.concat(*kinds)), lambda base: F.struct(base.alias("base"), candidates(F.col("text"), base, model).alias("candidates")))
+    found = written(docs.select("doc_id", both.alias("both")).select("doc_id", "both.base", "both.candidates"), "spans")
+    judged = found.crossJoin(F.broadcast(_first_rejected(found)))
+    secret = F.filter("candidates", lambda x: F.coalesce(_bin(x.p, x.end - x.start, F.col("mean")) >= F.col("rejected"), F.lit(False)) & (x.random >= RANDOM_LEVEL))
+    return judged.select("doc_id", "base", F.array_sort(F.concat("base", joined_windows(secret))).alias("spans"))
 
 
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

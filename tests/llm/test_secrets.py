@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 
@@ -33,15 +34,101 @@ def test_base_spans_equal_brute_force(spark, docs, rows):
     assert S.secrets(docs).count() == len(rows) and S.secrets(docs.limit(0)).isEmpty()
 
 
-def test_random_runs_are_found_and_words_are_not(spark):
+WORDS = """the quick brown fox jumps over lazy dog user guide version final image class name get value lorem ipsum dolor file path needed there
+long phrase often repeated known well backward compatible release candidate verwaltung gemeinschaft ordnung see house water people other about which
+their would these could because through system number report market company government program question service between""".split()
+UPPER, DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+ALPHABETS = [UPPER + UPPER.lower() + DIGITS + "+/", UPPER + "234567", UPPER.lower() + DIGITS, UPPER + DIGITS, UPPER + UPPER.lower()]
+PLAIN = [
+    "Lorem-Ipsum_Dolor2023", "User_Guide-Version12_Final", "Image_2023-11-04_Final", "MyClass_Name2/GetValue", "see/the/long/path/to/the/needed/file/there",
+    "Verwaltungsgemeinschaftsordnung2024Version", "Backward-Compatible_Release_Candidate_2", "a-well-known-and-often-repeated-long-phrase", "-" * 60, "Aa1" * 14, "A" * 15 + "b" * 15 + "1" * 10, "1234567890" * 5,
+]
+
+
+def prose():
+    rng = random.Random(4)
+    return [" ".join(rng.choice(WORDS) for _ in range(200)) for _ in range(200)]
+
+
+def test_keys_are_found_and_names_are_not(spark):
     rng = random.Random(2)
-    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
-    keys = ["".join(rng.choices(alphabet, k=40)) for _ in range(40)]
-    plain = ["Aa1" * 14, "A" * 15 + "b" * 15 + "1" * 10, "Verwaltungsgemeinschaftsordnung2024Anhang", "abcdefghijABCDEFGHIJ0123456789", "Backward-Compatible_Release_Candidate_2"]
-    df = spark.createDataFrame(list(enumerate([f"see {k} there" for k in keys] + [f"see {p} there" for p in plain])), "doc_id long, text string")
-    found = {r.doc_id: [x for x in r.spans if x.kind == "random"] for r in S.secrets(df).collect()}
-    assert sum(len(found[i]) == 1 and (found[i][0].start, found[i][0].end) == (4, 44) for i in range(40)) >= 36
-    assert sum(bool(found[40 + i]) for i in range(3)) == 0
+    keys = ["".join(rng.choices(a, k=n)) for a in ALPHABETS for n in (24, 32, 40, 40, 64)]
+    run = "".join(rng.choices(ALPHABETS[0], k=100_000))
+    texts = [f"see {k} there" for k in keys + PLAIN] + prose() + [f"data:{run} end", "x" * 50_000, "-" * 50_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    found = {r.doc_id: [(x.start, x.end) for x in r.spans if x.kind == "random"] for r in S.secrets(df).collect()}
+    hits = sum(found[i] == [(4, 4 + len(k))] for i, k in enumerate(keys))
+    assert hits >= 0.9 * len(keys)
+    at = len(keys)
+    assert not [p for i, p in enumerate(PLAIN) if found[at + i]]
+    at += len(PLAIN)
+    assert not any(found[at + i] for i in range(200))
+    assert found[at + 200] == [(5, 100_005)] and not found[at + 201] and not found[at + 202]
+
+
+def tail(z):
+    return math.erfc(z / math.sqrt(2)) / 2
+
+
+def brute_random(s):
+    kinds = [("^[0-9]+$", DIGITS), ("^[0-9a-f]+$", DIGITS + "abcdef"), ("^[0-9A-F]+$", DIGITS + "ABCDEF"), ("^(?=.*[2-7])[A-Z2-7]+$", UPPER + "234567"), ("^[0-9A-Z]+$", DIGITS + UPPER), ("^[0-9a-z]+$", DIGITS + UPPER.lower()),
+             ("[+/]", ALPHABETS[0]), ("[_-]", UPPER + UPPER.lower() + DIGITS + "-_"), ("", UPPER + UPPER.lower() + DIGITS)]
+    letters = next(a for p, a in kinds if re.search(p, s))
+    n, k = len(s), len(letters)
+    chi, df = sum(s.count(c) ** 2 for c in letters) * k / n - n, k - 1
+    z_chi = ((max(chi, 0) / df) ** (1 / 3) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df))
+    x = [letters.find(c) + 1 for c in s]
+    half = [v > k / 2 for v in x]
+    product = 2 * sum(half) * (n - sum(half))
+    runs = 1 + sum(a != b for a, b in zip(half, half[1:]))
+    z_runs = abs(runs - product / n - 1) / math.sqrt(product * (product - n) / (n * n * (n - 1))) if 0 < sum(half) < n else 40
+    mean = sum(x) / n
+    var = sum((v - mean) ** 2 for v in x)
+    z_serial = abs(sum((a - mean) * (b - mean) for a, b in zip(x, x[1:])) / var + 1 / n) * math.sqrt(n) if var > 1e-9 else 40
+    return min(1, 3 * min(tail(z_chi), 2 * tail(z_runs), 2 * tail(z_serial)))
+
+
+def brute_ordinary(s, model):
+    found = [model.surprise[(ord(a.lower()) - 97) * 26 + ord(b.lower()) - 97] for a, b in zip(s, s[1:]) if a.isalpha() and b.isalpha() and not (a.islower() and b.isupper())]
+    return tail((sum(found) / len(found) - model.mean) * math.sqrt(len(found)) / model.spread) if found else 1.0
+
+
+def close(a, b):
+    return abs(a - b) <= 0.05 * max(a, b) + 1e-12
+
+
+def test_p_values_equal_brute_force(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(5)
+    model = S.PairModel({a + b: rng.randrange(5000) for a in "etaoinsrh" for b in "etaoinsrh"})
+    runs = PLAIN + ["".join(rng.choices(a, k=rng.randint(20, 300))) for a in [*ALPHABETS, DIGITS, "eta", "ab_-", "AB12"] for _ in range(20)]
+    df = spark.createDataFrame([(r,) for r in runs], "s string").repartition(4)
+    got = df.select("s", S.randomness(F.col("s")).alias("p"), S.ordinary(F.col("s"), model).alias("q")).collect()
+    assert len(got) == len(runs)
+    for r in got:
+        assert close(r.p, brute_random(r.s)), r.s
+        assert close(r.q, brute_ordinary(r.s, model)), r.s
+
+
+def test_pairs_are_counted_outside_of_runs(spark):
+    df = spark.createDataFrame([("Abc ab'c " + "q" * 20,), ("zz",), (None,)], "text string")
+    assert {r.pair: r.n for r in S.pair_counts(df).collect()} == {"ab": 2, "bc": 1, "zz": 1}
+
+
+def test_the_cut_is_benjamini_yekutieli(spark):
+    rng = random.Random(6)
+    for share in (0.0, 0.2):
+        found = [(rng.randint(20, 255), 10 ** -rng.uniform(4, 12) if rng.random() < share else rng.random()) for _ in range(500)]
+        df = spark.createDataFrame([([(0, n, p, 1.0)],) for n, p in found], "candidates array<struct<start:int,end:int,p:double,random:double>>")
+        mean, cut = S._first_rejected(df).first()
+        bins = sorted((max(0, int(-math.log10(p * mean / n) * 10 // 1)) for n, p in found), reverse=True)
+        want = [b for i, b in enumerate(bins, 1) if 10 ** (-b / 10) <= bins_at_least(bins, b) * 0.05 / (500 * (math.log(500) + 0.5773))]
+        assert cut == (min(want) if want else None)
+
+
+def bins_at_least(bins, b):
+    return sum(x >= b for x in bins)
 
 
 def test_digest(spark):
@@ -50,16 +137,3 @@ def test_digest(spark):
     df = spark.createDataFrame([(1, TEXTS[1])], "doc_id long, text string")
     want = ",".join(f"{k}:{s}:{e}" for s, _, e, k in base(TEXTS[1]))
     assert S.secrets(df).select(F.sha2(S.joined(F.col("base")), 256)).first()[0] == hashlib.sha256(want.encode()).hexdigest()
-
-
-def test_keys_of_one_or_two_classes_are_found(spark):
-    rng = random.Random(3)
-    lower, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
-    alphabets = [lower.upper() + "234567", lower + digits, lower.upper() + digits, lower + lower.upper()]
-    keys = ["".join(rng.choices(a, k=40)) for a in alphabets for _ in range(20)]
-    prose = ["donaudampfschifffahrtsgesellschaftskapitaen", "see/the/long/path/to/the/needed/file/there", "a-well-known-and-often-repeated-long-phrase", "-" * 60]
-    df = spark.createDataFrame(list(enumerate([f"see {k} there" for k in keys + prose])), "doc_id long, text string")
-    found = {r.doc_id: [(x.start, x.end) for x in r.spans if x.kind == "random"] for r in S.secrets(df).collect()}
-    for k in range(4):
-        assert sum(found[20 * k + i] == [(4, 44)] for i in range(20)) >= 17, alphabets[k]
-    assert not any(found[80 + i] for i in range(1, 4))
