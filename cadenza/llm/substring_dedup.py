@@ -1,18 +1,21 @@
 """Operator 10: repeated passages by relative Lempel-Ziv parsing against an index of all documents.
 
 The index is a table of all 13-word windows that occur in more than one document, each with the smallest
-doc_id that has it: the reference. A document is parsed greedily from left to right: a factor starts at
-a window that the index holds with a smaller doc_id and runs on while the following windows are held by
-the same reference. Windows across the end of a factor are looked up like all others, so what two
-references cover only together is found too. The words of all factors are removed.
+doc_id that has it and the first place there: a position in the reference. A document is parsed greedily from left to
+right: a factor starts at a window that the index holds with a smaller doc_id and runs on while each following window is
+held at the next position of the same reference, so a factor is one passage of its reference: (start, words, reference,
+position). Windows across the end of a factor are looked up like all others, so what two references cover only together
+is found too. Factors are at least a window long; the words of all factors are removed.
 
 Steps: (1) every window names its anchor, the least hash of its 5-word shingles; anchors found in several documents
-go into a bit table of fixed size (SKETCH_BITS; a fuller table only lets more windows through). (2) Windows whose
-anchor is in the table are hashed to 64 bits and grouped, for the smallest doc_id, after Spark's partial
-aggregation. (3) Windows join that index, and what has a smaller doc_id goes back to its document. Only
-documents with such windows (a second bit table tells most others apart) are moved for the join. Equal
-windows always share their anchor, so no window is lost; hashes are 64-bit polynomials, mixed, and
-unequal windows meet with probability 2**-64 a pair.
+go into a bit table of fixed size (SKETCH_BITS; tasks pack it in blocks, so the driver passes on 16 MB, whatever the
+input). A table that is nearly full, as with a corpus of many TB, only lets more windows through: at worst every window
+is shuffled, 24 bytes a word before compression. (2) Windows whose anchor is in the table are hashed to 64 bits and grouped,
+for the smallest position, after Spark's partial aggregation. (3) Windows join that index, and what has a smaller doc_id goes
+back to its document. Only documents with such windows (a second bit table tells most others apart) are moved for the join.
+Equal windows always share their anchor, so no window is lost; hashes are 64-bit polynomials, mixed, and
+unequal windows meet with probability 2**-64 a pair: no such pair is expected up to some 10**9 windows, and some
+10**6 among the 10**13 windows of a corpus of 100 TB.
 
 A null text has no words. A null doc_id neither removes from others nor loses words. Rows with equal
 doc_id don't remove from each other. Windows are judged on the input. An empty table gives no rows. Other
@@ -27,7 +30,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table, written
@@ -35,8 +38,8 @@ from .common import table, written
 WINDOW, SHINGLE = 13, 5
 SKETCH_BITS, DOCUMENT_BITS = 27, 24
 BASE = 0x5851F42D4C957F2D | 1
-RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string, factors array<struct<start:int,words:int,reference:long>>"
-_FACTORS = pa.list_(pa.struct([("start", pa.int32()), ("words", pa.int32()), ("reference", pa.int64())]))
+RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string, factors array<struct<start:int,words:int,reference:long,position:int>>"
+_FACTORS = pa.list_(pa.struct([("start", pa.int32()), ("words", pa.int32()), ("reference", pa.int64()), ("position", pa.int32())]))
 
 
 @lru_cache(1)
@@ -94,13 +97,31 @@ class Hashed:
         return h
 
 
+BLOCK_BITS = 17
+PACKED_BITS = 62
+
+
 def _bits(column: str, bits: int, df: DataFrame) -> np.ndarray:
-    """A table of 2**bits bits with the bit of each hash in ``column`` set: of fixed size, whatever the rows."""
+    """A table of 2**bits bits with the bit of each hash in ``column`` set: of fixed size, whatever the rows. It comes to
+    the driver in blocks of 16 KB that tasks have packed."""
     place = F.shiftrightunsigned(column, 64 - bits)
     words = df.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned({column}, {64 - bits}) & 63 as int))")).alias("bits"))
-    found = words.toPandas()
+    size = 1 << (min(bits, BLOCK_BITS) - 6)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks: dict[int, np.ndarray] = {}
+        for batch in batches:
+            word, held = batch.column("word").to_numpy(), batch.column("bits").to_numpy()
+            for block in np.unique(word // size).tolist():
+                here = word // size == block
+                blocks.setdefault(block, np.zeros(size, np.int64))[word[here] % size] = held[here]
+        if blocks:
+            yield pa.RecordBatch.from_arrays([pa.array(list(blocks), pa.int64()), pa.array([b.tobytes() for b in blocks.values()], pa.binary())], ["block", "data"])
+
+    packed = words.repartition(max(1, (1 << bits >> BLOCK_BITS) // 32), F.floor(F.col("word") / size)).mapInArrow(pack, "block long, data binary").toArrow()
     out = np.zeros(1 << (bits - 6), np.int64)
-    out[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+    for block, data in zip(packed["block"].to_pylist(), packed["data"]):
+        out[block * size : (block + 1) * size] = np.frombuffer(data.as_buffer(), np.int64)
     return out.view(np.uint64)
 
 
@@ -114,49 +135,67 @@ def _id_hash(ids: np.ndarray) -> np.ndarray:
 
 
 def _hashes(docs: DataFrame, sketch=None) -> DataFrame:
-    """(hash, doc_id), once for each document: of anchors or, with ``sketch``, of windows whose anchor it holds."""
+    """(hash, doc_id, place), once for each document, at its first place: of anchors or, with ``sketch``, of windows whose
+    anchor it holds."""
+
+    def row_batch(out: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        hashes, ids, places = (np.concatenate(c) for c in zip(*out))
+        return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(ids), pa.array(places.astype(np.int32))], ["hash", "doc_id", "place"])
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out, ids = [], []
+            out, n = [], 0
             for i, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
                 h = Hashed(text.as_py())
                 found = h.anchors()
+                places = np.arange(len(found))
                 if sketch is not None and len(found):
-                    found = h.windows()[_held(sketch.value, found, SKETCH_BITS)]
-                found = np.unique(found)
-                out.append(found)
-                ids.append(np.full(len(found), i, np.int64))
-                if sum(map(len, out)) > 1 << 16:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out).view(np.int64)), pa.array(np.concatenate(ids))], ["hash", "doc_id"])
-                    out, ids = [], []
+                    places = np.flatnonzero(_held(sketch.value, found, SKETCH_BITS))
+                    found = h.windows()[places]
+                found, first = np.unique(found, return_index=True)
+                out.append((found, np.full(len(found), i, np.int64), places[first]))
+                n += len(found)
+                if n > 1 << 16:
+                    yield row_batch(out)
+                    out, n = [], 0
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out).view(np.int64)), pa.array(np.concatenate(ids))], ["hash", "doc_id"])
+                yield row_batch(out)
 
-    return docs.where("doc_id is not null").mapInArrow(hashed, "hash long, doc_id long")
+    return docs.where("doc_id is not null").mapInArrow(hashed, "hash long, doc_id long, place int")
 
 
-def factors(hashes: np.ndarray, known: np.ndarray, references: np.ndarray) -> list[tuple[int, int, int]]:
-    """(start, words, reference) of the greedy parse; ``known`` ascends."""
+def factors(hashes: np.ndarray, known: np.ndarray, references: np.ndarray, positions: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """(start, words, reference, position) of the greedy parse; ``known`` ascends."""
     if not len(known) or not len(hashes):
         return []
     at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
     places = np.flatnonzero(known[at] == hashes)
     if not len(places):
         return []
-    source = references[at[places]]
-    new = np.flatnonzero(np.concatenate(([True], (np.diff(places) != 1) | (np.diff(source) != 0))))
+    source, position = references[at[places]], positions[at[places]]
+    new = np.flatnonzero(np.concatenate(([True], (np.diff(places) != 1) | (np.diff(source) != 0) | (np.diff(position) != 1))))
     last = np.append(new[1:], len(places)) - 1
-    return [(s, e - s + WINDOW, r) for s, e, r in zip(places[new].tolist(), places[last].tolist(), source[new].tolist())]
+    return [(s, e - s + WINDOW, r, p) for s, e, r, p in zip(places[new].tolist(), places[last].tolist(), source[new].tolist(), position[new].tolist())]
+
+
+def _positions(docs: DataFrame) -> tuple[Column, Column, Column]:
+    """(reference, position, first): a document and a place in it as one value that orders by both, and what it holds. It is
+    a long where the ids' range and the longest text leave enough bits, which hash aggregates take; else a struct."""
+    low, high, most = docs.agg(F.min("doc_id"), F.max("doc_id"), F.max(F.octet_length("text"))).first()
+    low, bits = low or 0, ((most or 0) // 2 + 1).bit_length()  # a word and a space are two bytes
+    if ((high or 0) - low).bit_length() + bits > PACKED_BITS:
+        return F.col("first.doc_id"), F.col("first.place"), F.struct("doc_id", "place")
+    packed = F.shiftleft(F.col("doc_id") - low, bits) + F.col("place")
+    return F.shiftright("first", bits) + low, F.col("first").bitwiseAND(F.lit((1 << bits) - 1).cast("long")).cast("int"), packed
 
 
-def _result(doc_id: int | None, hashed: Hashed, found: list[tuple[int, int, int]], texts: bool) -> tuple:
+def _result(doc_id: int | None, hashed: Hashed, found: list[tuple[int, int, int, int]], texts: bool) -> tuple:
     words = hashed.words
     keep = np.ones(len(words), bool)
-    for start, n, _ in found:
+    for start, n, *_ in found:
         keep[start : start + n] = False
     kept = b" ".join(w for w, k in zip(words, keep.tolist()) if k) if found else b" ".join(words)
-    return doc_id, len(words), int((~keep).sum()), hashlib.sha256(kept).hexdigest(), kept.decode() if texts else None, [dict(zip(("start", "words", "reference"), f)) for f in found]
+    return doc_id, len(words), int((~keep).sum()), hashlib.sha256(kept).hexdigest(), kept.decode() if texts else None, [dict(zip(("start", "words", "reference", "position"), f)) for f in found]
 
 
 def _batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
@@ -179,10 +218,11 @@ def parse(docs: DataFrame, texts: bool = False) -> DataFrame:
     shared = _hashes(docs).groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
     sketch = spark.sparkContext.broadcast(_bits("hash", SKETCH_BITS, shared))
     windows = _hashes(docs, sketch)
-    index = windows.groupBy("hash").agg(F.min("doc_id").alias("reference"), F.count("*").alias("n")).where("n > 1").select("hash", "reference")
-    hits = windows.join(index.hint("merge"), "hash").where("doc_id > reference").select("doc_id", "hash", "reference")
-    hits = hits.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("hash", "reference"))).alias("hits"))  # no more than the document has windows
-    hits = written(hits.select("doc_id", F.col("hits.hash").alias("hashes"), F.col("hits.reference").alias("references")), "hits")
+    reference, position, first = _positions(docs)
+    index = windows.groupBy("hash").agg(F.min(first).alias("first"), F.count("*").alias("n")).where("n > 1").select("hash", reference.alias("reference"), position.alias("position"))
+    hits = windows.select("hash", "doc_id").join(index.hint("merge"), "hash").where("doc_id > reference")
+    hits = hits.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("hash", "reference", "position"))).alias("hits"))  # no more than the document has windows
+    hits = written(hits.select("doc_id", F.col("hits.hash").alias("hashes"), F.col("hits.reference").alias("references"), F.col("hits.position").alias("positions")), "hits")
 
     def id_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,18 +246,18 @@ def parse(docs: DataFrame, texts: bool = False) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows(batch: pa.RecordBatch) -> Iterator[tuple]:
             for i in range(batch.num_rows):
-                doc_id, text, known, references = (batch.column(c)[i].as_py() for c in ("doc_id", "text", "hashes", "references"))
+                doc_id, text, *held = (batch.column(c)[i].as_py() for c in ("doc_id", "text", "hashes", "references", "positions"))
                 h = Hashed(text)
-                known, references = np.array(known or [], np.int64).view(np.uint64), np.array(references or [], np.int64)
-                order = np.argsort(known)  # Spark sorts longs as signed
-                yield _result(doc_id, h, factors(h.windows(), known[order], references[order]), texts)
+                known, references, positions = (np.array(x or [], np.int64) for x in held)
+                order = np.argsort(known.view(np.uint64))  # Spark sorts longs as signed
+                yield _result(doc_id, h, factors(h.windows(), known.view(np.uint64)[order], references[order], positions[order]), texts)
 
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 yield from _batches(rows(batch.slice(at, 500)))
 
     joined = docs.mapInArrow(others, "doc_id long, text string").join(hits, "doc_id", "left")
-    return docs.mapInArrow(untouched, RESULT).unionByName(joined.select("doc_id", "text", "hashes", "references").mapInArrow(cut, RESULT))
+    return docs.mapInArrow(untouched, RESULT).unionByName(joined.select("doc_id", "text", "hashes", "references", "positions").mapInArrow(cut, RESULT))
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,11 +33,24 @@ def test_equals_brute_force(spark, docs, rows):
     for r in got:
         assert all(f.words >= S.WINDOW and f.reference < r.doc_id for f in r.factors)
         assert len({k for f in r.factors for k in range(f.start, f.start + f.words)}) == r.n_removed
+    # a factor is one passage of its reference, at the given position
+    words = {i: (t or "").split() for i, t in [*((i, t) for i, t, _ in rows), *more]}
+    for r in got:
+        for f in r.factors:
+            assert words[r.doc_id][f.start : f.start + f.words] == words[f.reference][f.position : f.position + f.words]
+
+
+def test_the_parse_is_greedy_and_ends_where_the_reference_does(spark):
+    a, b = prose(1, 30).split(), prose(2, 30).split()
+    docs = [(1, " ".join(a)), (2, " ".join(b)), (3, " ".join(a[5:25] + ["new"] + b[:20] + a[10:]))]
+    got = {r.doc_id: [tuple(f) for f in r.factors] for r in S.parse(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {1: [], 2: [], 3: [(0, 20, 1, 5), (21, 20, 2, 0), (41, 20, 1, 10)]}
 
 
 def test_a_full_table_of_anchors_loses_nothing(spark, docs, rows, monkeypatch):
     monkeypatch.setattr(S, "SKETCH_BITS", 7)
     monkeypatch.setattr(S, "DOCUMENT_BITS", 7)
+    monkeypatch.setattr(S, "PACKED_BITS", 0)
     got = S.parse(docs).collect()
     assert sorted((r.doc_id or 0, r.n_words, r.n_removed, r.kept_sha256) for r in got) == [x[:4] for x in brute([(i, t) for i, t, _ in rows])]
 
