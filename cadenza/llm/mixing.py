@@ -2,11 +2,15 @@
 
 Words of each source's documents form one stream, cut into blocks of ``block`` words. A source's target
 is its weighted share of all words; targets stop at ``most`` times the source's size and the excess goes to
-the others by weight. Targets become quotas of blocks, and all slots of the mix are dealt to output
-shards by a pseudorandom permutation: the sources' counts in a shard are a multinomial draw given the
-quotas, so the targets are met whatever the draw. The j-th slot of a source takes the
-block that the permutation of pass (j div blocks) gives for (j mod blocks), so a block comes back only when
-all others of its source have come once more. Blocks and slots are joined by (source, block).
+the others by weight. Targets become quotas of blocks. Then three steps follow:
+
+1. Draw: every output shard of ``SLOTS_PER_SHARD`` slots gets a number of slots of each source, a multinomial draw given
+   the quotas that the other shards leave (a multivariate hypergeometric one), so that targets are met whatever the draw. A
+   pseudorandom permutation deals the quotas' units to the shards and each (source, shard) counts its own: ``draws``.
+2. Slots: the counts of a source over its shards, in order, number its slots. The j-th slot takes the block that the
+   permutation of pass (j div blocks) gives for (j mod blocks), so a block comes back only when all others of its
+   source have come once more: ``slots``, with their shard.
+3. Join: blocks and slots are joined by (source, block).
 
 The permutations are Feistel networks on a rectangle of at least n cells; a value beyond n is sent
 through again until it is below.
@@ -91,12 +95,12 @@ def _stepped(x: Column, n: Column) -> Column:
 def placed(docs: DataFrame) -> DataFrame:
     """``docs`` (doc_id, source, tag, size) with ``at``: words of the source's stream before the document.
 
-    The stream's order is by bucket of the doc_id's hash (of the text's hash where the id is null, so that these
-    rows are spread, too), then doc_id. Counts within buckets and the sum over buckets are separate, so no
+    The stream's order is by bucket of the hash of doc_id and text (so rows with an equal or null id are spread, too),
+    then doc_id. Counts within buckets and the sum over buckets are separate, so no
     task holds a source.
     """
     buckets = max(256, docs.count() // ROWS_PER_BUCKET)
-    d = docs.withColumn("bucket", F.pmod(F.when(F.col("doc_id").isNull(), F.xxhash64("tag")).otherwise(F.xxhash64("doc_id")), F.lit(buckets)))
+    d = docs.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "tag"), F.lit(buckets)))
     inside = Window.partitionBy("source", "bucket").orderBy("doc_id", "size", "tag").rowsBetween(Window.unboundedPreceding, -1)
     over = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = d.groupBy("source", "bucket").agg(F.sum("size").alias("words")).withColumn("bucket_at", F.coalesce(F.sum("words").over(over), F.lit(0)))
@@ -106,27 +110,45 @@ def placed(docs: DataFrame) -> DataFrame:
     return d.drop("s", "b", "bucket").withColumn("at", F.col("bucket_at") + F.col("inside")).drop("bucket_at", "inside")
 
 
-def draw(sources: DataFrame, block: int = BLOCK, seed: int = SEED, most: int = MOST) -> DataFrame:
-    """The slots of the mix: (source, shard, pass, index), from (source, source_size, target)."""
-    spark = sources.sparkSession
+def quotas(sources: DataFrame, block: int = BLOCK, most: int = MOST) -> DataFrame:
+    """(source, blocks, quota, first_unit), from (source, source_size, target); units are numbered over all sources."""
     s = sources.where("source_size > 0").withColumn("blocks", F.ceil(F.col("source_size") / block))
     # a source's last block may be short, so quotas count blocks of the source's mean length
     quota = F.least(F.round(F.col("target") * F.col("blocks") / F.col("source_size")).cast("long"), F.col("blocks") * most)
-    after = Window.orderBy(F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
-    s = s.withColumn("quota", quota).where("quota > 0").withColumn("first_slot", F.sum("quota").over(after) - F.col("quota"))
-    total = s.agg(F.coalesce(F.sum("quota"), F.lit(0))).first()[0]
-    # the slots of one source are a run of numbers; their places in the shards are permuted
-    runs = s.select("source", "blocks", "quota", "first_slot", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("quota") - 1) / SLOTS_PER_SHARD).cast("long"))).alias("run"))
-    runs = runs.repartition(spark.sparkContext.defaultParallelism * 4, "first_slot", "run")
-    last = F.least(F.col("quota"), (F.col("run") + 1) * SLOTS_PER_SHARD) - 1
-    slots = runs.select("source", "blocks", "first_slot", F.explode(F.sequence(F.col("run") * SLOTS_PER_SHARD, last)).alias("j"))
-    again = F.floor(F.col("j") / F.col("blocks")).cast("int")
-    return slots.select(
-        "source",
-        F.floor(permuted(F.col("first_slot") + F.col("j"), F.lit(total), F.lit(seed)) / SLOTS_PER_SHARD).cast("long").alias("shard"),
-        again.alias("pass"),
-        permuted(F.pmod("j", "blocks"), F.col("blocks"), F.lit(seed), F.col("first_slot"), again).alias("index"),
-    )
+    after = Window.orderBy(F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)  # a row per source
+    return s.withColumn("quota", quota).where("quota > 0").select("source", "blocks", "quota", (F.sum("quota").over(after) - F.col("quota")).alias("first_unit"))
+
+
+def _numbered(df: DataFrame, count: str, *columns: str) -> DataFrame:
+    """A row for each number below ``count``, as ``k``; made in two steps, so that no task makes many more than another."""
+    runs = F.sequence(F.lit(0).cast("long"), F.floor((F.col(count) - 1) / SLOTS_PER_SHARD).cast("long"))
+    runs = df.select(*columns, count, F.explode(runs).alias("run")).repartition(df.sparkSession.sparkContext.defaultParallelism * 4, *columns, "run")
+    last = F.least(F.col(count), (F.col("run") + 1) * SLOTS_PER_SHARD) - 1
+    return runs.select(*columns, F.explode(F.sequence(F.col("run") * SLOTS_PER_SHARD, last)).alias("k"))
+
+
+def draws(quota: DataFrame, seed: int = SEED) -> DataFrame:
+    """(source, blocks, first_unit, shard, slots): how many slots of each shard a source gets."""
+    total = quota.agg(F.coalesce(F.sum("quota"), F.lit(0))).first()[0]
+    units = _numbered(quota, "quota", "source", "blocks", "first_unit")
+    shard = F.floor(permuted(F.col("first_unit") + F.col("k"), F.lit(total), F.lit(seed)) / SLOTS_PER_SHARD).cast("long")
+    return units.groupBy("source", "blocks", "first_unit", shard.alias("shard")).agg(F.count("*").alias("slots"))
+
+
+def draw(sources: DataFrame, block: int = BLOCK, seed: int = SEED, most: int = MOST) -> DataFrame:
+    """The slots of the mix: (source, shard, pass, index), from (source, source_size, target)."""
+    drawn = written(draws(quotas(sources, block, most), seed), "draws")
+    # numbers of slots before a shard: inside of a thousand shards, and before these
+    some = drawn.withColumn("thousand", F.floor(F.col("shard") / 1000))
+    inside = Window.partitionBy("source", "thousand").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    over = Window.partitionBy("source").orderBy("thousand").rowsBetween(Window.unboundedPreceding, -1)
+    starts = some.groupBy("source", "thousand").agg(F.sum("slots").alias("n")).select(F.col("source").alias("s"), F.col("thousand").alias("t"), F.coalesce(F.sum("n").over(over), F.lit(0)).alias("before"))
+    some = some.withColumn("inside", F.coalesce(F.sum("slots").over(inside), F.lit(0)))
+    some = some.join(starts, some.source.eqNullSafe(starts.s) & (some.thousand == starts.t)).withColumn("first", F.col("before") + F.col("inside"))
+    slots = _numbered(some, "slots", "source", "blocks", "first_unit", "shard", "first")
+    j = F.col("first") + F.col("k")
+    again = F.floor(j / F.col("blocks")).cast("int")
+    return slots.select("source", "shard", again.alias("pass"), permuted(F.pmod(j, F.col("blocks")), F.col("blocks"), F.lit(seed), F.col("first_unit"), again).alias("index"))
 
 
 def pieces(placed_docs: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -144,17 +166,18 @@ def _sized(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def mix(docs: DataFrame, block: int = BLOCK, seed: int = SEED) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken) of each document."""
+    """(doc_id, source, size, source_size, target, taken, first_shard) of each document: the words that the mix takes, and
+    the first output shard that has some of them."""
     sized, sources = _sized(docs)
     here = placed(sized)
-    times = draw(sources, block, seed).groupBy("source", "index").agg(F.count("*").alias("times")).select(F.col("source").alias("s"), F.col("index").alias("i"), "times")
+    times = draw(sources, block, seed).groupBy("source", "index").agg(F.count("*").alias("times"), F.min("shard").alias("shard")).select(F.col("source").alias("s"), F.col("index").alias("i"), "times", "shard")
     p = pieces(here, block)
     # planners take an exploded table for as small as what it came from; a merge join needs no estimate
-    taken = p.join(times.hint("merge"), p.source.eqNullSafe(times.s) & (p.index == times.i)).groupBy("doc_id", "source", "at").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
-    taken = taken.select(F.col("doc_id").alias("d"), F.col("source").alias("s"), F.col("at").alias("a"), "taken")
+    taken = p.join(times.hint("merge"), p.source.eqNullSafe(times.s) & (p.index == times.i)).groupBy("doc_id", "source", "at").agg(F.sum(F.col("words") * F.col("times")).alias("taken"), F.min("shard").alias("first_shard"))
+    taken = taken.select(F.col("doc_id").alias("d"), F.col("source").alias("s"), F.col("at").alias("a"), "taken", "first_shard")
     joined = here.join(taken, here.doc_id.eqNullSafe(taken.d) & here.source.eqNullSafe(taken.s) & (here.at == taken.a) & (here.size > 0), "left")
     named = sources.select(F.col("source").alias("of"), "source_size", "target")
-    return joined.join(named, joined.source.eqNullSafe(named.of)).select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    return joined.join(named, joined.source.eqNullSafe(named.of)).select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "first_shard")
 
 
 def mixed_documents(docs: DataFrame, block: int = BLOCK, seed: int = SEED) -> DataFrame:
@@ -164,22 +187,21 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, seed: int = SEED) -> Da
     The columns are those of ``docs``; n_chars, if there, is counted anew. Rows are numbered and written first, so
     that rows with equal (or null) doc_id stay apart.
     """
-    columns = docs.columns
-    docs = written(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
-    sized, sources = _sized(docs)
+    rows = written(docs.select(F.monotonically_increasing_id().alias(ROW), F.struct("*").alias("doc")), "rows")
+    sized, sources = _sized(rows.select(ROW, "doc.doc_id", "doc.source", "doc.text"))
     here = placed(sized)
     slots = draw(sources, block, seed).select(F.col("source").alias("s"), F.col("index").alias("i"), "pass")
     p = pieces(here, block)
-    chosen = p.join(slots.hint("merge"), p.source.eqNullSafe(slots.s) & (p.index == slots.i)).groupBy(ROW, "pass").agg(F.array_sort(F.collect_set(F.struct("from_word", "words"))).alias("parts"), F.first("size").alias("size"))
-    joined = docs.join(chosen.select(ROW, "pass", "parts", F.col("size").alias("whole")), ROW)
-    words = F.regexp_extract_all("text", F.lit(f"({WORD})"))
+    chosen = p.join(slots.hint("merge"), p.source.eqNullSafe(slots.s) & (p.index == slots.i)).groupBy(ROW, "pass").agg(F.array_sort(F.collect_set(F.struct("from_word", "words"))).alias("parts"), F.first("size").alias("whole"))
+    joined = rows.join(chosen, ROW)
+    words = F.regexp_extract_all("doc.text", F.lit(f"({WORD})"))
     taken = F.aggregate("parts", F.lit(0).cast("long"), lambda acc, x: acc + x.words)
     cut = F.array_join(F.flatten(F.transform("parts", lambda x: F.slice(words, x.from_word.cast("int") + 1, x.words.cast("int")))), " ")
-    joined = joined.withColumn("text", F.when(taken == F.col("whole"), F.col("text")).otherwise(cut))
-    if "n_chars" in columns:
-        joined = joined.withColumn("n_chars", F.length("text").cast("long"))
-    return joined.select(*columns)
+    joined = joined.select(F.col("doc").withField("text", F.when(taken == F.col("whole"), F.col("doc.text")).otherwise(cut)).alias("doc"))
+    if "n_chars" in docs.columns:
+        joined = joined.select(F.col("doc").withField("n_chars", F.length("doc.text").cast("long")).alias("doc"))
+    return joined.select("doc.*")
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source")
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "first_shard")

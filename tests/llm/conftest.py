@@ -2,7 +2,9 @@ import random
 
 import pytest
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, hash long, size long, at int, fp string, key string, first int, toxicity double, start int, value string"
+# names that operators use inside, as extra columns
+NAMES = "_id _none _tag none id tag k doc root entry bands parts pass whole d s i a b t at_ bucket bucket_at inside taken times shard target source_size slots frame content path file ordinal offset length place ids band n pairs x y fingerprint node component_id record member digest payload item_id edits similarity row half".split()
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, hash long, size long, at int, fp string, key string, first int, toxicity double, start int, value string, " + ", ".join(f"{c} string" for c in NAMES)
 
 
 def prose(seed: int, n: int, words: int = 400) -> str:
@@ -36,4 +38,4 @@ def rows():
 
 @pytest.fixture(scope="session")
 def docs(spark, rows):
-    return spark.createDataFrame([(i, t, "en", s, len(t or ""), 1, 2, 3, "4", "5", 6, 0.5, 7, "8") for i, t, s in rows], SCHEMA)
+    return spark.createDataFrame([(i, t, "en", s, len(t or ""), 1, 2, 3, "4", "5", 6, 0.5, 7, "8", *NAMES) for i, t, s in rows], SCHEMA)

@@ -2,6 +2,8 @@ import re
 
 from cadenza.llm import mixing as M
 
+from .conftest import NAMES
+
 
 def brute_targets(sizes):
     """By the rule as told: share by weight, stop at three times the size, deal out the rest again."""
@@ -73,7 +75,7 @@ def test_no_documents(spark, docs):
 
 
 def test_the_mix_as_documents_keeps_rows_with_equal_ids_apart(spark, docs):
-    more = spark.createDataFrame([(i, f"{'x' if i else 'n'}{k} " * (30 + k), "en", "a", 0, 1, 2, 3, "4", "5", 6, 0.5, 7, "8") for i in (None, 2) for k in range(12)], docs.schema)
+    more = spark.createDataFrame([(i, f"{'x' if i else 'n'}{k} " * (30 + k), "en", "a", 0, 1, 2, 3, "4", "5", 6, 0.5, 7, "8", *NAMES) for i in (None, 2) for k in range(12)], docs.schema)
     rows = docs.unionByName(more)
     count = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t))
     by_source = {}
@@ -87,3 +89,27 @@ def test_the_mix_as_documents_keeps_rows_with_equal_ids_apart(spark, docs):
         times = sum(r.text.split().count(name) for r in mixed)
         size = sum(t.split().count(name) for t in texts)
         assert times <= 3 * size and any((times, size) == pair for pair in by_source["a"])
+
+
+def test_the_draw(spark, monkeypatch):
+    """Counts by source and shard: they add up to the quotas and the shards' sizes, and vary as a draw without replacement does."""
+    monkeypatch.setattr(M, "SLOTS_PER_SHARD", 64)
+    sources = spark.createDataFrame([("a", 64_000, 64_000.0), ("b", 16_000, 40_000.0), (None, 640, 1280.0)], "source string, source_size long, target double")
+    quota = {r.source: r.quota for r in M.quotas(sources).collect()}
+    assert quota == {"a": 1000, "b": 625, None: 20}
+    drawn = M.draws(M.quotas(sources)).collect()
+    shards = -(-sum(quota.values()) // 64)
+    for s, n in quota.items():
+        assert sum(r.slots for r in drawn if r.source == s) == n
+    sizes = [sum(r.slots for r in drawn if r.shard == k) for k in range(shards)]
+    assert sizes == [64] * (shards - 1) + [sum(quota.values()) - 64 * (shards - 1)]
+    p, counts = 1000 / 1645, [r.slots for r in drawn if r.source == "a" and r.shard < shards - 1]
+    variance = sum((c - 64 * p) ** 2 for c in counts) / len(counts)
+    assert 0.3 < variance / (64 * p * (1 - p)) < 2.5
+    # the slots are those of the draw: as many of each source and shard, each block of a pass once
+    slots = M.draw(sources).collect()
+    times = lambda rows, key: {k: sum(key(r) == k for r in rows) for k in {key(r) for r in rows}}
+    assert times(slots, lambda r: (r.source, r.shard)) == {(r.source, r.shard): r.slots for r in drawn}
+    assert max(times(slots, lambda r: (r.source, r["pass"], r["index"])).values()) == 1
+    assert {(r.source, r["index"]) for r in slots if r.source == "a"} == {("a", i) for i in range(1000)}
+    assert M.draws(M.quotas(sources), seed=1).collect() != drawn
