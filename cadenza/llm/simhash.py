@@ -93,15 +93,20 @@ def simhash_components(docs: DataFrame) -> DataFrame:
     return _grouped(docs).select("doc_id", "fp", "component_id")
 
 
+def only(docs: DataFrame, keep: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each row of ``keep`` (none: is the id null; id; tag: a hash of the text). Of rows with equal
+    id and text, the one whose other columns have the smallest hash stays."""
+    key = ["none", "id", "tag"]
+    rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").isNull().alias("none"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.xxhash64("text").alias("tag"))
+    others = F.xxhash64(F.to_json(F.col("doc").dropFields("text")))
+    return rows.join(keep.select(*key), key, "left_semi").groupBy(*key).agg(F.min_by("doc", others).alias("doc")).select("doc.*")
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
     """One document of each component: the one with the smallest id (of equal ids, with the smallest hash of its
-    text; a document without an id only where none has one)."""
-    row = [F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("_id"), F.col("doc_id").isNull().alias("_none")]
+    text, then of the whole row; a document without an id only where none has one)."""
     first = _grouped(docs).groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), "tag")).alias("k"))
-    keep = first.select(F.col("k.id").alias("_id"), F.col("k.none").alias("_none"), F.col("k.tag").alias("_tag"))
-    marked = docs.select(*docs.columns, *row, F.xxhash64("text").alias("_tag"))
-    on = ["_id", "_none", "_tag"]
-    return marked.join(keep, on, "left_semi").dropDuplicates(on).select(*docs.columns)
+    return only(docs, first.select("k.*"))
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
