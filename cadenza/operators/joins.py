@@ -30,8 +30,10 @@ def interval_join(samples: DataFrame, intervals: DataFrame, key: str, at: str, s
     """Samples with the intervals [start, end) of their key that hold them.
 
     With ``width``, both sides also meet on the number of a time bucket of that width, so a key with many
-    samples and intervals is spread out.
+    samples and intervals is spread out. But for the key the two sides may share no column name.
     """
+    if shared := (set(samples.columns) & set(intervals.columns)) - {key}:
+        raise ValueError(f"both sides have columns {sorted(shared)}")
     i = intervals.select(*(F.col(c).alias("_key") if c == key else F.col(c) for c in intervals.columns))
     inside = (samples[key] == i["_key"]) & (samples[at] >= i[start]) & (samples[at] < i[end])
     if width is None:

@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-import json
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 # The states of a reconciled row.
 STATES = ("NEW", "CHANGED", "UNCHANGED", "MISSING")
@@ -16,22 +12,11 @@ STATES = ("NEW", "CHANGED", "UNCHANGED", "MISSING")
 def canonical_json(payload: Column, schema: str | None = None) -> Column:
     """Text that is equal for equal JSON, whatever the order of object keys.
 
-    With a schema, by reading and writing it again; else by Python, in Arrow batches.
+    With a schema, by reading and writing it again; else by a variant, which orders keys. What is no JSON stays as it is.
     """
     if schema is not None:
         return F.to_json(F.from_json(payload, schema))
-    return _sorted_keys(payload)
-
-
-@F.pandas_udf(StringType())
-def _sorted_keys(texts: pd.Series) -> pd.Series:
-    def one(text):
-        try:
-            return None if text is None else json.dumps(json.loads(text), sort_keys=True, separators=(",", ":"))
-        except ValueError:
-            return text
-
-    return texts.map(one)
+    return F.coalesce(F.to_json(F.try_parse_json(payload)), payload)
 
 
 def baseline(df: DataFrame, at: str, now: str, days: int) -> DataFrame:

@@ -134,14 +134,34 @@ def publish_staged(spark: SparkSession, rows: DataFrame, expected: DataFrame, ke
     return staged
 
 
+def _pointers(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema("seq long, version string").json(f"{root}/_pointers/*")
+
+
+def _latest(spark: SparkSession, root: str):
+    return _pointers(spark, root).agg(F.max(F.struct("seq", "version")).alias("p")).first()["p"]
+
+
 def publish(spark: SparkSession, df: DataFrame, root: str, version: str) -> str:
-    """Full replacement: write a version beside the others, then move the pointer; readers never see a half-written table."""
+    """Full replacement: write a version beside the others, then a pointer to it with the next number.
+
+    Nothing is overwritten or deleted: readers take the pointer with the greatest number, so they see the table before or after,
+    and a run that stops half-way leaves an unused folder. Of two writers that take the same number the greater version counts.
+    """
     path = f"{root}/version={version}"
     df.write.parquet(path)
-    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").json(f"{root}/_current")
+    try:
+        last = _latest(spark, root)
+    except Exception as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        last = None
+    seq = last["seq"] + 1 if last else 0
+    spark.createDataFrame([(seq, version)], "seq long, version string").coalesce(1).write.mode("error").json(f"{root}/_pointers/{seq:012d}-{version}")
     return path
 
 
-def published(spark: SparkSession, root: str) -> DataFrame:
-    version = spark.read.schema("version string").json(f"{root}/_current").first()[0]
-    return spark.read.parquet(f"{root}/version={version}")
+def published(spark: SparkSession, root: str) -> DataFrame | None:
+    """The table that the latest pointer names; None if no pointer has been written in full yet."""
+    last = _latest(spark, root)
+    return spark.read.parquet(f"{root}/version={last['version']}") if last else None

@@ -26,28 +26,29 @@ def adjacent_delta(df: DataFrame, key: str, order: list[str], end: str, start: s
 def best_efforts(samples: DataFrame, key: str, order: list[str], metrics: dict[str, str], durations: list[int], provenance: list[str] = ()) -> DataFrame:
     """The highest mean of each metric over exactly N rows in a row, for each key and N.
 
-    A window of N rows counts only if all its N values are present. Ties go to the first window. Sums
-    and counts run over the whole key once; a window's are differences of two of these, so the cost is
-    one sort whatever N is. ``provenance`` columns are reported for the window's first and last row.
+    A window of N rows counts only if all its N values are present; NaN and infinite values count as missing. Ties go to
+    the first window. Sums and counts run over the whole key once; a window's are differences of two of these, so the cost
+    is one sort whatever N is. Sums are of decimals with ten places, so they don't drift and equal windows tie; a
+    value of 10**18 or more counts as missing. ``provenance`` columns are reported for the window's first and last row.
 
     Output: key, metric_name, duration_seconds, peak_value, start_<order>, end_<order>,
     start_<p> and end_<p> for each provenance column, sample_count.
     """
     ordered = Window.partitionBy(key).orderBy(*order)
     upto = ordered.rowsBetween(Window.unboundedPreceding, 0)
-    rows = samples.select(key, *order, *(p for p in provenance if p not in order), *(F.col(c).cast("double").alias(f"_v_{m}") for m, c in metrics.items()))
+    rows = samples.select(key, *order, *(p for p in provenance if p not in order), *(F.when(F.abs(F.col(c).cast("double")) < 1e18, F.col(c).cast("double").cast("decimal(28,10)")).alias(f"_v_{m}") for m, c in metrics.items()))
     rows = rows.withColumn("_n", F.row_number().over(ordered))
-    rows = rows.withColumns({f"_s_{m}": F.coalesce(F.sum(f"_v_{m}").over(upto), F.lit(0.0)) for m in metrics} | {f"_c_{m}": F.count(f"_v_{m}").over(upto) for m in metrics})
+    rows = rows.withColumns({f"_s_{m}": F.coalesce(F.sum(f"_v_{m}").over(upto), F.lit(0).cast("decimal(38,10)")) for m in metrics} | {f"_c_{m}": F.count(f"_v_{m}").over(upto) for m in metrics})
     place = F.struct(*(F.col(c).alias(c) for c in dict.fromkeys([*order, *provenance])))
     rows = rows.withColumn("_place", place)
     found = []
     for n in durations:
         start = F.lag("_place", n - 1).over(ordered)
         for m in metrics:
-            total = F.col(f"_s_{m}") - F.lag(f"_s_{m}", n, 0.0).over(ordered)
+            total = F.col(f"_s_{m}") - F.coalesce(F.lag(f"_s_{m}", n).over(ordered), F.lit(0).cast("decimal(38,10)"))
             valid = F.col(f"_c_{m}") - F.lag(f"_c_{m}", n, 0).over(ordered)
             whole = (F.col("_n") >= n) & (valid == n)
-            found.append(F.when(whole, F.struct((total / n).alias("peak"), (-F.col("_n")).alias("first"), start.alias("start"), F.col("_place").alias("end"), F.lit(m).alias("metric"), F.lit(n).alias("n"))))
+            found.append(F.when(whole, F.struct((total.cast("double") / n).alias("peak"), (-F.col("_n")).alias("first"), start.alias("start"), F.col("_place").alias("end"), F.lit(m).alias("metric"), F.lit(n).alias("n"))))
     # all durations and metrics come out of one pass; each task keeps one row for each of them and key
     columns = [f.alias(f"_f{i}") for i, f in enumerate(found)]
     best = rows.select(key, *columns).groupBy(key).agg(*(F.max(f"_f{i}").alias(f"_f{i}") for i in range(len(found))))

@@ -11,13 +11,15 @@ from ..operators.aggregates import densify_daily, row_counts
 from ..operators.windows import first_n_per_key, latest_per_key
 
 
-def payload_fields(df: DataFrame, payload: str, row: str, depth: int = 6) -> DataFrame:
-    """(row, path, type, is_null) of every field of an object, nested ones by dotted path; an array is one field."""
-    level = df.select(row, F.try_parse_json(payload).alias("_v"), F.lit("").alias("_p"))
+def payload_fields(df: DataFrame, payload: str, row: str) -> DataFrame:
+    """(row, path, type, is_null) of every field of an object, nested ones by dotted path; an array is one field.
+
+    Level by level, until a level has no more objects.
+    """
+    level = df.select(row, F.try_parse_json(payload).alias("_v"), F.lit("").alias("_p")).where(F.schema_of_variant("_v").startswith("OBJECT"))
     out = None
-    for _ in range(depth):
-        level.createOrReplaceTempView("_payload_level")
-        fields = level.sparkSession.sql(f"select `{row}`, _p, f.key, f.value from _payload_level, lateral variant_explode(_v) f where f.key is not null and schema_of_variant(_v) like 'OBJECT%'")
+    while out is None or not level.isEmpty():
+        fields = level.lateralJoin(level.sparkSession.tvf.variant_explode(F.col("_v").outer()))
         kind = F.schema_of_variant("value")
         named = fields.select(row, F.concat(F.when(F.col("_p") == "", "").otherwise(F.concat("_p", F.lit("."))), "key").alias("path"), kind.alias("_k"), "value")
         simple = F.when(F.col("_k").startswith("OBJECT"), "object").when(F.col("_k").startswith("ARRAY"), "array").when(F.col("_k") == "VOID", "null").when(F.col("_k") == "STRING", "string").when(F.col("_k") == "BOOLEAN", "boolean").otherwise("number")
@@ -27,9 +29,9 @@ def payload_fields(df: DataFrame, payload: str, row: str, depth: int = 6) -> Dat
     return out
 
 
-def payload_coverage(df: DataFrame, payload: str, row: str, depth: int = 6) -> DataFrame:
+def payload_coverage(df: DataFrame, payload: str, row: str) -> DataFrame:
     """(path, coverage_percent, types, null_frequency) over the rows whose payload can be read."""
-    fields = payload_fields(df, payload, row, depth)
+    fields = payload_fields(df, payload, row)
     total = df.where(parse_state(F.col(payload)) == "ok").agg(F.count_distinct(row).alias("_total"))
     by_path = fields.groupBy("path").agg(F.count_distinct(row).alias("_rows"), F.array_join(F.array_sort(F.collect_set("type")), ",").alias("types"), F.avg(F.col("is_null").cast("double")).alias("null_frequency"))
     return by_path.crossJoin(F.broadcast(total)).select("path", (100.0 * F.col("_rows") / F.col("_total")).alias("coverage_percent"), "types", "null_frequency")
@@ -43,8 +45,8 @@ def nested_value(payload: Column, path: str, default: Column) -> Column:
 def one_payload(df: DataFrame, payload: str, seed: int) -> DataFrame:
     """(key, value) of a payload drawn by seed."""
     one = df.where(parse_state(F.col(payload)) == "ok").orderBy(F.rand(seed)).limit(1)
-    one.select(F.parse_json(payload).alias("_v")).createOrReplaceTempView("_one_payload")
-    return df.sparkSession.sql("select f.key, cast(f.value as string) as value from _one_payload, lateral variant_explode(_v) f")
+    one = one.select(F.parse_json(payload).alias("_v"))
+    return one.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("_v").outer())).select("key", F.col("value").cast("string").alias("value"))
 
 
 def gear_resolution(activities: DataFrame, gear: DataFrame) -> DataFrame:

@@ -46,14 +46,14 @@ def effort_columns(found: DataFrame) -> DataFrame:
 
 
 EFFORTS = """
-WITH s AS (SELECT user_id, event_id, {value} AS v, row_number() OVER w AS i FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+WITH s AS (SELECT user_id, event_id, CAST({value} AS DECIMAL(28,10)) AS v, row_number() OVER w AS i FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
 d AS (SELECT unnest([5, 10, 20]) AS n),
 w AS (
-  SELECT a.user_id, d.n, a.i, avg(b.v) AS m, count(b.v) AS c, count(*) AS k
+  SELECT a.user_id, d.n, a.i, sum(b.v) AS m, count(b.v) AS c, count(*) AS k
   FROM s a CROSS JOIN d JOIN s b ON a.user_id = b.user_id AND b.i >= a.i AND b.i < a.i + d.n GROUP BY 1, 2, 3
 ),
-p AS (SELECT *, row_number() OVER (PARTITION BY user_id, n ORDER BY round(m, 8) DESC, i) AS place FROM w WHERE c = n AND k = n)
-SELECT p.user_id, CAST(p.n AS INTEGER) AS n, round(p.m, 4) AS peak_value, f.event_id AS start_event_id, l.event_id AS end_event_id
+p AS (SELECT *, row_number() OVER (PARTITION BY user_id, n ORDER BY m DESC, i) AS place FROM w WHERE c = n AND k = n)
+SELECT p.user_id, CAST(p.n AS INTEGER) AS n, round(CAST(p.m AS DOUBLE) / p.n, 4) AS peak_value, f.event_id AS start_event_id, l.event_id AS end_event_id
 FROM p JOIN s f ON p.user_id = f.user_id AND p.i = f.i JOIN s l ON p.user_id = l.user_id AND l.i = p.i + p.n - 1 WHERE place = 1
 """
 
@@ -142,9 +142,9 @@ def missing_downstream(t):
     return V.missing_downstream(t("documents"), t("labels"), ["doc_id"])
 
 
-@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING')")
 def orphans(t):
-    return V.orphans(t("customer"), t("orders"), ["c_custkey"], ["o_custkey"]).select("c_custkey", "c_name")
+    return V.orphans(t("orders"), t("customer").where("c_mktsegment <> 'BUILDING'"), ["o_custkey"], ["c_custkey"]).select("o_orderkey", "o_custkey")
 
 
 @query("SELECT o_custkey, count(*) AS uses, max(o_orderdate) AS last_attempt FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) GROUP BY 1")
@@ -283,9 +283,15 @@ def json_extract(t):
     return t("events").select("event_id", F.get_json_object("props", "$.k").try_cast("long").alias("k"))
 
 
-@query("SELECT 'k' AS path, 100.0 * count(json_extract(props, '$.k')) / count(*) AS coverage_percent, 'number' AS types, CAST(0 AS DOUBLE) AS null_frequency FROM events")
+@query("""
+WITH f AS (SELECT event_id, props, unnest(json_keys(props)) AS path FROM events),
+t AS (SELECT event_id, path, json_type(props, '$.' || path) AS k FROM f)
+SELECT path, 100.0 * count(DISTINCT event_id) / (SELECT count(DISTINCT event_id) FROM events WHERE json_valid(props)) AS coverage_percent,
+  string_agg(DISTINCT CASE k WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' WHEN 'NULL' THEN 'null' WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' ELSE 'number' END, ',') AS types,
+  avg(CASE WHEN k = 'NULL' THEN 1.0 ELSE 0.0 END) AS null_frequency FROM t GROUP BY 1
+""")
 def json_coverage(t):
-    return reports.payload_coverage(t("events"), "props", "event_id", depth=2)
+    return reports.payload_coverage(t("events"), "props", "event_id")
 
 
 @query("SELECT o_orderkey, sha256(o_orderkey || '|' || o_orderstatus || '|' || coalesce(CASE WHEN o_orderpriority LIKE '1-%' THEN NULL ELSE o_orderpriority END, 'NA')) AS key FROM orders")

@@ -13,11 +13,12 @@ from ..operators.upsert import publish, published, upsert
 def current(spark: SparkSession, root: str, like: DataFrame) -> DataFrame:
     """The published table at ``root``, or an empty one with the columns of ``like``."""
     try:
-        return published(spark, root)
+        found = published(spark, root)
     except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
+        if "PATH_NOT_FOUND" not in str(e):  # pointers are never deleted: without their folder nothing was published
             raise
-        return spark.createDataFrame([], like.schema)
+        found = None
+    return spark.createDataFrame([], like.schema) if found is None else found
 
 
 def ingest_stream(

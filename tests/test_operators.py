@@ -176,3 +176,52 @@ def test_aggregates(spark):
     assert (profile["a"].anomaly, profile["a"].value_list, profile["b"].anomaly) == ("constant", "1", "source_populated_but_empty")
     g = spark.createDataFrame([(1, None), (2, 3)], "a int, b int").select(A.greatest_or_null(F.col("a"), F.col("b")).alias("g"))
     assert [r.g for r in g.collect()] == [None, 3]
+
+
+def test_best_efforts_do_not_drift_and_take_nan_for_missing(spark):
+    from cadenza.operators import windows as W
+
+    v = [0.1, 0.2, 0.3] * 400
+    rows = [("a", i, x) for i, x in enumerate(v)] + [("b", i, x) for i, x in enumerate([1.0, float("nan"), 2.0, 3.0, 4.0, float("inf")])]
+    got = {(r.k, r.duration_seconds): (r.peak_value, r.start_i) for r in W.best_efforts(spark.createDataFrame(rows, "k string, i int, v double"), "k", ["i"], {"v": "v"}, [2, 3]).collect()}
+    assert got == {("a", 2): (0.25, 1), ("a", 3): (0.6 / 3, 0), ("b", 2): (3.5, 3), ("b", 3): (3.0, 2)}
+
+
+def test_a_publication_that_stops_half_way_leaves_the_table(spark, tmp_path):
+    import pytest
+
+    from cadenza.operators import upsert as U
+
+    root = str(tmp_path / "table")
+    one, two = spark.range(3), spark.range(5)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        U.published(spark, root)
+    U.publish(spark, one, root, "first")
+    two.write.parquet(f"{root}/version=second")  # stopped before its pointer
+    assert U.published(spark, root).count() == 3
+    (tmp_path / "table" / "_pointers" / "000000000001").mkdir()  # stopped while its pointer was written
+    assert U.published(spark, root).count() == 3
+    U.publish(spark, two, root, "a-third")  # takes that number: an empty folder holds no pointer
+    assert U.published(spark, root).count() == 5
+
+
+def test_canonical_json_orders_keys(spark):
+    from pyspark.sql import functions as F
+
+    from cadenza.operators.reconcile import canonical_json
+
+    rows = [('{"b": 1, "a": {"d": [1, 2], "c": null}}', '{ "a":{"c":null,"d":[1,2]},"b":1}'), ("no json", "no json"), (None, None)]
+    df = spark.createDataFrame(rows, "x string, y string").select(canonical_json(F.col("x")).eqNullSafe(canonical_json(F.col("y"))).alias("same"))
+    assert all(r.same for r in df.collect())
+    assert spark.createDataFrame([('{"a": 1}', '{"a": 2}')], "x string, y string").select((canonical_json(F.col("x")) == canonical_json(F.col("y"))).alias("s")).first().s is False
+
+
+def test_interval_join_names_shared_columns(spark):
+    import pytest
+
+    from cadenza.operators import joins as J
+
+    s = spark.createDataFrame([(1, 5, "x")], "k int, at int, note string")
+    with pytest.raises(ValueError, match="note"):
+        J.interval_join(s, spark.createDataFrame([(1, 0, 9, "y")], "k int, a int, b int, note string"), "k", "at", "a", "b")
+    assert J.interval_join(s, spark.createDataFrame([(1, 0, 9)], "k int, a int, b int"), "k", "at", "a", "b").count() == 1
