@@ -35,14 +35,54 @@ def test_few_and_none(spark):
     assert T.top_k(df.limit(0), F.col("vec_id") == 0).isEmpty()
 
 
+def members_of(q, x, known=None):
+    nobody = np.zeros((len(q), len(x)), bool)
+    return T.search(q, x, T.segments(x), nobody, 5, np.full(len(q), -np.inf) if known is None else known)
+
+
 def test_reading_stops_on_proof_only():
     rng = np.random.default_rng(1)
     x = rng.integers(-200, 200, (2000, 32))
     q = rng.integers(-200, 200, (5, 32))
-    for i, members, scores in T.search(q, x, np.zeros((5, 2000), bool), 5):
-        true = x @ q[i]
-        best = np.lexsort((np.arange(2000), -true))[:5]
-        assert set(best) <= set(members) and (scores == true[members]).all()
     spiky = np.where(rng.random((2000, 32)) < 0.02, x * 50, x // 50)
-    sizes = [len(m) for _, m, _ in T.search(q, spiky, np.zeros((5, 2000), bool), 5)]
-    assert max(sizes) < 2000
+    close = np.concatenate((x, np.repeat(q, 5, axis=0) + rng.integers(-3, 3, (25, 32))))  # each query has five that are far ahead
+    for vectors, most in ((x, 4), (spiky, 4), (close, 3)):
+        found, read = members_of(q, vectors)
+        assert read <= most
+        for i, (members, scores) in enumerate(found):
+            true = vectors @ q[i]
+            best = np.lexsort((np.arange(len(vectors)), -true))[:5]
+            assert set(best) <= set(members) and (scores == true[members]).all() and len(members) < 2000
+
+
+def test_a_known_score_spares_reading():
+    rng = np.random.default_rng(2)
+    x, q = rng.integers(-20, 20, (500, 32)), rng.integers(-200, 200, (5, 32))
+    found, read = members_of(q, x, np.full(5, 1e9))
+    assert read == 0 and not any(len(m) for m, _ in found)
+
+
+def test_segments_hold_all_values_by_impact():
+    x = np.random.default_rng(3).integers(-9, 9, (40, 6))
+    postings, ends, unread = T.segments(x)
+    assert sorted(postings.tolist()) == np.flatnonzero(x).tolist() and ends[-1] == len(postings)
+    size, starts = np.abs(x).ravel(), [0, *ends[:-1]]
+    assert all(size[postings[s:e]].min(initial=99) >= size[postings[e:]].max(initial=0) for s, e in zip(starts, ends))
+    for i, s in enumerate([*starts, ends[-1]]):
+        rest = np.zeros(x.size)
+        rest[postings[s:]] = x.ravel()[postings[s:]]
+        true = np.sqrt((rest.reshape(x.shape) ** 2).sum(axis=1))
+        assert (unread[i] >= true).all() and np.allclose(unread[i], true, rtol=1e-4)
+    assert T.segments(np.zeros((3, 4), np.int64))[0].size == 0
+
+
+def test_small_blocks_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(T, "ROWS", 16)
+    monkeypatch.setattr(T, "QUERIES", 7)
+    monkeypatch.setattr(T, "REMEMBERED", 2)
+    rng = random.Random(4)
+    vectors = [(i, [rng.gauss(0, 0.3) for _ in range(rng.choice((3, 8)))]) for i in range(200)] + [(300 + i, [0.25] * 8) for i in range(20)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>")
+    got = sorted(tuple(r) for r in T.top_k(df, F.col("vec_id") % 5 == 0).select("query_id", "rank", "vec_id", "score").collect())
+    pad = [(i, v + [0.0] * (8 - len(v))) for i, v in vectors]
+    assert got == brute(pad, lambda i: i % 5 == 0)
