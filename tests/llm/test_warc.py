@@ -54,6 +54,45 @@ def test_salvage():
     assert [(at, n) for at, n, h, _ in W.salvage(junk) if isinstance(h, str)] == [(0, 4), (4 + len(members[0]), 4)]
 
 
+def plain_records(n, size=3000):
+    rng = random.Random(3)
+    payloads = [f"<p>{i} {rng.randbytes(size).hex()}".encode() for i in range(n)]
+    return payloads, [W.record(i, "u", p, hashlib.sha256(p).hexdigest(), None) for i, p in enumerate(payloads)]
+
+
+def blocks_of(items):
+    return [b for _, _, h, b in items if not isinstance(h, str)]
+
+
+def test_members_with_several_records():
+    payloads, plain = plain_records(6)
+    one = gzip.compress(b"".join(plain[:4]))
+    items = list(W.salvage(one + gzip.compress(plain[4]) + plain[5]))
+    assert blocks_of(items) == payloads and not any(isinstance(h, str) for _, _, h, _ in items)
+    # a record damaged before it was packed: the others stay, and its bytes are a gap
+    bad = bytearray(plain[1])
+    bad[len(bad) // 2] ^= 1
+    items = list(W.salvage(gzip.compress(plain[0] + bytes(bad) + plain[2]) + gzip.compress(plain[3])))
+    assert blocks_of(items) == [payloads[0], payloads[2], payloads[3]]
+    assert [(n, h) for _, n, h, _ in items if isinstance(h, str)] == [(len(bad), "the record is damaged")]
+    # a member damaged in its middle, or cut off: what was unpacked before stays, the rest is a gap, later members are read
+    for broken in (one[: len(one) // 2] + b"\0" * 50 + one[len(one) // 2 + 50 :], one[: len(one) // 2]):
+        items = list(W.salvage(broken + gzip.compress(plain[4])))
+        assert blocks_of(items)[0] == payloads[0] and blocks_of(items)[-1] == payloads[4]
+        assert any(isinstance(h, str) for _, _, h, _ in items)
+
+
+def test_a_wrong_payload_digest_is_damage():
+    payload = b"x" * 200
+    items = list(W.salvage(W.record(1, "u", payload, hashlib.sha256(payload).hexdigest(), None).replace(b"WARC-Payload-Digest: sha256:", b"WARC-Payload-Digest: sha256:0")))
+    assert not blocks_of(items)
+
+
+def test_plain_records_take_linear_time():
+    payloads, plain = plain_records(4000, 100)
+    assert blocks_of(W.salvage(b"".join(plain) + b"WARC/1.1 " * 2000)) == payloads
+
+
 def test_no_pages(spark):
     path = W.work_folder(spark, "warc")
     W.write_warc(pages(spark).limit(0), path)
