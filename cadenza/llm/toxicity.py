@@ -8,7 +8,8 @@ raised if the clause names a target and lowered if it reports what others said.
 the sum over its clauses, mapped to 0..1 by a logistic curve that also knows the text's length.
 
 The insult arcs and the curve are learned from labelled rows that are not held out (crc32 of the doc_id
-as text, modulo 3, is not 1), at most ``MAX_TRAIN`` of them, drawn by hash. An arc is kept if
+as text, modulo 3, is not 1), at most ``MAX_TRAIN`` of them, drawn by hash; of rows with equal doc_id one is taken.
+The arcs and the curve come to the driver; both are bounded by the training rows. An arc is kept if
 its share of toxic documents would be too unlikely by chance (by the Chernoff bound); its weight is the
 logarithm of the ratio of its frequencies in toxic and other documents. The curve is
 fitted on scores from arcs learned on the other half of the rows. Only the text enters a score.
@@ -34,7 +35,6 @@ from pyspark.sql import types as T
 from .common import table, written
 
 MAX_TRAIN = 10_000
-MAX_ARCS = 20_000
 CUT = 0.7
 BEGINNINGS = (3, 4, 5, 6, 7)
 MOST, LEAST = 8.0, 2.5
@@ -122,7 +122,7 @@ def _weights(counts: list[tuple[str, int, int]], toxic: int, clean: int, tried:
             k = share * math.log(share / base) + ((1 - share) * math.log((1 - share) / (1 - base)) if share < 1 else 0.0)
             if (t + c) * k / math.log(10) >= least:
                 found[pattern] = min(MOST, math.log((t + 0.5) / (toxic + 1)) - math.log((c + 0.5) / (clean + 1)))
-    return dict(sorted(found.items(), key=lambda x: (-x[1], x[0]))[:MAX_ARCS])
+    return found
 
 
 def _features(scores: list[float], texts: list[str | None]) -> np.ndarray:
@@ -158,7 +158,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], np.ndarra
     train = by_id.where(~held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_TRAIN)
     train = docs.sparkSession.createDataFrame(train.toPandas(), "doc_id long, toxic int")  # bounded by MAX_TRAIN
     rows = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(train), "doc_id")
-    rows = rows.select("text", "toxic", (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0).cast("int").alias("half"))
+    rows = rows.groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))  # one of repeated ids, so MAX_TRAIN holds
+    rows = written(rows, "training").select("text", "toxic", (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0).cast("int").alias("half"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[Counter] = [Counter() for _ in range(4)]
