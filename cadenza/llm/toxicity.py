@@ -161,17 +161,23 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], np.ndarra
     rows = rows.groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))  # one of repeated ids, so MAX_TRAIN holds
     rows = written(rows, "training").select("text", "toxic", (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0).cast("int").alias("half"))
 
+    def counts(found: list[Counter]) -> Iterator[pa.RecordBatch]:
+        for kind, n in enumerate(found):
+            if n:
+                yield pa.RecordBatch.from_arrays([pa.array(list(n)), pa.array([kind] * len(n), pa.int32()), pa.array(list(n.values()), pa.int64())], ["pattern", "kind", "n"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[Counter] = [Counter() for _ in range(4)]
-        for batch in _parts(batches):
+        for batch in _parts(batches, 100):
             for text, toxic, half in zip(*(batch.column(c).to_pylist() for c in ("text", "toxic", "half"))):
                 words = {_EDGE.sub("", t) for t in set((text or "").lower().split())} - {""}
                 here = found[toxic + 2 * half]
                 here.update({p for w in words for p in patterns(w)})
                 here[""] += 1
-        for kind, n in enumerate(found):
-            if n:
-                yield pa.RecordBatch.from_arrays([pa.array(list(n)), pa.array([kind] * len(n), pa.int32()), pa.array(list(n.values()), pa.int64())], ["pattern", "kind", "n"])
+            if sum(map(len, found)) > CACHED_WORDS:  # bounded memory; the counts are summed later
+                yield from counts(found)
+                found = [Counter() for _ in range(4)]
+        yield from counts(found)
 
     counted = rows.mapInArrow(count, "pattern string, kind int, n long").groupBy("pattern").agg(*(F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in range(4)))
     counted = written(counted, "patterns")
