@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -96,17 +98,24 @@ def running_records(sources: DataFrame, key: list[str], order: list[str], value:
 def latest_prior_ge(records: DataFrame, history: DataFrame, key: list[str], order: list[str], value: str) -> DataFrame:
     """For each row of ``records``: ``prior``, the latest row of ``history`` before it with at least its value.
 
-    A join on the key from the records only, which are few, and a grouped maximum.
+    ``order`` starts with a date or a timestamp. The row looked for lies in the record's own month or in the latest earlier
+    month whose maximum reaches its value, so a record meets its key's monthly maxima and the rows of two months, not
+    the key's whole history.
     """
-    h = history.select(*(F.col(k).alias(f"_h{k}") for k in key), F.struct(*order).alias("_ho"), F.col(value).alias("_hv"))
-    r = records.withColumn("_id", F.struct(*order))
-    on = F.col("_hv") >= F.col(value)
-    for k in key:
-        on = on & F.col(k).eqNullSafe(F.col(f"_h{k}"))
-    near = r.join(h, on & (F.col("_ho") < F.col("_id"))).groupBy(*key, "_id").agg(F.max(F.struct("_ho", "_hv")).alias("_near"))
-    near = near.select(*(F.col(k).alias(f"_n{k}") for k in key), F.col("_id").alias("_nid"), "_near")
-    on = F.col("_id") == F.col("_nid")
-    for k in key:
-        on = on & F.col(k).eqNullSafe(F.col(f"_n{k}"))
+    month = F.coalesce(F.trunc(order[0], "month"), F.lit("0001-01-01").cast("date"))
+    h_key = [f"_k{i}" for i in range(len(key))]
+    h = history.select(*(F.col(k).alias(h) for k, h in zip(key, h_key)), F.struct(*order).alias("_ho"), F.col(value).alias("_hv"), month.alias("_hm"))
+    peaks = h.groupBy(*h_key, "_hm").agg(F.max("_hv").alias("_peak")).groupBy(*h_key).agg(F.collect_list(F.struct("_hm", "_peak")).alias("_peaks"))
+
+    def on(names: list[str]) -> Column:
+        return reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(n)) for k, n in zip(key, names)))
+
+    r = records.withColumns({"_id": F.struct(*order), "_m": month}).join(peaks, on(h_key), "left")
+    reached = F.filter("_peaks", lambda p: (p["_hm"] < F.col("_m")) & (p["_peak"] >= F.col(value)))
+    r = r.withColumn("_older", F.array_max(F.transform(reached, lambda p: p["_hm"]))).drop("_peaks", *h_key)
+    asked = r.select(*key, "_id", F.col(value).alias("_v"), F.explode(F.array_distinct(F.array_compact(F.array("_m", "_older")))).alias("_m"))
+    near = asked.join(h, on(h_key) & (F.col("_m") == F.col("_hm")) & (F.col("_hv") >= F.col("_v")) & (F.col("_ho") < F.col("_id")))
+    near = near.groupBy(*key, "_id").agg(F.max(F.struct("_ho", "_hv")).alias("_near"))
+    near = near.select(*(F.col(k).alias(f"_n{i}") for i, k in enumerate(key)), F.col("_id").alias("_nid"), "_near")
     prior = F.when(F.col("_near").isNotNull(), F.struct(F.col("_near._hv").alias("value"), *(F.col(f"_near._ho.{c}").alias(c) for c in order)))
-    return r.join(near, on, "left").select(*records.columns, prior.alias("prior"))
+    return r.join(near, on([f"_n{i}" for i in range(len(key))]) & (F.col("_id") == F.col("_nid")), "left").select(*records.columns, prior.alias("prior"))

@@ -413,7 +413,7 @@ WITH l AS (SELECT user_id, event_id, value, count(value) OVER w AS prior, quanti
 SELECT user_id, event_id FROM l WHERE prior >= 5 AND value > greatest(60, 1.5 * m)
 """)
 def slow_batches(t):
-    return A.slow_batches(t("events"), "user_id", "event_id", "value", factor=1.5).where("is_slow").select("user_id", "event_id")
+    return A.slow_batches(t("events").select("user_id", "event_id", "value"), "user_id", "event_id", "value", factor=1.5).where("is_slow").select("user_id", "event_id")
 
 
 @query("""

@@ -90,6 +90,14 @@ def test_records_equal_brute_force(spark):
     for r in records.collect():
         near = max(((pd, pi) for pk, pd, pi, pv in rows if pk == r.k and (pd, pi) < (r.d, r.i) and pv >= r.v), default=None)
         assert got[r.k, r.i] == (near and near[1])
+    # any rows, null keys and dates too: nulls come first
+    some = [*rows[:60], (None, None, 200, 5.0), (None, dt.date(2021, 1, 1), 201, 4.0), (None, dt.date(2021, 1, 2), 202, 4.0)]
+    every = spark.createDataFrame(some, "k string, d date, i int, v double")
+    got = {(r.k, r.i): r.prior and r.prior.i for r in latest_prior_ge(every, every, ["k"], ["d", "i"], "v").collect()}
+    place = lambda d, i: (d or dt.date.min, i)
+    for k, d, i, v in some:
+        near = max((place(pd, pi) for pk, pd, pi, pv in some if pk == k and place(pd, pi) < place(d, i) and pv >= v), default=None)
+        assert got[k, i] == (near and near[1])
 
 
 def test_a_closure_equals_a_rebuild(spark):

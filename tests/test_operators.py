@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import statistics
 
 from pyspark.sql import functions as F
 
@@ -169,6 +170,13 @@ def test_aggregates(spark):
     assert [tuple(r)[0] for r in A.date_windows(spark, "2026-02-27", "2026-03-01").orderBy("date").collect()] == [D(2026, 2, 27), D(2026, 2, 28), D(2026, 3, 1)]
     log = spark.createDataFrame([(1, i, 10.0, 100) for i in range(6)] + [(1, 6, 61.0, 100), (1, 7, 59.0, 100)], "run int, i int, s double, n int")
     assert [r.i for r in A.slow_batches(log, "run", "i", "s").where("is_slow").collect()] == [6]
+    rng = random.Random(3)
+    log = [(k, i, rng.choice([None, 1.0, 20.0, 61.0, 90.0, 200.0])) for k in (None, 1, 2) for i in range(60)]
+    got = {(r.run, r.i): (r.prior, r.prior_median, r.is_slow) for r in A.slow_batches(spark.createDataFrame(log, "run int, i int, s double"), "run", "i", "s", factor=2).collect()}
+    for k, i, s in log:
+        before = [v for j, a, v in log if j == k and a < i and v is not None]
+        m = statistics.median(before) if before else None
+        assert got[k, i] == (len(before), m, len(before) >= 5 and s is not None and s > max(60, 2 * m))
     trend = lambda early, late: A.throughput_trend(spark.createDataFrame([(1, i, 10.0, early if i < 5 else late) for i in range(10)], "run int, i int, s double, n int"), "run", "i", "n", "s").first().trend
     assert (trend(100, 100), trend(100, 120), trend(100, 80)) == ("stable", "improving", "degrading")
     assert rows(latest_per_key(spark.createDataFrame([(1, 1, "a"), (1, 2, "b")], "k int, i int, v string"), ["k"], ["i"]), "k") == [(1, 2, "b")]
