@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from cadenza.operators.upsert import published
 from cadenza.streaming.ingest import ingest_stream
 
@@ -17,3 +19,24 @@ def test_landed_files_are_upserted_once(spark, tmp_path):
     land("2.json", {"k": 2, "v": "c"}, {"k": 1, "v": "a"})
     assert {r.k: r.v for r in published(spark, root).collect()} == {1: "a", 2: "c"}
     assert changed == [[1, 2], [2]]
+
+
+def test_a_batch_rewrites_only_the_buckets_of_its_keys(spark, tmp_path):
+    landing, root, checkpoint = (str(tmp_path / n) for n in ("landing", "table", "checkpoint"))
+    (tmp_path / "landing").mkdir()
+    seen = []
+
+    def land(name, rows, buckets=8):
+        (tmp_path / "landing" / name).write_text("\n".join(json.dumps(r) for r in rows))
+        note = lambda ids, before, now, n: seen.append((ids.count(), before.count(), now.count()))
+        ingest_stream(spark, landing, "k int, v string", lambda d: d.where("v <> 'none'"), root, ["k"], checkpoint, note, buckets)
+
+    land("1.json", [{"k": k, "v": "a"} for k in range(100)])
+    land("2.json", [{"k": 7, "v": "b"}, {"k": 200, "v": "b"}])
+    land("3.json", [{"k": 1, "v": "none"}])
+    assert {r.k: r.v for r in published(spark, root).collect()} == {**dict.fromkeys(range(100), "a"), 7: "b", 200: "b"}
+    assert seen == [(100, 0, 100), (2, 100, 101)]
+    first, second = sorted((tmp_path / "table").glob("version=*"))
+    assert len(list(first.glob("_bucket=*"))) == 8 and len(list(second.glob("_bucket=*"))) <= 2
+    with pytest.raises(Exception, match="8 buckets and not 4"):
+        land("4.json", [{"k": 1, "v": "c"}], 4)
