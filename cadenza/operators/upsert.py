@@ -132,76 +132,3 @@ def publish_staged(spark: SparkSession, rows: DataFrame, expected: DataFrame, ke
     if len(bad):
         raise ValueError(f"staged rows differ from what was expected: {bad.to_dict('records')}")
     return staged
-
-
-_POINTER = "seq long, version string, buckets int, parts array<struct<bucket: int, version: string>>"
-
-
-def _latest(spark: SparkSession, root: str):
-    return spark.read.schema(_POINTER).json(f"{root}/_pointers/*").agg(F.max(F.struct("seq", "version", "buckets", "parts")).alias("p")).first()["p"]
-
-
-def _latest_or_none(spark: SparkSession, root: str):
-    try:
-        return _latest(spark, root)
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):  # pointers are never deleted: without their folder nothing was published
-            raise
-        return None
-
-
-def _point(spark: SparkSession, root: str, version: str, buckets: int | None = None, parts: dict[int, str] | None = None) -> None:
-    last = _latest_or_none(spark, root)
-    seq = last["seq"] + 1 if last else 0
-    row = (seq, version, buckets, None if parts is None else sorted(parts.items()))
-    spark.createDataFrame([row], _POINTER).coalesce(1).write.mode("error").json(f"{root}/_pointers/{seq:012d}-{version}")
-
-
-def publish(spark: SparkSession, df: DataFrame, root: str, version: str) -> str:
-    """Full replacement: write a version beside the others, then a pointer to it with the next number.
-
-    Nothing is overwritten or deleted: readers take the pointer with the greatest number, so they see the table before or after,
-    and a run that stops half-way leaves an unused folder. Of two writers that take the same number the greater version counts.
-    """
-    path = f"{root}/version={version}"
-    df.write.parquet(path)
-    _point(spark, root, version)
-    return path
-
-
-def bucket_of(keys: list[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-
-
-def published_buckets(spark: SparkSession, root: str, buckets: int) -> dict[int, str]:
-    """The version that holds each bucket of a table that ``publish_buckets`` wrote; empty if nothing was published."""
-    last = _latest_or_none(spark, root)
-    if last and last["buckets"] != buckets:
-        raise ValueError(f"the table at {root} has {last['buckets'] or 'no'} buckets and not {buckets}")
-    return {p["bucket"]: p["version"] for p in last["parts"]} if last else {}
-
-
-def read_buckets(spark: SparkSession, root: str, parts: dict[int, str]) -> DataFrame:
-    return spark.read.parquet(*(f"{root}/version={v}/_bucket={b}" for b, v in sorted(parts.items())))
-
-
-def publish_buckets(spark: SparkSession, df: DataFrame, root: str, version: str, keys: list[str], buckets: int, touched: list[int]) -> dict[int, str]:
-    """Replace the buckets ``touched`` by the rows of ``df``, all of which lie in these, and return where each bucket lies now.
-
-    As ``publish``, but the new pointer takes the other buckets from the versions that hold them, so that a write costs
-    what it touches. One task writes a bucket: choose ``buckets`` so that one fits.
-    """
-    parts = published_buckets(spark, root, buckets) | dict.fromkeys(touched, version)
-    df.withColumn("_bucket", bucket_of(keys, buckets)).repartition("_bucket").write.partitionBy("_bucket").parquet(f"{root}/version={version}")
-    _point(spark, root, version, buckets, parts)
-    return parts
-
-
-def published(spark: SparkSession, root: str) -> DataFrame | None:
-    """The table that the latest pointer names; None if no pointer has been written in full yet."""
-    last = _latest(spark, root)
-    if not last:
-        return None
-    if last["parts"] is None:
-        return spark.read.parquet(f"{root}/version={last['version']}")
-    return read_buckets(spark, root, {p["bucket"]: p["version"] for p in last["parts"]})

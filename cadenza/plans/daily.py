@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import incremental
+from ..operators import incremental, records
 from ..operators.upsert import replace_keys
 from . import gold, silver
 
@@ -58,18 +58,42 @@ def update_efforts(existing: DataFrame, streams: DataFrame, activities: DataFram
     return replace_keys(existing, gold.activity_best_efforts(part, activities, durations), ["activity_id"], affected)
 
 
-def update_achievements(existing: DataFrame, sources: DataFrame, activities: DataFrame, plan: incremental.Plan, new_ids: DataFrame) -> DataFrame:
+def evaluation_state(sources: DataFrame) -> DataFrame:
+    """The state from which achievements are kept up, of a whole history; written once, then updated."""
+    return records.fold(sources, gold.RECORD_KEY, gold.RECORD_ORDER, "value", "activity_date")
+
+
+def update_achievements(existing: DataFrame, sources: DataFrame, activities: DataFrame, plan: incremental.Plan, new_ids: DataFrame, state: DataFrame | None = None) -> DataFrame:
     """The facts after a day's changes, equal to those of a full evaluation.
 
     An append evaluates the new activities only; a closure all from the start date on; facts before it can't
-    have changed, as a record depends on earlier activities only.
+    have changed, as a record depends on earlier activities only. With ``state``, that of the sources before the change, an
+    append reads it and the new activities' sources, and a closure reads it and the sources from the start's month on.
     """
     if plan.mode == "no_change":
         return existing
     if plan.mode == "fallback":
         return gold.achievements(sources)
     if plan.mode == "latest_append":
+        if state is not None:
+            new = sources.join(new_ids.select("activity_id").distinct(), "activity_id", "left_semi").select(*sources.columns)
+            sources = state.select(*sources.columns).unionByName(new)
         return replace_keys(existing, gold.achievements(sources, new_ids), ["activity_id"], new_ids)
     ids = activities.where(F.col("start_date_local") >= F.lit(plan.start_date)).select("activity_id")
     gone = existing.select("activity_id").distinct().join(activities.select("activity_id"), "activity_id", "left_anti")
+    if state is not None:
+        sources = records.needed(state, sources, plan.start_date, "activity_date")
     return replace_keys(existing, gold.achievements(sources, ids), ["activity_id"], ids.unionByName(gone))
+
+
+def update_state(state: DataFrame, sources: DataFrame, plan: incremental.Plan, new_ids: DataFrame) -> DataFrame:
+    """The state after the change that ``plan`` describes; ``sources`` are those after it."""
+    how = (gold.RECORD_KEY, gold.RECORD_ORDER, "value", "activity_date")
+    if plan.mode == "no_change":
+        return state
+    if plan.mode == "fallback":
+        return evaluation_state(sources)
+    if plan.mode == "latest_append":
+        new = sources.join(new_ids.select("activity_id").distinct(), "activity_id", "left_semi").select(*sources.columns)
+        return records.appended(state, new, *how)
+    return records.refolded(state, sources, plan.start_date, *how)

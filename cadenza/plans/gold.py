@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import keys, text
 from ..operators.joins import unpivot
-from ..operators.windows import best_efforts, latest_prior_ge, running_records
+from ..operators.records import year_records
+from ..operators.windows import best_efforts, running_records
 
 # Fixed values.
 METRICS = {"watts": "watts", "cadence_rpm": "cadence_rpm", "heartrate_bpm": "heartrate_bpm"}
@@ -18,6 +19,8 @@ EFFORTS_VERSION = "activity_best_efforts_v1"
 ACHIEVEMENTS_VERSION = "activity_achievements_v1"
 RIDE_METRICS = {"distance_metres": "longest_distance", "moving_time_seconds": "longest_moving_duration", "elevation_gain_metres": "highest_elevation_gain"}
 
+RECORD_KEY, RECORD_ORDER = ["achievement_type", "metric_name", "duration_seconds"], ["activity_date", "activity_id"]
+
 
 def with_eligibility(efforts: DataFrame, activities: DataFrame) -> DataFrame:
     """Power efforts take eligibility and provenance from their activity, none meaning ineligible; others are always eligible."""
@@ -50,11 +53,10 @@ def achievement_sources(efforts: DataFrame, activities: DataFrame, durations=DUR
 
 def achievements(sources: DataFrame, candidates: DataFrame | None = None) -> DataFrame:
     """All-time and calendar-year records, with what they beat (all time) or equalled last (year)."""
-    key, order = ["achievement_type", "metric_name", "duration_seconds"], ["activity_date", "activity_id"]
+    key, order = RECORD_KEY, RECORD_ORDER
     all_time = running_records(sources, key, order, "value", "activity_date")
     all_time = all_time.select(*sources.columns, F.lit("all_time").alias("comparison_scope"), F.lit(ALL_TIME[0]).cast("date").alias("comparison_period_start"), F.lit(ALL_TIME[1]).cast("date").alias("comparison_period_end"), "previous", F.lit(None).cast("int").alias("days_since_previous_best"))
-    year = running_records(sources, key, order, "value", "activity_date", year=True).drop("previous")
-    year = latest_prior_ge(year, sources, key, order, "value")
+    year = year_records(sources, key, order, "value", "activity_date")
     y = F.year("activity_date")
     year = year.select(*sources.columns, F.lit("calendar_year").alias("comparison_scope"), F.make_date(y, F.lit(1), F.lit(1)).alias("comparison_period_start"), F.make_date(y, F.lit(12), F.lit(31)).alias("comparison_period_end"), F.col("prior").alias("previous"), F.datediff("activity_date", "prior.activity_date").alias("days_since_previous_best"))
     out = all_time.unionByName(year)

@@ -12,6 +12,7 @@ from .operators import aggregates as A
 from .operators import incremental as I  # noqa: E741
 from .operators import joins as J
 from .operators import reconcile as R
+from .operators import records as S
 from .operators import upsert as U
 from .operators import windows as W
 from .plans import gold, reports, silver
@@ -101,8 +102,7 @@ FROM x LEFT JOIN o p ON p.o_custkey = x.o_custkey AND p.i = (SELECT max(i) FROM
 WHERE before IS NULL OR x.o_totalprice > before
 """)
 def record_recency(t):
-    year = W.running_records(t("orders"), ["o_custkey"], ORDER, "o_totalprice", "o_orderdate", True).drop("previous")
-    found = W.latest_prior_ge(year, t("orders"), ["o_custkey"], ORDER, "o_totalprice")
+    found = S.year_records(t("orders"), ["o_custkey"], ORDER, "o_totalprice", "o_orderdate")
     return found.select("o_custkey", "o_orderkey", F.col("prior.o_orderkey").alias("prior_key"), F.datediff("o_orderdate", "prior.o_orderdate").alias("days"))
 
 

@@ -7,15 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.incremental import signature_diff
-from ..operators.upsert import bucket_of, publish_buckets, published_buckets, read_buckets, upsert
-
-#: Of a table that is ingested; one task rewrites a bucket.
-BUCKETS = 64
-
-
-def table_of(spark: SparkSession, root: str, parts: dict[int, str], like: DataFrame) -> DataFrame:
-    """The buckets ``parts`` of the table at ``root``, or an empty table with the columns of ``like``."""
-    return read_buckets(spark, root, parts) if parts else spark.createDataFrame([], like.schema)
+from ..operators.tables import BUCKET_BYTES, KeyedTable, Snapshot
 
 
 def ingest_stream(
@@ -27,30 +19,26 @@ def ingest_stream(
     keys: list[str],
     checkpoint: str,
     on_change: Callable[[DataFrame, DataFrame, DataFrame, int], None] | None = None,
-    buckets: int = BUCKETS,
+    bucket_bytes: int = BUCKET_BYTES,
 ) -> None:
     """Upsert all JSON files that have landed since the last call into the table at ``root``, and stop.
 
-    The table lies in ``buckets`` by hash of the keys. A micro-batch reads and rewrites the buckets that its keys fall into and
-    publishes them with the others as they were, as a version named by the batch; a batch without rows publishes nothing,
-    and one that is run again after a failure writes under another name and gives the same table. ``on_change`` gets the ids whose rows
-    changed, the table before and after, and the batch's number: the start of what depends on it.
+    A micro-batch reads and rewrites the buckets that its keys fall into; buckets split as they grow (``KeyedTable``), and other writers of the
+    table lose nothing. A batch without rows publishes nothing, and one that is run again after a failure gives the same table.
+    ``on_change`` gets the ids whose rows changed, the table before and after, and the batch's number: the start of
+    what depends on it.
     """
+    table = KeyedTable(spark, root, keys, bucket_bytes)
 
     def batch(df: DataFrame, number: int) -> None:
         rows = shape(df)
-        touched = [r["b"] for r in rows.select(bucket_of(keys, buckets).alias("b")).distinct().collect()]  # at most ``buckets``
-        if not touched:
-            return
-        parts = published_buckets(spark, root, buckets)
-        before = table_of(spark, root, {b: v for b, v in parts.items() if b in touched}, rows)
-        after, _ = upsert(before, rows, keys)
-        attempt = spark.range(1).selectExpr("uuid() as id").first()["id"][:8]
-        now = publish_buckets(spark, after, root, f"{number:08d}-{attempt}", keys, buckets, touched)
-        if on_change:
-            written = read_buckets(spark, root, {b: now[b] for b in touched})
-            changed = signature_diff(before, written, keys[0], [c for c in written.columns if c not in keys])
-            on_change(changed, table_of(spark, root, parts, rows), read_buckets(spark, root, now), number)
+        change = table.upsert(rows)
+        if change and on_change:
+            empty = Snapshot(buckets={}, schema=change.after.schema)
+            before = change.before if change.before.buckets else empty
+            now = table.read(change.after, change.written)
+            changed = signature_diff(table.read(before, change.read), now, keys[0], [c for c in now.columns if c not in keys])
+            on_change(changed, table.read(before), table.read(change.after), number)
 
     stream = spark.readStream.schema(schema).json(landing)
     stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

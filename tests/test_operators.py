@@ -61,11 +61,13 @@ def test_status_pending_and_replacement(spark):
 def test_publication(spark, tmp_path):
     import pytest
 
+    from cadenza.operators import tables
+
     t = spark.createDataFrame([(1, 1), (1, 2), (2, 1)], "k int, i int")
     root = str(tmp_path / "table")
     for version in ("1", "2"):
-        U.publish(spark, t.withColumn("v", F.lit(version)), root, version)
-        assert {r.v for r in U.published(spark, root).collect()} == {version}
+        tables.publish(spark, t.withColumn("v", F.lit(version)), root, version)
+        assert {r.v for r in tables.published(spark, root).collect()} == {version}
     good = spark.createDataFrame([(1, 2), (2, 1)], "k int, expected_rows long")
     assert U.publish_staged(spark, t, good, ["k"], str(tmp_path / "a")).count() == 3
     with pytest.raises(ValueError):
@@ -198,7 +200,7 @@ def test_best_efforts_do_not_drift_and_take_nan_for_missing(spark):
 def test_a_publication_that_stops_half_way_leaves_the_table(spark, tmp_path):
     import pytest
 
-    from cadenza.operators import upsert as U
+    from cadenza.operators import tables as U
 
     root = str(tmp_path / "table")
     one, two = spark.range(3), spark.range(5)

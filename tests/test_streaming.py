@@ -1,8 +1,6 @@
 import json
 
-import pytest
-
-from cadenza.operators.upsert import published
+from cadenza.operators.tables import published, snapshot
 from cadenza.streaming.ingest import ingest_stream
 
 
@@ -26,17 +24,17 @@ def test_a_batch_rewrites_only_the_buckets_of_its_keys(spark, tmp_path):
     (tmp_path / "landing").mkdir()
     seen = []
 
-    def land(name, rows, buckets=8):
+    def land(name, rows):
         (tmp_path / "landing" / name).write_text("\n".join(json.dumps(r) for r in rows))
         note = lambda ids, before, now, n: seen.append((ids.count(), before.count(), now.count()))
-        ingest_stream(spark, landing, "k int, v string", lambda d: d.where("v <> 'none'"), root, ["k"], checkpoint, note, buckets)
+        ingest_stream(spark, landing, "k int, v string", lambda d: d.where("v <> 'none'"), root, ["k"], checkpoint, note, bucket_bytes=1200)
 
-    land("1.json", [{"k": k, "v": "a"} for k in range(100)])
-    land("2.json", [{"k": 7, "v": "b"}, {"k": 200, "v": "b"}])
+    land("1.json", [{"k": k, "v": f"{k * 7919 % 1000003}" * 3} for k in range(400)])
+    first = snapshot(spark, root)
+    assert len(first.buckets) > 4 and max(n for _, n in first.buckets.values()) <= 2400
+    land("2.json", [{"k": 7, "v": "b"}, {"k": 2000, "v": "b"}])
     land("3.json", [{"k": 1, "v": "none"}])
-    assert {r.k: r.v for r in published(spark, root).collect()} == {**dict.fromkeys(range(100), "a"), 7: "b", 200: "b"}
-    assert seen == [(100, 0, 100), (2, 100, 101)]
-    first, second = sorted((tmp_path / "table").glob("version=*"))
-    assert len(list(first.glob("_bucket=*"))) == 8 and len(list(second.glob("_bucket=*"))) <= 2
-    with pytest.raises(Exception, match="8 buckets and not 4"):
-        land("4.json", [{"k": 1, "v": "c"}], 4)
+    assert {r.k: r.v for r in published(spark, root).collect()} == {**{k: f"{k * 7919 % 1000003}" * 3 for k in range(400)}, 7: "b", 2000: "b"}
+    assert seen == [(400, 0, 400), (2, 400, 401)]
+    last = snapshot(spark, root)
+    assert last.seq == 1 and 1 <= sum(first.buckets.get(b) != v for b, v in last.buckets.items()) <= 4
