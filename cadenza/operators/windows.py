@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .chunks import LONGEST, apart, long_keys, ranked, with_halo
+
 
 def latest_per_key(df: DataFrame, keys: list[str], order_desc: list[str]) -> DataFrame:
     """The row with the largest order of each key; a partial aggregate, so a hot key meets in one row a task."""
@@ -25,37 +27,68 @@ def adjacent_delta(df: DataFrame, key: str, order: list[str], end: str, start: s
     return df.withColumn("delta", F.lead(start).over(Window.partitionBy(key).orderBy(*order)) - F.col(end))
 
 
-def best_efforts(samples: DataFrame, key: str, order: list[str], metrics: dict[str, str], durations: list[int], provenance: list[str] = ()) -> DataFrame:
+#: Values from here on count as missing: their sums would not be exact.
+_TOO_LARGE = 1e18
+
+
+def _zero() -> Column:
+    return F.lit(0).cast("decimal(38,10)")
+
+
+def _exact(column: str) -> Column:
+    return F.when(F.abs(F.col(column).cast("double")) < _TOO_LARGE, F.col(column).cast("double").cast("decimal(28,10)"))
+
+
+def _in_chunks(samples: DataFrame, key: str, order: list[str], halo: int, longest: int, work) -> DataFrame:
+    """``work(rows, by, order)`` of all keys: whole keys in a window, those of more than ``longest`` rows in chunks with a halo.
+
+    ``rows`` have ``_own``, false for a halo's rows; ``work`` ends in an aggregate of the key, in which its chunks meet.
+    """
+    hot = long_keys(samples, [key], longest)
+    plain = lambda rows: work(rows.withColumn("_own", F.lit(True)), [key], order)
+    if hot is None:
+        return plain(samples)
+    some, rest = apart(samples, hot, [key])
+    chunked = with_halo(ranked(some, [F.col(key), *(F.col(c) for c in order)]), max(longest, halo + 1), halo)
+    return work(chunked, ["_chunk", key], ["_rank"]).unionByName(plain(rest))
+
+
+def best_efforts(samples: DataFrame, key: str, order: list[str], metrics: dict[str, str], durations: list[int], provenance: list[str] = (), longest: int = LONGEST) -> DataFrame:
     """The highest mean of each metric over exactly N rows in a row, for each key and N.
 
     A window of N rows counts only if all its N values are present; NaN and infinite values count as missing. Ties go to
-    the first window. Sums and counts run over the whole key once; a window's are differences of two of these, so the cost
+    the first window. Sums and counts run over a key once; a window's are differences of two of these, so the cost
     is one sort whatever N is. Sums are of decimals with ten places, so they don't drift and equal windows tie; a
     value of 10**18 or more counts as missing. ``provenance`` columns are reported for the window's first and last row.
+    A key of more than ``longest`` rows goes through several tasks, in chunks that begin with the N - 1 rows before them.
 
     Output: key, metric_name, duration_seconds, peak_value, start_<order>, end_<order>,
     start_<p> and end_<p> for each provenance column, sample_count.
     """
-    ordered = Window.partitionBy(key).orderBy(*order)
-    upto = ordered.rowsBetween(Window.unboundedPreceding, 0)
-    rows = samples.select(key, *order, *(p for p in provenance if p not in order), *(F.when(F.abs(F.col(c).cast("double")) < 1e18, F.col(c).cast("double").cast("decimal(28,10)")).alias(f"_v_{m}") for m, c in metrics.items()))
-    rows = rows.withColumn("_n", F.row_number().over(ordered))
-    rows = rows.withColumns({f"_s_{m}": F.coalesce(F.sum(f"_v_{m}").over(upto), F.lit(0).cast("decimal(38,10)")) for m in metrics} | {f"_c_{m}": F.count(f"_v_{m}").over(upto) for m in metrics})
-    place = F.struct(*(F.col(c).alias(c) for c in dict.fromkeys([*order, *provenance])))
-    rows = rows.withColumn("_place", place)
-    found = []
-    for n in durations:
-        start = F.lag("_place", n - 1).over(ordered)
-        for m in metrics:
-            total = F.col(f"_s_{m}") - F.coalesce(F.lag(f"_s_{m}", n).over(ordered), F.lit(0).cast("decimal(38,10)"))
-            valid = F.col(f"_c_{m}") - F.lag(f"_c_{m}", n, 0).over(ordered)
-            whole = (F.col("_n") >= n) & (valid == n)
-            found.append(F.when(whole, F.struct((total.cast("double") / n).alias("peak"), (-F.col("_n")).alias("first"), start.alias("start"), F.col("_place").alias("end"), F.lit(m).alias("metric"), F.lit(n).alias("n"))))
-    # all durations and metrics come out of one pass; each task keeps one row for each of them and key
-    columns = [f.alias(f"_f{i}") for i, f in enumerate(found)]
-    best = rows.select(key, *columns).groupBy(key).agg(*(F.max(f"_f{i}").alias(f"_f{i}") for i in range(len(found))))
-    best = best.select(key, F.explode(F.array(*(F.col(f"_f{i}") for i in range(len(found))))).alias("_b")).where("_b is not null")
     fields = list(dict.fromkeys([*order, *provenance]))
+
+    def peaks(rows: DataFrame, by: list[str], at: list[str]) -> DataFrame:
+        ordered = Window.partitionBy(*by).orderBy(*at)
+        upto = ordered.rowsBetween(Window.unboundedPreceding, 0)
+        rows = rows.select(*dict.fromkeys([*by, *at, "_own"]), F.struct(*fields).alias("_place"), *(_exact(c).alias(f"_v_{m}") for m, c in metrics.items()))
+        rows = rows.withColumn("_n", F.row_number().over(ordered))
+        rows = rows.withColumns({f"_s_{m}": F.coalesce(F.sum(f"_v_{m}").over(upto), _zero()) for m in metrics} | {f"_c_{m}": F.count(f"_v_{m}").over(upto) for m in metrics})
+        place = F.col("_rank") if at == ["_rank"] else F.col("_n").cast("long")
+        found = []
+        for n in durations:
+            start = F.lag("_place", n - 1).over(ordered)
+            for m in metrics:
+                total = F.col(f"_s_{m}") - F.coalesce(F.lag(f"_s_{m}", n).over(ordered), _zero())
+                valid = F.col(f"_c_{m}") - F.lag(f"_c_{m}", n, 0).over(ordered)
+                whole = F.col("_own") & (F.col("_n") >= n) & (valid == n)
+                found.append(F.when(whole, F.struct((total.cast("double") / n).alias("peak"), (-place).alias("first"), start.alias("start"), F.col("_place").alias("end"), F.lit(m).alias("metric"), F.lit(n).alias("n"))))
+        # all durations and metrics come out of one pass; each task keeps one row for each of them and key
+        best = rows.select(key, *(f.alias(f"_f{i}") for i, f in enumerate(found)))
+        return best.groupBy(key).agg(*(F.max(f"_f{i}").alias(f"_f{i}") for i in range(len(found))))
+
+    k = len(durations) * len(metrics)
+    best = _in_chunks(samples, key, order, max(durations) - 1, longest, peaks)
+    best = best.select(key, F.explode(F.array(*(F.col(f"_f{i}") for i in range(k)))).alias("_b")).where("_b is not null")
     return best.select(
         key,
         F.col("_b.metric").alias("metric_name"),
@@ -67,6 +100,26 @@ def best_efforts(samples: DataFrame, key: str, order: list[str], metrics: dict[s
     )
 
 
+def normalised_power(samples: DataFrame, key: str, order: list[str], value: str, window: int = 30, longest: int = LONGEST) -> DataFrame:
+    """key, samples, valid_samples, average, normalised, variability_index.
+
+    ``normalised`` is the fourth root of the mean fourth power of the rolling mean over ``window`` rows, of windows whose values are all present (null
+    without any); the index is its ratio to the plain mean. Values count as in ``best_efforts``, long keys are spread as there.
+    """
+
+    def sums(rows: DataFrame, by: list[str], at: list[str]) -> DataFrame:
+        rolling = Window.partitionBy(*by).orderBy(*at).rowsBetween(1 - window, 0)
+        rows = rows.withColumn("_v", _exact(value)).withColumns({"_s": F.sum("_v").over(rolling), "_c": F.count("_v").over(rolling)})
+        power = F.pow(F.when(F.col("_c") == window, F.col("_s").cast("double") / window), 4)
+        return rows.where("_own").groupBy(key).agg(F.count("*").alias("_n"), F.count("_v").alias("_valid"), F.sum("_v").alias("_sum"), F.count(power).alias("_windows"), F.sum(power).alias("_fourth"))
+
+    found = _in_chunks(samples, key, order, window - 1, longest, sums)
+    average = F.col("_sum").cast("double") / F.nullif(F.col("_valid"), F.lit(0))
+    normalised = F.pow(F.col("_fourth") / F.nullif(F.col("_windows"), F.lit(0)), 0.25)
+    out = found.select(key, F.col("_n").alias("samples"), F.col("_valid").alias("valid_samples"), average.alias("average"), normalised.alias("normalised"))
+    return out.withColumn("variability_index", F.when(F.col("average") != 0, F.col("normalised") / F.col("average")))
+
+
 def running_records(sources: DataFrame, key: list[str], order: list[str], value: str, date: str, year: bool = False) -> DataFrame:
     """Rows whose value is strictly above all earlier ones of their key (and, with ``year``, of their year).
 

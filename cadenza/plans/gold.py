@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import keys, text
+from ..operators.chunks import asof_join
 from ..operators.joins import unpivot
 from ..operators.records import year_records
-from ..operators.windows import best_efforts, running_records
+from ..operators.windows import best_efforts, normalised_power, running_records
 
 # Fixed values.
 METRICS = {"watts": "watts", "cadence_rpm": "cadence_rpm", "heartrate_bpm": "heartrate_bpm"}
@@ -17,6 +18,8 @@ PROVENANCE = ("sample_index", "time_seconds", "distance_metres", "latitude", "lo
 ALL_TIME = ("1000-01-01", "9999-12-31")
 EFFORTS_VERSION = "activity_best_efforts_v1"
 ACHIEVEMENTS_VERSION = "activity_achievements_v1"
+POWER_METRICS_VERSION = "activity_power_metrics_v1"
+TRAINING_LOAD_VERSION = "activity_training_load_v1"
 RIDE_METRICS = {"distance_metres": "longest_distance", "moving_time_seconds": "longest_moving_duration", "elevation_gain_metres": "highest_elevation_gain"}
 
 RECORD_KEY, RECORD_ORDER = ["achievement_type", "metric_name", "duration_seconds"], ["activity_date", "activity_id"]
@@ -83,6 +86,33 @@ def achievements(sources: DataFrame, candidates: DataFrame | None = None) -> Dat
     )
 
 
+def activity_power_metrics(activities: DataFrame, streams: DataFrame) -> DataFrame:
+    """One row per activity: what its source states, and normalised power and variability from its samples."""
+    measured = normalised_power(streams, "activity_id", ["sample_index"], "watts")
+    found = activities.join(measured.select("activity_id", "average", "normalised", "variability_index"), "activity_id", "left")
+    average = F.coalesce("average_power_watts", "average")
+    return found.select(
+        "activity_id",
+        F.col("start_date_local").alias("activity_date"),
+        "moving_time_seconds",
+        average.alias("average_power_watts"),
+        "weighted_average_power_watts",
+        F.col("normalised").alias("normalized_power_watts"),
+        "variability_index",
+        (average * F.col("moving_time_seconds") / 1000).alias("work_kilojoules"),
+        F.lit(POWER_METRICS_VERSION).alias("calculation_version"),
+    )
+
+
+def activity_training_load(metrics: DataFrame, ftp_history: DataFrame, athlete: list[str] = ()) -> DataFrame:
+    """Intensity and stress of each activity by the FTP (valid_from, ftp_watts) in force on its day; nulls before the first entry."""
+    known = asof_join(metrics, ftp_history, list(athlete), "activity_date", "valid_from", ["valid_from", "ftp_watts"])
+    ftp = F.when(F.col("ftp_watts") > 0, F.col("ftp_watts"))
+    intensity = F.col("normalized_power_watts") / ftp
+    stress = F.col("moving_time_seconds") * F.col("normalized_power_watts") * intensity / (ftp * 3600) * 100
+    return known.select(*athlete, "activity_id", ftp.alias("ftp_watts_used"), intensity.alias("intensity_factor"), stress.alias("training_stress_score"), F.lit(TRAINING_LOAD_VERSION).alias("calculation_version"))
+
+
 def notification_eligible(facts: DataFrame, recent: DataFrame, daily: bool, had_facts: bool) -> DataFrame:
     """Only a daily run's recent activities, and not on the first run."""
     hit = recent.select("activity_id").distinct().withColumn("_recent", F.lit(True))
