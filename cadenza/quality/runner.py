@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import threading
 import time
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +17,8 @@ FAILING = ("CRITICAL", "ERROR")
 STAGES = ("preflight", "silver", "gold")
 RESULT = "check_name string, scope string, stage string, severity string, passed boolean, issue_count long, details string, duration_seconds double"
 SAMPLE_ROWS, SAMPLE_LENGTH = 5, 180
+# Seconds for a check and for all, of the gate before publication and of the deep run.
+LIMITS = {"publication": (60, 180), "deep": (900, 7200)}
 
 
 @dataclass(frozen=True)
@@ -39,20 +44,69 @@ def measured(found: DataFrame) -> tuple[int, str]:
     return issues, " | ".join(r["t"] for r in rows)
 
 
-def run_checks(spark: SparkSession, checks: list[Check], tables: dict[str, DataFrame], scope: str | None = None, stop: bool = True) -> DataFrame:
+class TimedOut(Exception):
+    """A check has passed its time limit; its jobs are cancelled."""
+
+
+@contextmanager
+def time_limit(spark: SparkSession, seconds: float | None) -> Iterator[None]:
+    """Jobs started inside, broadcasts too, are cancelled after ``seconds``, again and again until the block ends, which raises ``TimedOut``."""
+    if seconds is None:
+        yield
+        return
+    sc, group, done, late = spark.sparkContext, f"limit-{uuid.uuid4().hex}", threading.Event(), threading.Event()
+
+    def watch() -> None:
+        if not done.wait(max(0.0, seconds)):
+            late.set()
+            while not done.wait(0.1):
+                sc.cancelJobGroup(group)
+
+    before = sc.getLocalProperty("spark.jobGroup.id")
+    sc.setJobGroup(group, "checks with a time limit", interruptOnCancel=True)
+    watcher = threading.Thread(target=watch, daemon=True)
+    watcher.start()
+    try:
+        yield
+    except Exception as e:
+        if late.is_set():
+            raise TimedOut(f"TIMED_OUT after {seconds:.1f} s") from e
+        raise
+    finally:
+        done.set()
+        watcher.join()
+        sc.setLocalProperty("spark.jobGroup.id", before)
+
+
+def run_checks(
+    spark: SparkSession,
+    checks: list[Check],
+    tables: dict[str, DataFrame],
+    scope: str | None = None,
+    stop: bool = True,
+    per_check_seconds: float | None = None,
+    overall_seconds: float | None = None,
+) -> DataFrame:
     """A result row for each check of the scope, stage by stage; after a stage with a failing check the rest don't run.
 
-    A check that raises is a failure with the error as its details.
+    A check that raises is a failure with the error as its details. One that runs longer than ``per_check_seconds``, or than what is left of
+    ``overall_seconds``, is cancelled and timed out; the next ones run, and those that the overall limit leaves no time for are timed out unrun.
     """
-    rows, failed = [], False
+    rows, failed, ends = [], False, None if overall_seconds is None else time.monotonic() + overall_seconds
     for stage in STAGES:
         if failed and stop:
             break
         for c in (c for c in checks if c.stage == stage and scope in (None, c.scope)):
             began = time.monotonic()
             missing = [t for t in c.tables if t not in tables]
+            limits = [x for x in (per_check_seconds, None if ends is None else ends - began) if x is not None]
             try:
-                issues, details = (1, f"missing tables: {', '.join(missing)}") if missing else measured(c.find(tables))
+                if limits and min(limits) <= 0:
+                    raise TimedOut("TIMED_OUT: the overall limit was reached before the check")
+                with time_limit(spark, min(limits, default=None)):
+                    issues, details = (1, f"missing tables: {', '.join(missing)}") if missing else measured(c.find(tables))
+            except TimedOut as e:
+                issues, details = 1, str(e)
             except Exception as e:  # a broken check must show, not end the run
                 issues, details = 1, f"{type(e).__name__}: {str(e)[:SAMPLE_LENGTH]}"
             rows.append((c.name, c.scope, stage, c.severity, issues == 0, issues, details, time.monotonic() - began))
@@ -61,12 +115,14 @@ def run_checks(spark: SparkSession, checks: list[Check], tables: dict[str, DataF
 
 
 def outcome(results: DataFrame) -> DataFrame:
-    """One row: FAILED, PASSED_WITH_WARNINGS or PASSED, and failures by severity."""
+    """One row: TIMED_OUT, FAILED, PASSED_WITH_WARNINGS or PASSED, and failures by severity. A failing check counts more than one without an answer."""
     bad = ~F.col("passed")
     by = [F.count_if(bad & (F.col("severity") == s)).alias(f"{s.lower()}_failures") for s in ("CRITICAL", "ERROR", "WARNING", "INFO")]
-    one = results.agg(F.count("*").alias("checks"), F.count_if(bad).alias("failures"), *by)
-    status = F.when(F.col("critical_failures") + F.col("error_failures") > 0, "FAILED").when(F.col("failures") > 0, "PASSED_WITH_WARNINGS").otherwise("PASSED")
-    return one.withColumn("outcome", status)
+    late = bad & F.col("details").startswith("TIMED_OUT")
+    found = F.count_if(bad & ~late & F.col("severity").isin(*FAILING)).alias("_found")
+    one = results.agg(F.count("*").alias("checks"), F.count_if(bad).alias("failures"), *by, found, F.count_if(late).alias("_late"))
+    status = F.when(F.col("_found") > 0, "FAILED").when(F.col("_late") > 0, "TIMED_OUT").when(F.col("failures") > 0, "PASSED_WITH_WARNINGS").otherwise("PASSED")
+    return one.withColumn("outcome", status).drop("_found", "_late")
 
 
 def outcome_of_error(text: str) -> str:
@@ -74,7 +130,7 @@ def outcome_of_error(text: str) -> str:
 
 
 def may_publish(results: DataFrame) -> bool:
-    return outcome(results).first()["outcome"] != "FAILED"
+    return outcome(results).first()["outcome"] not in ("FAILED", "TIMED_OUT")
 
 
 def normalised(results: DataFrame) -> DataFrame:
