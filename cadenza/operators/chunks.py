@@ -30,6 +30,17 @@ def ranked(df: DataFrame, order: list[Column], name: str = "_rank") -> DataFrame
     return out.withColumn(name, F.col("_start") + F.col("_id") - F.shiftleft("_p", _PARTITION)).drop("_p", "_id", "_start")
 
 
+def running_count(rows: DataFrame, counted: Column, name: str, longest: int = LONGEST) -> DataFrame:
+    """Ranked rows with the number of rows up to each, itself included, for which ``counted`` holds."""
+    chunk = F.floor(F.col("_rank") / longest)
+    marked = rows.withColumn("_chunk", chunk).withColumn(name, F.when(counted, 1).otherwise(0).cast("long"))
+    sizes = sorted((r["c"], r["n"]) for r in marked.groupBy(F.col("_chunk").alias("c")).agg(F.sum(name).alias("n")).collect())  # a row a chunk
+    starts = accumulate((n for _, n in sizes), initial=0)
+    before = rows.sparkSession.createDataFrame([(c, s) for (c, _), s in zip(sizes, starts)], "_chunk long, _before long")
+    within = F.sum(name).over(Window.partitionBy("_chunk").orderBy("_rank").rowsBetween(Window.unboundedPreceding, 0))
+    return marked.withColumn(name, within).join(F.broadcast(before), "_chunk").withColumn(name, F.col(name) + F.col("_before")).drop("_chunk", "_before")
+
+
 def with_halo(rows: DataFrame, size: int, halo: int) -> DataFrame:
     """Ranked rows in chunks of ``size``: ``_chunk``, and ``_own``, false for copies of the ``halo`` rows before a chunk."""
     if halo >= size:

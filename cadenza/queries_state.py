@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .operators import chunks as C
 from .operators import records as S
 from .operators import windows as W
+from .operators.sweep import sweep_join
 from .queries import EFFORTS, ORACLE_SQL, ORDER, RECORDS, effort_columns, query, r
 
 #: Orders before this day are the history whose state is kept, those from it on are new.
@@ -103,3 +104,17 @@ def training_load_as_of(t):
 def training_load_in_chunks(t):
     """Every customer with more than ten rows is spread over chunks of ten."""
     return _load(t, 10)
+
+
+SPANS = "CASE event_id % 5 WHEN 0 THEN 1 WHEN 1 THEN 600 WHEN 2 THEN 90000 WHEN 3 THEN 0 ELSE 40000000 END"
+
+
+@query(f"""
+WITH e AS (SELECT user_id, event_id, CAST(floor(epoch(ts)) AS BIGINT) AS s FROM events)
+SELECT i.event_id AS span_id, count(*) AS events, CAST(sum(x.event_id) AS BIGINT) AS ids FROM (SELECT *, s + ({SPANS}) AS b FROM e) i JOIN e x ON x.user_id = i.user_id AND x.s >= i.s AND x.s < i.b GROUP BY 1
+""")
+def interval_sweep(t):
+    """Intervals of a second to more than a year."""
+    e = t("events").select("user_id", "event_id", F.unix_seconds(F.col("ts").cast("timestamp")).alias("s"))
+    spans = e.select("user_id", F.col("event_id").alias("span_id"), F.col("s").alias("a"), (F.col("s") + F.expr(SPANS)).alias("b"))
+    return sweep_join(e, spans, "user_id", "s", "a", "b").groupBy("span_id").agg(F.count("*").alias("events"), F.sum("event_id").alias("ids"))
