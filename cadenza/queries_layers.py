@@ -486,3 +486,37 @@ def outbox_outcomes(t):
     new = _messages(t)
     told = new.where("activity_id % 3 <> 2").select("notification_id", (F.col("activity_id") % 3 == 0).alias("delivered"), F.when(F.col("activity_id") % 3 == 1, "timeout").alias("error"))
     return outbox.apply_outcomes(new, told, 5, 10, "2020-01-02 00:00:00").select("activity_id", "notification_status", "error_message")
+
+
+SAMPLES = """
+WITH e AS (SELECT *, date_trunc('second', ts) AS s, CAST(floor(value) AS INTEGER) AS bpm, CASE WHEN event_id % 3 <> 0 THEN 'p' || event_id END AS point FROM events),
+c AS (SELECT *, CAST(ts AS DATE) AS day FROM e UNION ALL SELECT *, CAST(ts AS DATE) + 1 FROM e WHERE event_id % 2 = 0)
+"""
+
+
+def _sample_pages(t):
+    """Responses for each user and day, in pages of six hours; every other sample comes again the day after."""
+    e = t("events").withColumn("day", F.explode(F.when(F.col("event_id") % 2 == 0, F.array(F.to_date("ts"), F.date_add(F.to_date("ts"), 1))).otherwise(F.array(F.to_date("ts")))))
+    time = F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("physicalTime"), F.lit("3600s").alias("utcOffset"))
+    rate = F.struct(time.alias("sampleTime"), F.when(F.col("event_id") % 11 != 0, F.floor("value").cast("string")).alias("beatsPerMinute"))
+    point = F.struct(F.when(F.col("event_id") % 3 != 0, F.concat(F.lit("p"), "event_id")).alias("name"), F.struct(F.col("event_type").alias("name")).alias("dataSource"), rate.alias("heartRate"))
+    pages = e.groupBy("user_id", "day", F.floor(F.hour("ts") / 6).alias("page")).agg(F.collect_list(point).alias("dataPoints"))
+    of = pages.groupBy("user_id", "day").agg(F.to_json(F.struct(F.array_sort(F.collect_list(F.struct("page", "dataPoints"))).alias("pages"))).alias("heart_rate_payload"))
+    return of.select(F.lit(1).alias("source_id"), F.col("user_id").alias("google_health_user_id"), F.col("day").alias("activity_date"), F.lit("1sec").alias("detail_level"), F.col("day").alias("retrieved_at"), "heart_rate_payload")
+
+
+@query(SAMPLES + """
+SELECT sha256(concat_ws('|', '1', user_id, coalesce(point, 'NA'), s, bpm, event_type)) AS heart_rate_sample_key, user_id, point, event_type AS source_name, s AS at_utc, bpm,
+  CAST(s + INTERVAL 1 HOUR AS DATE) AS local_day, max(day) AS raw_day, sha256(concat_ws('|', '1', user_id, max(day), '1sec')) AS raw_response_key
+FROM c WHERE event_id % 11 <> 0 GROUP BY user_id, point, event_type, s, bpm
+""", texts=("at_utc", "local_day", "raw_day"))
+def heart_rate_samples(t):
+    found, _ = shape.heart_rate_samples(_sample_pages(t))
+    return found.select("heart_rate_sample_key", F.col("google_health_user_id").alias("user_id"), F.col("source_data_point_id").alias("point"), "source_name", F.col("sample_datetime_utc").alias("at_utc"),
+                        F.col("heart_rate_bpm").alias("bpm"), F.col("sample_date_local").alias("local_day"), F.col("raw_activity_date").alias("raw_day"), "raw_response_key")
+
+
+@query(SAMPLES + "SELECT user_id, day, count(*) AS rejected FROM c WHERE event_id % 11 = 0 GROUP BY 1, 2", texts=("day",))
+def heart_rate_sample_rejects(t):
+    _, rejects = shape.heart_rate_samples(_sample_pages(t))
+    return rejects.groupBy(F.col("google_health_user_id").alias("user_id"), F.col("activity_date").alias("day")).agg(F.count("*").alias("rejected"))

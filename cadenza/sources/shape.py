@@ -140,6 +140,49 @@ def heart_rate_days(pages: DataFrame) -> DataFrame:
     return out.withColumn("heart_rate_payload", payload).drop("_pages")
 
 
+def heart_rate_samples(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(samples, rejects): one row for each heart-rate sample of responses whose ``heart_rate_payload`` holds pages of points.
+
+    A sample is told by its source, user, point name, time, rate and source name. Responses overlap, so of a sample that comes
+    more than once the row of the latest response counts (a tie goes to the greater response key, then place). A response is told by
+    source, user, date and level. A sample needs a time and a whole rate. Its local date is its civil date or else that of the time moved by
+    the offset (seconds as ``3600s``); it is null without either. Empty or malformed payloads give no rows.
+    """
+    paths = lambda *p: [(root, *q) for root in ("heartRate", "heart_rate") for q in either_case(*p)]
+    of_response = ["source_id", "google_health_user_id", "activity_date", "detail_level", "retrieved_at"]
+    pages = elements(responses.select(*of_response, F.col("heart_rate_payload").alias("payload")), "pages").withColumnRenamed("response_index", "_page")
+    points = data_points(pages)
+    offset = first_of("payload", paths("sampleTime", "utcOffset"))
+    read = points.select(
+        *of_response,
+        "_page",
+        F.col("response_index").alias("_point"),
+        at("payload", "name").alias("source_data_point_id"),
+        first_of("payload", ["dataSource.name", "data_source.name", "source.name"]).alias("source_name"),
+        instant(first_of("payload", paths("sampleTime", "physicalTime"))).alias("sample_datetime_utc"),
+        offset.alias("sample_utc_offset"),
+        civil_date(first_of("payload", paths("sampleTime", "civilTime", "date"))).alias("_civil"),
+        first_of("payload", paths("beatsPerMinute")).try_cast("int").alias("heart_rate_bpm"),
+        "payload",
+    )
+    sample = keys.key(*(F.col(c) for c in ("source_id", "google_health_user_id", "source_data_point_id", "sample_datetime_utc", "heart_rate_bpm", "source_name")))
+    response = keys.key(*(F.col(c) for c in of_response[:4]))
+    good, rejects = _split(read, F.col("sample_datetime_utc").isNotNull() & F.col("heart_rate_bpm").isNotNull(), "missing sample time or rate")
+    moved = F.col("sample_datetime_utc") + F.make_dt_interval(secs=F.regexp_extract("sample_utc_offset", r"^(-?\d+)(?:\.\d+)?s$", 1).try_cast("decimal(18,6)"))
+    row = F.struct(
+        F.col("retrieved_at").alias("raw_retrieved_at"),
+        response.alias("raw_response_key"),
+        *("_page", "_point", "sample_utc_offset"),
+        F.coalesce("_civil", moved.cast("date")).alias("sample_date_local"),
+        F.col("activity_date").alias("raw_activity_date"),
+        F.col("detail_level").alias("raw_detail_level"),
+    )
+    of_sample = ["source_id", "google_health_user_id", "source_data_point_id", "source_name", "sample_datetime_utc", "heart_rate_bpm"]
+    latest = good.groupBy(sample.alias("heart_rate_sample_key"), *of_sample).agg(F.max(row).alias("_r"))
+    out = latest.select("heart_rate_sample_key", *of_sample, F.to_date("sample_datetime_utc").alias("sample_date_utc"), "_r.*").drop("_page", "_point")
+    return out, rejects.select(*of_response, "payload", "reject_reason")
+
+
 def source_field(*field: str) -> Column:
     """A field of the data source, under any of its names."""
     paths = [(root, *p) for root in ("dataSource", "data_source", "source") for p in either_case(*field)]

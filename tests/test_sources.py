@@ -72,6 +72,26 @@ def test_pages_are_put_together(spark):
     assert shape.heart_rate_days(hr).first().heart_rate_payload == '{"pages":[{"x":1},{}]}'
 
 
+def test_heart_rate_samples(spark):
+    def point(name, time, rate, **more):
+        return {"name": name, "dataSource": {"name": "watch"}, "heartRate": {"sampleTime": {"physicalTime": time, **more}, "beatsPerMinute": rate}}
+
+    first = {"pages": [{"dataPoints": [point("a", "2026-01-01T23:30:00Z", "60", utcOffset="3600s"), point(None, "2026-01-01T10:00:00Z", 61)]}, {"data_points": [point("b", "no time", "62")]}]}
+    again = {"pages": [{"dataPoints": [point("a", "2026-01-01T23:30:00Z", "60", utcOffset="3600s"), point("a", "2026-01-01T23:30:00Z", "60", utcOffset="-1800.5s")]},
+                       {}, {"dataPoints": [point("c", "2026-01-02T00:00:00Z", "63", civilTime={"date": {"year": 2026, "month": 1, "day": 1}}), point("d", "2026-01-02T00:00:00Z", None)]}]}
+    rows = [(1, "u", dt.date(2026, 1, d), "1sec", d, p) for d, p in ((1, json.dumps(first)), (2, json.dumps(again)), (3, "{"), (4, None), (5, "[]"))]
+    responses = spark.createDataFrame(rows, "source_id int, google_health_user_id string, activity_date date, detail_level string, retrieved_at int, heart_rate_payload string")
+    good, rejects = shape.heart_rate_samples(responses)
+    got = {(r.source_data_point_id, r.heart_rate_bpm): r for r in good.collect()}
+    assert set(got) == {("a", 60), (None, 61), ("c", 63)}
+    a = got["a", 60]  # the latest response, its later point; half an hour back is the same day
+    assert (a.raw_retrieved_at, a.raw_activity_date.day, a.sample_utc_offset, a.sample_date_local.day, a.sample_date_utc.day) == (2, 2, "-1800.5s", 1, 1)
+    assert got[None, 61].sample_date_local is None and got["c", 63].sample_date_local.day == 1
+    assert len({r.heart_rate_sample_key for r in got.values()}) == 3
+    assert sorted((r.retrieved_at, r.reject_reason) for r in rejects.collect()) == [(1, "missing sample time or rate"), (2, "missing sample time or rate")]
+    assert shape.heart_rate_samples(responses.limit(0))[0].isEmpty()
+
+
 def test_planned_events(spark, tmp_path):
     good = {"event_key": "e1", "event_name": " Tour ", "status": "planned", "start_date": "2026-05-01", "stages": [{"stage_key": "s1", "stage_date": "2026-05-01", "distance_metres": "1000"}]}
     bad = {"event_key": "e2", "event_name": " ", "status": "maybe", "start_date": "2026-5-1", "end_date": "2026-01-01", "extra": 1, "stages": [{"stage_key": "s"}, {"stage_key": "s", "distance_metres": "1.5"}]}
