@@ -12,7 +12,8 @@ one. Query blocks meet index blocks by an equi-join on the index block's cell, a
 Vectors that are null or hold null or non-finite components take no part, nor do null ids. A shorter
 vector counts as filled with zeros. Rows with the query's vec_id are not candidates; otherwise repeated
 rows take part as they are. Equal scores rank by vec_id. An empty table gives no rows. Other columns are
-ignored. Scores must fit in a long.
+ignored. Components and scores that are too large for a long, of finite vectors as well, count as the largest long or its
+negative; a block that holds such vectors is scored without its index, in whole numbers of any size.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from .common import table, written
 
 K, ROWS, QUERIES = 5, 2048, 512
+LARGEST = (1 << 63) - 1
 #: Least size of a segment's values, as a share of the block's largest.
 SEGMENTS = (0.25, 0.08, 0.03, 0.0)
 #: Queries and index blocks whose k-th scores a task remembers.
@@ -38,7 +40,7 @@ def integers(vectors: DataFrame) -> DataFrame:
     """(vec_id, v): the vectors that take part, as longs."""
     x = F.transform("embedding", lambda e: e.cast("double"))
     good = F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.forall(x, lambda e: F.coalesce(F.abs(e) < float("inf"), F.lit(False)))
-    return vectors.where(good).select(F.col("vec_id").cast("long"), F.transform(x, lambda e: F.floor(256 * e).cast("long")).alias("v"))
+    return vectors.where(good).select(F.col("vec_id").cast("long"), F.transform(x, lambda e: F.greatest(F.floor(256 * e).cast("long"), F.lit(-LARGEST))).alias("v"))
 
 
 def segments(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -100,7 +102,8 @@ def search(queries: np.ndarray, vectors: np.ndarray, index: tuple[np.ndarray, np
         if whole:
             out.append((members, vectors[members] @ queries[i]))
         else:
-            out.append((members, np.array([int(s) for s in vectors[members].astype(object) @ queries[i].astype(object)], np.int64)))
+            exact = vectors[members].astype(object) @ queries[i].astype(object)
+            out.append((members, np.array([min(max(int(s), -LARGEST), LARGEST) for s in exact], np.int64)))
     return out, read
 
 

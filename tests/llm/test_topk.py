@@ -86,3 +86,16 @@ def test_small_blocks_equal_brute_force(spark, monkeypatch):
     got = sorted(tuple(r) for r in T.top_k(df, F.col("vec_id") % 5 == 0).select("query_id", "rank", "vec_id", "score").collect())
     pad = [(i, v + [0.0] * (8 - len(v))) for i, v in vectors]
     assert got == brute(pad, lambda i: i % 5 == 0)
+
+
+def test_components_and_scores_beyond_a_long_count_as_the_largest(spark):
+    rows = [(5, [1e30, 1.0]), (10, [1e30, 2.0]), (1, [-1e30, 0.0]), (2, [1e-3, 1.0]), (3, [1e300, -1e300]), (4, [float("inf"), 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    top = (1 << 63) - 1
+    whole = {i: [max(-top, min(top, math.floor(256 * c))) for c in v] for i, v in rows if i != 4}
+    want = []
+    for q in (5, 10):
+        scores = {i: max(-top, min(top, sum(a * b for a, b in zip(whole[q], v)))) for i, v in whole.items() if i != q}
+        want += [(q, rank, i, scores[i]) for rank, i in enumerate(sorted(scores, key=lambda i: (-scores[i], i)), 1)]
+    got = T.top_k(df, F.col("vec_id") % 5 == 0).select("query_id", "rank", "vec_id", "score").collect()
+    assert sorted(map(tuple, got)) == want
