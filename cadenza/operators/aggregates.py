@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-import heapq
-import math
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+
+from .medians import LONGEST, running_median
 
 
 def greatest_or_null(*columns: Column) -> Column:
@@ -84,47 +80,28 @@ def multiple_values_per_key(df: DataFrame, key: list[str], value: str) -> DataFr
     return grouped.where("n_values > 1")
 
 
-def running_medians(batches: Iterator[pa.RecordBatch], run: str, seconds: str) -> Iterator[pa.RecordBatch]:
-    """Adds ``prior`` and ``prior_median``, number and median of the run's earlier values, to rows sorted by run."""
-    now, low, high = object(), [], []  # the lower half as a heap of negated values, the upper half as a heap
-    for batch in batches:
-        prior, median = [], []
-        for key, value in zip(batch.column(run).to_pylist(), batch.column(seconds).to_pylist()):
-            if key != now:
-                now, low, high = key, [], []
-            n = len(low) + len(high)
-            prior.append(n)
-            median.append(None if not n else -low[0] if n % 2 else 0.5 * -low[0] + 0.5 * high[0])
-            if value is not None:
-                value = float(value)
-                heapq.heappush(high, -heapq.heappushpop(low, -(math.inf if math.isnan(value) else value)))
-                if len(high) > len(low):
-                    heapq.heappush(low, -heapq.heappop(high))
-        added = [pa.array(prior, pa.int64()), pa.array(median, pa.float64())]
-        yield pa.RecordBatch.from_arrays([*batch.columns, *added], [*batch.schema.names, "prior", "prior_median"])
-
-
-def slow_batches(log: DataFrame, run: str, order: str, seconds: str, floor_s: float = 60, factor: float = 3, min_prior: int = 5) -> DataFrame:
-    """The log with ``is_slow``: longer than the floor and than the factor times the median of the run's earlier batches.
-
-    The medians are exact. Rows stream through a task in order of run and ``order`` and two heaps hold a run's earlier values, so a
-    run of n batches costs n log n. Null durations don't count; NaN counts as infinite.
+def slow_batches(log: DataFrame, run: str, order: str, seconds: str, floor_s: float = 60, factor: float = 3, min_prior: int = 5, longest: int = LONGEST) -> DataFrame:
+    """The log with ``is_slow``: longer than the floor and, once the run has ``min_prior`` earlier batches, than the factor times their median.
+
+    The medians are exact (``medians.running_median``). Null durations don't count and aren't slow; NaN counts as infinite.
     """
-    ordered = log.repartition(run).sortWithinPartitions(run, order)
-    schema = StructType([*log.schema.fields, StructField("prior", LongType()), StructField("prior_median", DoubleType())])
-    out = ordered.mapInArrow(lambda batches: running_medians(batches, run, seconds), schema)
-    limit = F.greatest(F.lit(float(floor_s)), factor * F.col("prior_median"))
-    return out.withColumn("is_slow", (F.col("prior") >= min_prior) & F.coalesce(F.col(seconds) > limit, F.lit(False)))
+    out = running_median(log, [run], [order], seconds, longest)
+    limit = F.when(F.col("prior") >= min_prior, F.greatest(F.lit(float(floor_s)), factor * F.col("prior_median"))).otherwise(F.lit(float(floor_s)))
+    return out.withColumn("is_slow", F.coalesce(F.col(seconds) > limit, F.lit(False)))
 
 
 def throughput_trend(log: DataFrame, run: str, order: str, rows: str, seconds: str, window: int = 10, tolerance: float = 0.1) -> DataFrame:
-    """stable, improving or degrading for each run: rows a second in the later against the earlier half of its last batches."""
+    """stable, improving or degrading for each run: rows a second in the later against the earlier half of its last batches (the later
+    has the odd one). calculating: fewer than four batches, a null among them, no time spent in a half, or no rows in the earlier."""
     recent = log.withColumn("_r", F.row_number().over(Window.partitionBy(run).orderBy(F.col(order).desc()))).where(F.col("_r") <= window)
-    late = F.col("_r") <= window // 2
-    rate = lambda c: F.sum(F.when(c, F.col(rows))) / F.sum(F.when(c, F.col(seconds)))
-    out = recent.groupBy(run).agg(rate(~late).alias("earlier"), rate(late).alias("later"))
-    change = F.col("later") / F.col("earlier") - 1
-    return out.withColumn("trend", F.when(change.isNull(), "unknown").when(change > tolerance, "improving").when(change < -tolerance, "degrading").otherwise("stable"))
+    recent = recent.withColumn("_n", F.count("*").over(Window.partitionBy(run)))
+    late = F.col("_r") <= F.ceil(F.col("_n") / 2)
+    rate = lambda c: F.try_divide(F.sum(F.when(c, F.col(rows))), F.sum(F.when(c, F.col(seconds))))
+    whole = (F.count(rows) == F.count("*")) & (F.count(seconds) == F.count("*")) & (F.count("*") >= 4)
+    out = recent.groupBy(run).agg(F.when(whole, rate(~late)).alias("earlier"), F.when(whole, rate(late)).alias("later"))
+    change = F.try_divide("later", "earlier") - 1
+    trend = F.when(change.isNull() | F.isnan(change) | (F.col("earlier") <= 0), "calculating").when(change > tolerance, "improving").when(change < -tolerance, "degrading").otherwise("stable")
+    return out.withColumn("trend", trend)
 
 
 def rolling_throughput(log: DataFrame, run: str, order: str, rows: str, seconds: str, remaining: str, window: int = 10) -> DataFrame:

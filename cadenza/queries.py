@@ -410,7 +410,7 @@ def exists_flag(t):
 
 @query("""
 WITH l AS (SELECT user_id, event_id, value, count(value) OVER w AS prior, quantile_cont(value, 0.5) OVER w AS m FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
-SELECT user_id, event_id FROM l WHERE prior >= 5 AND value > greatest(60, 1.5 * m)
+SELECT user_id, event_id FROM l WHERE value > CASE WHEN prior >= 5 THEN greatest(60, 1.5 * m) ELSE 60 END
 """)
 def slow_batches(t):
     return A.slow_batches(t("events").select("user_id", "event_id", "value"), "user_id", "event_id", "value", factor=1.5).where("is_slow").select("user_id", "event_id")
@@ -418,8 +418,10 @@ def slow_batches(t):
 
 @query("""
 WITH r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS i FROM events QUALIFY i <= 10),
-h AS (SELECT user_id, sum(event_id) FILTER (WHERE i > 5) / sum(value) FILTER (WHERE i > 5) AS a, sum(event_id) FILTER (WHERE i <= 5) / sum(value) FILTER (WHERE i <= 5) AS b FROM r GROUP BY 1)
-SELECT user_id, CASE WHEN b / a - 1 IS NULL THEN 'unknown' WHEN b / a - 1 > 0.1 THEN 'improving' WHEN b / a - 1 < -0.1 THEN 'degrading' ELSE 'stable' END AS trend FROM h
+n AS (SELECT *, ceil(count(*) OVER (PARTITION BY user_id) / 2) AS half FROM r),
+h AS (SELECT user_id, count(*) >= 4 AND count(value) = count(*) AS whole, sum(event_id) FILTER (WHERE i > half) / nullif(sum(value) FILTER (WHERE i > half), 0) AS a,
+  sum(event_id) FILTER (WHERE i <= half) / nullif(sum(value) FILTER (WHERE i <= half), 0) AS b FROM n GROUP BY 1)
+SELECT user_id, CASE WHEN NOT whole OR b / a - 1 IS NULL OR a <= 0 THEN 'calculating' WHEN b / a - 1 > 0.1 THEN 'improving' WHEN b / a - 1 < -0.1 THEN 'degrading' ELSE 'stable' END AS trend FROM h
 """)
 def throughput_trend(t):
     return A.throughput_trend(t("events"), "user_id", "event_id", "event_id", "value").select("user_id", "trend")

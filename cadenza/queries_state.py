@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .operators import chunks as C
 from .operators import records as S
 from .operators import windows as W
+from .operators.medians import running_median
 from .operators.sweep import sweep_join
 from .queries import EFFORTS, ORACLE_SQL, ORDER, RECORDS, effort_columns, query, r
 
@@ -118,3 +119,13 @@ def interval_sweep(t):
     e = t("events").select("user_id", "event_id", F.unix_seconds(F.col("ts").cast("timestamp")).alias("s"))
     spans = e.select("user_id", F.col("event_id").alias("span_id"), F.col("s").alias("a"), (F.col("s") + F.expr(SPANS)).alias("b"))
     return sweep_join(e, spans, "user_id", "s", "a", "b").groupBy("span_id").agg(F.count("*").alias("events"), F.sum("event_id").alias("ids"))
+
+
+@query("""
+SELECT event_id, count(value) OVER w AS prior, round(median(value) OVER w, 6) AS prior_median FROM events
+WINDOW w AS (ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+""")
+def medians_in_chunks(t):
+    """One user has all events: their running medians must spread over tasks."""
+    one = t("events").withColumn("user_id", F.lit(1).cast("long"))
+    return running_median(one, ["user_id"], ["ts", "event_id"], "value", longest=2000).select("event_id", "prior", r("prior_median", 6))
