@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from .operators import chunks as C
 from .operators import records as S
 from .operators import windows as W
 from .operators.medians import running_median
+from .operators.parts import RangedTable
+from .operators.stored import shared_folder
 from .operators.sweep import sweep_join
 from .queries import EFFORTS, ORACLE_SQL, ORDER, RECORDS, effort_columns, query, r
 
@@ -129,3 +133,13 @@ def medians_in_chunks(t):
     """One user has all events: their running medians must spread over tasks."""
     one = t("events").withColumn("user_id", F.lit(1).cast("long"))
     return running_median(one, ["user_id"], ["ts", "event_id"], "value", longest=2000).select("event_id", "prior", r("prior_median", 6))
+
+
+@query("SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'P' THEN o_totalprice + 1 ELSE o_totalprice END AS price FROM orders")
+def merge_into_parts(t):
+    """Open orders with new prices, and the orders of odd customers that were not there, merged into a table in parts."""
+    orders = t("orders").select("o_orderkey", "o_custkey", F.col("o_totalprice").alias("price"), "o_orderstatus")
+    table = RangedTable(orders.sparkSession, f"{shared_folder(orders.sparkSession)}/parts-{uuid.uuid4().hex}", ["o_orderkey"], 4000)
+    table.upsert(orders.where("o_custkey % 2 = 0").drop("o_orderstatus"))
+    table.upsert(orders.where("o_orderstatus = 'P' or o_custkey % 2 = 1").withColumn("price", F.when(F.col("o_orderstatus") == "P", F.col("price") + 1).otherwise(F.col("price"))).drop("o_orderstatus"))
+    return table.read()
