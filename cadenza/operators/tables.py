@@ -114,11 +114,13 @@ def commit(spark: SparkSession, root: str, new: Snapshot) -> bool:
     return _Files(spark, root).create(f"{root}/_pointers/{new.seq:012d}.json", text)
 
 
-def publish(spark: SparkSession, df: DataFrame, root: str, version: str, base: Snapshot | None = None) -> str:
+def publish(spark: SparkSession, df: DataFrame, root: str, version: str, base: Snapshot | None = None, gate: Callable[[DataFrame], None] | None = None) -> str:
     """Full replacement by ``df``. With ``base``, what ``df`` was made from, it is a ``Conflict`` if others have published since;
-    without, the replacement goes on top of whatever there is."""
+    without, the replacement goes on top of whatever there is. ``gate`` gets the version as written and raises if it may not be published."""
     path = f"{root}/version={version}"
     df.write.parquet(path)
+    if gate:
+        gate(spark.read.schema(df.schema).parquet(path))
     while True:
         last = base or snapshot(spark, root)
         if commit(spark, root, Snapshot(last.seq + 1, version, None, df.schema.json())):
@@ -135,12 +137,12 @@ def published(spark: SparkSession, root: str) -> DataFrame:
     return read(spark, root, last)
 
 
-def replace(spark: SparkSession, root: str, change: Callable[[DataFrame], DataFrame], attempts: int = ATTEMPTS) -> Snapshot:
-    """Publish ``change`` of the table, on top of all that others publish meanwhile: on a conflict it is made again from what they left."""
+def replace(spark: SparkSession, root: str, change: Callable[[DataFrame], DataFrame], attempts: int = ATTEMPTS, gate: Callable[[DataFrame], None] | None = None) -> Snapshot:
+    """Publish ``change`` of the table, on top of all that others publish meanwhile: on a conflict it is made, and passes the gate, again from what they left."""
     for _ in range(attempts):
         base = snapshot(spark, root)
         try:
-            publish(spark, change(read(spark, root, base)), root, f"{base.seq + 1:012d}-{uuid.uuid4().hex[:8]}", base)
+            publish(spark, change(read(spark, root, base)), root, f"{base.seq + 1:012d}-{uuid.uuid4().hex[:8]}", base, gate)
             return snapshot(spark, root)
         except Conflict:
             continue

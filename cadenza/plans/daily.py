@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import incremental, records
+from ..operators.tables import publish, published
 from ..operators.upsert import replace_keys
+from ..quality import gate as gates
+from ..quality.runner import Check
 from . import gold, silver
 
 
@@ -52,6 +55,22 @@ def build_gold(tables: dict[str, DataFrame], root: str, durations=gold.DURATIONS
     return {"gold_activity_best_efforts": efforts, "gold_activity_achievements": saved(gold.achievements(sources), f"{root}/gold_activity_achievements")}
 
 
+def publish_gold(tables: dict[str, DataFrame], root: str, version: str, checks: list[Check], durations=gold.DURATIONS) -> dict[str, DataFrame]:
+    """Everything evaluated anew and published, each table behind its gate: achievements are made from efforts that have passed theirs.
+    If one is refused, readers keep the version before, and nothing after it is made."""
+    spark, activities = tables["silver_activities"].sparkSession, tables["silver_activities"]
+    out = dict(tables)
+
+    def put(name: str, rows: DataFrame, names: tuple[str, ...]) -> None:
+        publish(spark, rows, f"{root}/{name}", version, gate=gates.gate(name, checks, out, names))
+        out[name] = published(spark, f"{root}/{name}")
+
+    put("gold_activity_best_efforts", gold.activity_best_efforts(tables["silver_activity_streams"], activities, durations), gates.EFFORTS)
+    sources = gold.achievement_sources(out["gold_activity_best_efforts"], activities, durations)
+    put("gold_activity_achievements", gold.achievements(sources), gates.ACHIEVEMENTS + (gates.STATE if "activity_achievement_evaluation_state" in tables else ()))
+    return {n: out[n] for n in ("gold_activity_best_efforts", "gold_activity_achievements")}
+
+
 def update_efforts(existing: DataFrame, streams: DataFrame, activities: DataFrame, affected: DataFrame, durations=gold.DURATIONS) -> DataFrame:
     """The efforts table with the affected activities' rows computed again, from their samples alone."""
     part = streams.join(affected.select("activity_id").distinct(), "activity_id", "left_semi")

@@ -13,6 +13,10 @@ from .operators.medians import running_median
 from .operators.parts import RangedTable
 from .operators.stored import shared_folder
 from .operators.sweep import sweep_join
+from .operators.tables import publish, published
+from .quality import families as V
+from .quality.gate import Refused, gate
+from .quality.runner import Check
 from .queries import EFFORTS, ORACLE_SQL, ORDER, RECORDS, effort_columns, query, r
 
 #: Orders before this day are the history whose state is kept, those from it on are new.
@@ -143,3 +147,21 @@ def merge_into_parts(t):
     table.upsert(orders.where("o_custkey % 2 = 0").drop("o_orderstatus"))
     table.upsert(orders.where("o_orderstatus = 'P' or o_custkey % 2 = 1").withColumn("price", F.when(F.col("o_orderstatus") == "P", F.col("price") + 1).otherwise(F.col("price"))).drop("o_orderstatus"))
     return table.read()
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice >= 50000")
+def gated_publication(t):
+    """Three versions stand before a gate; the middle one, all orders, has prices below the least one and repeated rows, and is refused."""
+    orders = t("orders").select("o_orderkey", "o_totalprice")
+    checks = [
+        Check("key", "CRITICAL", lambda x: V.unique_key(x["prices"], ["o_orderkey"]), tables=("prices",)),
+        Check("price", "CRITICAL", lambda x: V.required(x["prices"], ["o_totalprice"], F.col("o_totalprice") >= 50000), tables=("prices",)),
+    ]
+    spark, ask = orders.sparkSession, gate("prices", checks, {})
+    root, good, refused = f"{shared_folder(spark)}/gated-{uuid.uuid4().hex}", orders.where("o_totalprice >= 50000"), 0
+    for i, rows in enumerate((good.where("o_orderkey % 2 = 0"), orders.unionByName(orders), good)):
+        try:
+            publish(spark, rows, root, str(i), gate=ask)
+        except Refused:
+            refused += 1
+    return published(spark, root).where(F.lit(refused == 1))

@@ -137,3 +137,33 @@ def test_the_daily_run_passes_its_checks_and_queues_messages(spark, tmp_path):
     assert counts.first().asDict() == {"queued": 0, "skipped": 4, "already_sent": 1, "already_queued": 3}
     last = outbox.apply_outcomes(box, one.select("notification_id", F.lit(False).alias("delivered"), F.lit("e").alias("error")), 1, 15, "2026-01-06")
     assert last.where("notification_status = 'FAILED' and next_attempt_at is null").count() == 1
+
+
+def test_gates_stand_before_publication(spark, tmp_path, monkeypatch):
+    from cadenza.operators.tables import published
+    from cadenza.quality.gate import Refused, gate
+
+    raw, root = raw_tables(spark), str(tmp_path / "gold")
+    overrides = df(spark, [], "activity_id long, is_active boolean, power_source_type string, power_source_status string, is_measured_power boolean, is_power_record_eligible boolean, power_record_exclusion_reason string, power_classification_rule string, power_classification_method string")
+    tables = daily.build_silver(raw, df(spark, [], "manual_cutover_at timestamp_ntz, rule_version string"), overrides, "b1", str(tmp_path))
+    checks = platform_checks("2026-01-05", "b1")
+    out = daily.publish_gold(tables, root, "1", checks, durations=(5, 10, 20))
+    efforts = out["gold_activity_best_efforts"].count()
+    assert efforts == 36 and not out["gold_activity_achievements"].isEmpty()
+
+    good = daily.gold.activity_best_efforts
+    spoiled = {
+        "gold_best_efforts_duplicate_primary_key": lambda e: e.unionByName(e),
+        "gold_best_efforts_sample_count_valid": lambda e: e.withColumn("sample_count", F.lit(1).cast(e.schema["sample_count"].dataType)),
+        "gold_activity_best_efforts_watts_eligibility_matches_silver": lambda e: e.withColumn("is_record_eligible", F.lit(False)).withColumn("record_exclusion_reason", F.lit("x")),
+    }
+    for n, (name, spoil) in enumerate(spoiled.items()):
+        monkeypatch.setattr(daily.gold, "activity_best_efforts", lambda *a, s=spoil: s(good(*a)))
+        with pytest.raises(Refused, match=name) as refused:
+            daily.publish_gold(tables, root, f"bad{n}", checks, durations=(5, 10, 20))
+        assert name in [r.check_name for r in refused.value.results if not r.passed]
+    assert published(spark, f"{root}/gold_activity_best_efforts").count() == efforts
+    with pytest.raises(ValueError, match="no such checks"):
+        gate("t", checks, {}, ("none",))
+    with pytest.raises(Refused, match="missing tables"):
+        gate("gold_activity_achievements", checks, {}, ("gold_activity_achievements_power_eligible_only",))(out["gold_activity_achievements"])
