@@ -8,15 +8,16 @@ from pyspark.sql import functions as F
 from ..functions.json import parse_state
 from ..functions.text import gear_name
 from ..operators.aggregates import densify_daily, row_counts
+from ..operators.stored import stored
 from ..operators.windows import first_n_per_key, latest_per_key
 
 
 def payload_fields(df: DataFrame, payload: str, row: str) -> DataFrame:
     """(row, path, type, is_null) of every field of an object, nested ones by dotted path; an array is one field.
 
-    Level by level, until a level has no more objects.
+    Level by level, until a level has no more objects. Each level is written, so a payload is parsed once, however deep it is.
     """
-    level = df.select(row, F.try_parse_json(payload).alias("_v"), F.lit("").alias("_p")).where(F.schema_of_variant("_v").startswith("OBJECT"))
+    level = stored(df.select(row, F.try_parse_json(payload).alias("_v"), F.lit("").alias("_p")).where(F.schema_of_variant("_v").startswith("OBJECT")), "level")
     out = None
     while out is None or not level.isEmpty():
         fields = level.lateralJoin(level.sparkSession.tvf.variant_explode(F.col("_v").outer()))
@@ -25,7 +26,7 @@ def payload_fields(df: DataFrame, payload: str, row: str) -> DataFrame:
         simple = F.when(F.col("_k").startswith("OBJECT"), "object").when(F.col("_k").startswith("ARRAY"), "array").when(F.col("_k") == "VOID", "null").when(F.col("_k") == "STRING", "string").when(F.col("_k") == "BOOLEAN", "boolean").otherwise("number")
         found = named.select(row, "path", simple.alias("type"), (F.col("_k") == "VOID").alias("is_null"))
         out = found if out is None else out.unionByName(found)
-        level = named.where(F.col("_k").startswith("OBJECT")).select(row, F.col("value").alias("_v"), F.col("path").alias("_p"))
+        level = stored(named.where(F.col("_k").startswith("OBJECT")).select(row, F.col("value").alias("_v"), F.col("path").alias("_p")), "level")
     return out
 
 

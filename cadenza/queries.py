@@ -217,13 +217,14 @@ def _domains(t):
 
 
 @query("""
-WITH e AS (SELECT CAST(ts AS DATE) AS day, sum(value) AS v FROM events WHERE event_type = 'error' AND value > 40 GROUP BY 1),
+WITH e AS (SELECT CAST(ts AS DATE) + CAST(event_id % 3 * 40 AS INTEGER) AS day, sum(value) AS v FROM events GROUP BY 1),
 d AS (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM e)
 SELECT day, round(coalesce(v, 0), 4) AS value FROM d LEFT JOIN e USING (day)
 """, texts=('day',))
 def densify_daily(t):
-    e = t("events").where("event_type = 'error' and value > 40").select(F.to_date("ts").alias("day"), "value")
-    return A.densify_daily(e, "day", "value", 0.0).select("day", r("value"))
+    """All events; those of two in three ids are put off by 40 and 80 days, which leaves days without any."""
+    days = t("events").withColumn("day", F.date_add(F.to_date("ts"), (F.col("event_id") % 3 * 40).cast("int")))
+    return A.densify_daily(days, "day", "value").select("day", r("value"))
 
 
 @query("SELECT user_id, CAST(ts AS DATE) AS day, count(DISTINCT event_type) AS n_values, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS value_list FROM events GROUP BY 1, 2 HAVING count(DISTINCT event_type) > 1", texts=('day',))
@@ -294,6 +295,24 @@ def json_coverage(t):
     return reports.payload_coverage(t("events"), "props", "event_id")
 
 
+@query("""
+WITH o AS (SELECT o_orderkey AS id, o_totalprice < 50000 AS low, o_orderkey % 2 = 0 AS even, o_orderpriority LIKE '5%' AS bare FROM orders),
+f AS (
+  SELECT id, 'status' AS path, 'string' AS k FROM o UNION ALL SELECT id, 'order', CASE WHEN bare THEN 'null' ELSE 'object' END FROM o
+  UNION ALL SELECT id, 'order.price', CASE WHEN low THEN 'null' ELSE 'number' END FROM o WHERE NOT bare
+  UNION ALL SELECT id, 'order.tags', CASE WHEN even THEN 'array' ELSE 'null' END FROM o WHERE NOT bare
+  UNION ALL SELECT id, unnest(['order.who', 'order.who.id', 'order.who.open']), unnest(['object', 'number', 'boolean']) FROM o WHERE NOT bare
+)
+SELECT path, 100.0 * count(DISTINCT id) / (SELECT count(*) FROM o) AS coverage_percent, string_agg(DISTINCT k, ',' ORDER BY k) AS types, avg(CASE WHEN k = 'null' THEN 1.0 ELSE 0.0 END) AS null_frequency FROM f GROUP BY 1
+""")
+def json_coverage_nested(t):
+    """Orders as payloads of three levels with nulls and arrays."""
+    who = F.struct(F.col("o_custkey").alias("id"), (F.col("o_orderstatus") == "O").alias("open"))
+    inner = F.struct(F.when(F.col("o_totalprice") >= 50000, F.col("o_totalprice")).alias("price"), F.when(F.col("o_orderkey") % 2 == 0, F.array("o_orderstatus")).alias("tags"), who.alias("who"))
+    whole = F.struct(F.col("o_orderstatus").alias("status"), F.when(~F.col("o_orderpriority").startswith("5"), inner).alias("order"))
+    return reports.payload_coverage(t("orders").select("o_orderkey", F.to_json(whole, {"ignoreNullFields": "false"}).alias("payload")), "payload", "o_orderkey")
+
+
 @query("SELECT o_orderkey, sha256(o_orderkey || '|' || o_orderstatus || '|' || coalesce(CASE WHEN o_orderpriority LIKE '1-%' THEN NULL ELSE o_orderpriority END, 'NA')) AS key FROM orders")
 def keys_sha256(t):
     return t("orders").select("o_orderkey", keys.key(F.col("o_orderkey"), F.col("o_orderstatus"), F.when(~F.col("o_orderpriority").startswith("1-"), F.col("o_orderpriority"))).alias("key"))
@@ -372,14 +391,16 @@ def histogram_of_counts(t):
     return A.histogram_of_counts(t("lineitem"), ["l_orderkey"])
 
 
-@query("SELECT l_orderkey, min(l_linenumber) AS first_index, max(l_linenumber) AS last_index, count(*) AS rows, count(DISTINCT l_linenumber) AS indexes FROM lineitem WHERE l_quantity > 10 GROUP BY 1 HAVING max(l_linenumber) - min(l_linenumber) + 1 <> count(DISTINCT l_linenumber) OR count(*) <> count(DISTINCT l_linenumber)")
+@query("SELECT l_orderkey, min(l_linenumber) AS first_index, max(l_linenumber) AS last_index, count(*) AS rows, count(DISTINCT l_linenumber) AS indexes FROM (SELECT l_orderkey, CASE WHEN l_quantity > 10 THEN l_linenumber ELSE l_linenumber + 1 END AS l_linenumber FROM lineitem) GROUP BY 1 HAVING max(l_linenumber) - min(l_linenumber) + 1 <> count(DISTINCT l_linenumber) OR count(*) <> count(DISTINCT l_linenumber)")
 def index_continuity(t):
-    return V.index_continuity(t("lineitem").where("l_quantity > 10"), "l_orderkey", "l_linenumber")
+    moved = t("lineitem").withColumn("l_linenumber", F.when(F.col("l_quantity") > 10, F.col("l_linenumber")).otherwise(F.col("l_linenumber") + 1))
+    return V.index_continuity(moved, "l_orderkey", "l_linenumber")
 
 
-@query("SELECT n_name, count(c_custkey) AS customers FROM nation LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 9000) ON n_nationkey = c_nationkey GROUP BY 1")
+@query("SELECT n_name, count(c_custkey) AS customers FROM nation LEFT JOIN (SELECT *, c_nationkey + CASE WHEN c_acctbal > 9000 THEN 0 ELSE 25 END AS k FROM customer) ON n_nationkey = k GROUP BY 1")
 def zero_filled_counts(t):
-    counts = t("customer").where("c_acctbal > 9000").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.count("*").alias("customers"))
+    key = F.col("c_nationkey") + F.when(F.col("c_acctbal") > 9000, 0).otherwise(25)
+    counts = t("customer").groupBy(key.alias("n_nationkey")).agg(F.count("*").alias("customers"))
     return A.zero_filled(counts, t("nation"), ["n_nationkey"], "customers").select("n_name", "customers")
 
 
