@@ -7,7 +7,7 @@ row among old ones rewrites nothing; ``compact`` brings small parts together aga
 
 Ranges suit keys that come in order (ids, times), where a write meets the latest parts only. ``tables.KeyedTable`` has hash buckets, which suit keys
 without order. Pointers and conflicts are those of ``tables``; a writer that meets another does its work again, as the other may have brought the same
-keys. A key with a null matches none, as in a join, so its row is always new.
+keys. Null keys are equal.
 """
 
 from __future__ import annotations

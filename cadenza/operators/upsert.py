@@ -30,12 +30,13 @@ def merged(target: DataFrame, source: DataFrame, keys: list[str], touch_only: li
     """The merged table with ``action``: inserted, updated, unchanged or kept (not in ``source``).
 
     A matched row takes all of the source's values, nulls too. ``touch_only``: where all other columns
-    agree, only these are advanced and the row counts as unchanged. ``insert_only``: matched rows stay.
+    agree, only these are advanced and the row counts as unchanged. ``insert_only``: matched rows stay. Null keys are equal, as in ``one_per_key``.
     """
     rest = [c for c in target.columns if c not in keys]
     t = target.select(*keys, F.struct(*rest).alias("_t"))
-    s = one_per_key(source.select(*target.columns), keys).select(*keys, F.struct(*rest).alias("_s"))
-    both = t.join(s, keys, "full_outer")
+    s = one_per_key(source.select(*target.columns), keys).select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.struct(*rest).alias("_s"))
+    both = t.join(s, reduce(lambda a, c: a & c, (same(t[k], s[f"_k{i}"]) for i, k in enumerate(keys))), "full_outer")
+    both = both.select(*(F.coalesce(t[k], s[f"_k{i}"]).alias(k) for i, k in enumerate(keys)), "_t", "_s")
     compared = [c for c in rest if c not in (touch_only or [])]
     equal = reduce(lambda a, c: a & same(F.col(f"_t.{c}"), F.col(f"_s.{c}")), compared, F.lit(True))
     action = (

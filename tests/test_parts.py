@@ -64,3 +64,11 @@ def test_two_writers_of_the_same_new_key_leave_one_row(spark, tmp_path):
     one._commit = late
     change = one.upsert(frame(spark, [(1, "ours"), (3, "ours")]))
     assert change.read == done[0].written and content(two) == {1: "ours", 2: "theirs", 3: "ours"}
+
+
+def test_null_keys_are_equal(spark, tmp_path):
+    table = RangedTable(spark, str(tmp_path / "t"), ["a", "b"], 500)
+    rows = lambda v: spark.createDataFrame([(None, None, v), (1, None, v), (None, "x", v), (1, "x", v)], "a int, b string, v string")
+    table.upsert(rows("old"))
+    table.upsert(rows("new").where("b is null"))
+    assert sorted((str(r.a), str(r.b), r.v) for r in table.read().collect()) == [("1", "None", "new"), ("1", "x", "old"), ("None", "None", "new"), ("None", "x", "old")]

@@ -120,5 +120,7 @@ def test_keys_of_several_columns_and_nulls(spark, tmp_path):
     rows = [(a, b, f"{a}{b}") for a in (None, 1, 2, 3, 4, 5) for b in (None, "x", "y", "z")]
     table.upsert(spark.createDataFrame(rows, "a int, b string, v string"))
     table.upsert(spark.createDataFrame([(None, None, "new"), (9, "x", "new")], "a int, b string, v string"))
-    got = {(r.a, r.b): r.v for r in table.read().collect()}
+    held = table.read().collect()
+    got = {(r.a, r.b): r.v for r in held}
+    assert len(held) == len(got)  # null keys are equal too
     assert got == {(a, b): v for a, b, v in rows} | {(None, None): "new", (9, "x"): "new"}
