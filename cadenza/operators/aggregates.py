@@ -105,10 +105,13 @@ def throughput_trend(log: DataFrame, run: str, order: str, rows: str, seconds: s
 
 
 def rolling_throughput(log: DataFrame, run: str, order: str, rows: str, seconds: str, remaining: str, window: int = 10) -> DataFrame:
-    """Rows a second over the last batches of the run, and the seconds that the remaining rows would take."""
+    """Rows a second over the last batches of the run, and the seconds that the remaining rows would take. In no time at all
+    rows come at an infinite rate (the rest takes 0 seconds), and no rows at none (NaN; the rest's time is unknown: null)."""
     frame = Window.partitionBy(run).orderBy(order).rowsBetween(-(window - 1), 0)
-    out = log.withColumn("rows_per_second", F.sum(rows).over(frame) / F.sum(seconds).over(frame))
-    return out.withColumn("eta_seconds", F.when(F.col("rows_per_second") > 0, F.col(remaining) / F.col("rows_per_second")))
+    done, took = F.sum(rows).over(frame).cast("double"), F.sum(seconds).over(frame).cast("double")
+    out = log.withColumn("rows_per_second", F.when(took == 0, done * F.lit(float("inf"))).otherwise(F.try_divide(done, took)))
+    rate = F.col("rows_per_second")
+    return out.withColumn("eta_seconds", F.when((rate > 0) & ~F.isnan(rate), F.col(remaining) / rate))
 
 
 def top_rows(df: DataFrame, order: list[Column], n: int) -> DataFrame:

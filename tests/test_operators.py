@@ -191,6 +191,13 @@ def test_aggregates(spark):
     assert [r.g for r in g.collect()] == [None, 3]
 
 
+def test_batches_that_take_no_time_have_an_infinite_rate(spark):
+    log = [(1, 1, 6, 0.0), (1, 2, 6, 3.0), (1, 3, None, None), (2, 1, 0, 0.0), (2, 2, 5, 0.0), (3, 1, None, 0.0), (4, 1, 0, 2.0)]
+    df = spark.createDataFrame(log, "run int, n int, rows long, seconds double").withColumn("left", F.lit(8))
+    got = {(r.run, r.n): (str(r.rows_per_second), r.eta_seconds) for r in A.rolling_throughput(df, "run", "n", "rows", "seconds", "left", 2).collect()}
+    assert got == {(1, 1): ("inf", 0.0), (1, 2): ("4.0", 2.0), (1, 3): ("2.0", 4.0), (2, 1): ("nan", None), (2, 2): ("inf", 0.0), (3, 1): ("None", None), (4, 1): ("0.0", None)}
+
+
 def test_best_efforts_do_not_drift_and_take_nan_for_missing(spark):
     from cadenza.operators import windows as W
 
