@@ -181,9 +181,13 @@ def type_laps(raw: DataFrame, activities: DataFrame) -> tuple[DataFrame, DataFra
     """(laps, rejects). A value that is there but has the wrong type rejects its lap, with the reason.
 
     Offsets are seconds from the activity's start; the end is exclusive; either is null without its inputs.
+    A payload's fields are read in one pass over it. Of an id that good laps share, one row a task meets the others: counts and, as a
+    lap with an id of its own is its group's only row, maxima give the laps without a second pass.
     """
     p = F.col("lap_payload")
-    text = {f: at(p, f) for f in ("id", "activity.id", "lap_index", "name", "start_date", "start_date_local", "device_watts", *(f for _, f, _ in LAP_FIELDS))}
+    fields = ("id", "lap_index", "name", "start_date", "start_date_local", "device_watts", *(f for _, f, _ in LAP_FIELDS))
+    raw = raw.select("activity_id", F.col("lap_index").alias("_response"), p, F.json_tuple(p, *fields).alias(*(f"_f_{f}" for f in fields)))
+    text = {f: F.col(f"_f_{f}") for f in fields} | {"activity.id": at(p, "activity.id")}
     number = {f: text[f].try_cast("double") for _, f, _ in LAP_FIELDS} | {"lap_index": text["lap_index"].try_cast("double")}
     device = tri_state(text["device_watts"])
     moment = lambda c: F.regexp_replace(F.regexp_replace(c, "T", " "), "Z$", "").try_cast("timestamp_ntz")
@@ -192,7 +196,7 @@ def type_laps(raw: DataFrame, activities: DataFrame) -> tuple[DataFrame, DataFra
     wrong = [F.when(text[f].isNotNull() & number[f].isNull(), F.lit(f"{f} is not numeric")) for f in number]
     reason = F.coalesce(
         F.when(F.try_parse_json(p).isNull(), "malformed payload"),
-        F.when(~F.coalesce(text["id"].rlike("^[0-9]+$"), F.lit(False)), "missing or invalid lap id"),
+        F.when(~F.coalesce(text["id"].rlike("^[0-9]+$"), F.lit(False)) | text["id"].try_cast("long").isNull(), "missing or invalid lap id"),
         F.when(~text["activity.id"].eqNullSafe(F.col("activity_id").cast("string")), "activity mismatch"),
         *wrong,
         F.when(F.coalesce(index, F.lit(-1)) < 0, "missing or invalid lap index"),
@@ -206,7 +210,7 @@ def type_laps(raw: DataFrame, activities: DataFrame) -> tuple[DataFrame, DataFra
         text["id"].try_cast("long").alias("lap_id"),
         "activity_id",
         index.alias("lap_index"),
-        F.col("lap_index").alias("raw_response_index"),
+        F.col("_response").alias("raw_response_index"),
         F.when(F.trim(text["name"]) != "", text["name"]).alias("lap_name"),
         utc.alias("start_datetime_utc"),
         local.alias("start_datetime_local"),
@@ -218,9 +222,11 @@ def type_laps(raw: DataFrame, activities: DataFrame) -> tuple[DataFrame, DataFra
         F.lit(LAP_VERSION).alias("transform_version"),
         "reject_reason",
     )
-    repeated = out.where("reject_reason is null").groupBy("lap_id").agg(F.count("*").alias("_n")).where("_n > 1")
+    good = out.where("reject_reason is null").drop("reject_reason")
+    by_id = good.groupBy("lap_id").agg(F.count("*").alias("_n"), *(F.max(c).alias(c) for c in good.columns if c != "lap_id"))
+    repeated = by_id.where("_n > 1").select("lap_id", "_n")
     out = out.join(repeated, "lap_id", "left").withColumn("reject_reason", F.coalesce("reject_reason", F.when(F.col("_n") > 1, F.lit("repeated lap id")))).drop("_n")
-    return out.where("reject_reason is null").drop("reject_reason"), out.where("reject_reason is not null")
+    return by_id.where("_n = 1").select(*good.columns), out.where("reject_reason is not null")
 
 
 def lap_power_provenance(power: Column, device: Column, parent: tuple[Column, Column, Column, Column]) -> Column:

@@ -47,6 +47,15 @@ def test_malformed_and_repeated_laps_are_rejected(spark):
     assert good.isEmpty() and sorted(r.reject_reason for r in bad.collect()) == ["malformed payload", "repeated lap id", "repeated lap id"]
 
 
+def test_a_lap_payload_is_read_once(spark):
+    good, bad = laps(spark, LAP, LAP | {"id": 5}, LAP | {"id": 5}, LAP | {"id": 10**30}, LAP | {"id": 10**30}, LAP | {"activity": json.dumps(LAP["activity"])})
+    assert [r.lap_id for r in good.collect()] == [LAP["id"]]
+    assert sorted(r.reject_reason for r in bad.collect()) == ["activity mismatch", *["missing or invalid lap id"] * 2, *["repeated lap id"] * 2]
+    for df, passes in ((good, 1), (bad, 2)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("json_tuple") == passes and plan.count("get_json_object") <= 2 * passes
+
+
 def test_lap_power_provenance(spark):
     rows = [(200.0, True, "measured", "s", True, True), (200.0, True, "virtual", "s", False, False), (200.0, False, "measured", "s", True, True), (200.0, True, None, "s", True, True), (None, True, "m", "s", True, True), (200.0, None, "m", "s", True, True)]
     df = spark.createDataFrame(rows, "p double, d boolean, a string, b string, c boolean, e boolean")
