@@ -14,6 +14,8 @@ from ..functions.keys import row_signature
 NO_ROW = "<no row>"
 # Reasons for an invalidation, the strongest first.
 REASONS = ("DATE_CHANGE", "HISTORICAL_INSERT", "POWER_ELIGIBILITY_CHANGE", "BEST_EFFORT_CHANGE", "HISTORICAL_ACTIVITY_CHANGE")
+#: Repeated ids of an audit come back in arrays of so many.
+PIECE = 10_000
 CHANGE_TYPES = ("insert", "update", "delete_or_exclude")
 
 
@@ -230,16 +232,25 @@ def candidates(base: DataFrame, facts: DataFrame, efforts: DataFrame, key: str,
         return base.select(key).distinct()
     if mode == "recent":
         return base.where(F.col(date) >= F.date_sub(F.lit(as_of).cast("date"), days)).select(key).distinct()
-    f = facts.groupBy(key).agg(F.max("computed_at").alias("_f"))
-    e = efforts.groupBy(key).agg(F.max("computed_at").alias("_e"))
-    both = base.select(key).distinct().join(f, key, "left").join(e, key, "left")
-    return both.where("_f is null or _e > _f").select(key)
+    none = F.lit(None)
+    known = facts.where(F.col(key).isNotNull()).select(key, none.cast("boolean").alias("_base"), F.col("computed_at").alias("_f"), none.alias("_e"))
+    newer = efforts.where(F.col(key).isNotNull()).select(key, none.cast("boolean").alias("_base"), none.alias("_f"), F.col("computed_at").alias("_e"))
+    # one aggregate over all three: no table is joined, so a task holds one hash table and no sorted or broadcast copies
+    each = base.select(key, F.lit(True).alias("_base"), none.alias("_f"), none.alias("_e")).unionByName(known).unionByName(newer)
+    both = each.groupBy(key).agg(F.max("_base").alias("_base"), F.max("_f").alias("_f"), F.max("_e").alias("_e"))
+    return both.where("_base and (_f is null or _e > _f)").select(key)
 
 
 def candidate_audit(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
-    """(key, side) of ids that only one of two selections has."""
-    left = a.join(b, key, "left_anti").select(key, F.lit("only_first").alias("side"))
-    return left.unionByName(b.join(a, key, "left_anti").select(key, F.lit("only_second").alias("side")))
+    """(key, side) of ids that only one of two selections has, as often as it has them; a null id is in no other selection."""
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    each = a.select(key, one.alias("_a"), none.alias("_b")).unionByName(b.select(key, none.alias("_a"), one.alias("_b")))
+    counts = each.groupBy(key).agg(F.sum("_a").alias("_a"), F.sum("_b").alias("_b")).where(F.col(key).isNull() | (F.col("_a") == 0) | (F.col("_b") == 0))
+    sides = F.array(F.struct(F.lit("only_first").alias("side"), F.col("_a").alias("_n")), F.struct(F.lit("only_second").alias("side"), F.col("_b").alias("_n")))
+    rows = counts.select(key, F.inline(sides)).where("_n > 0")
+    # a repeated id comes back in pieces, so that no array is longer than a piece
+    rows = rows.select(key, "side", "_n", F.explode(F.sequence(one, F.col("_n"), F.lit(PIECE).cast("long"))).alias("_at"))
+    return rows.select(key, "side", F.explode(F.sequence("_at", F.least(F.col("_n"), F.col("_at") + PIECE - 1)))).select(key, "side")
 
 
 def compare_facts(before: DataFrame, after: DataFrame, key: list[str], columns: list[str]) -> DataFrame:

@@ -198,6 +198,19 @@ def test_batches_that_take_no_time_have_an_infinite_rate(spark):
     assert got == {(1, 1): ("inf", 0.0), (1, 2): ("4.0", 2.0), (1, 3): ("2.0", 4.0), (2, 1): ("nan", None), (2, 2): ("inf", 0.0), (3, 1): ("None", None), (4, 1): ("0.0", None)}
 
 
+def test_candidates_and_their_audit_join_no_tables(spark, monkeypatch):
+    monkeypatch.setattr(I, "PIECE", 2)
+    ids = lambda *k: spark.createDataFrame([(x,) for x in k], "k int")
+    at = lambda *r: spark.createDataFrame(list(r), "k int, computed_at int")
+    found = I.candidates(ids(1, 1, 2, 3, 4, None), at((1, 5), (1, 3), (2, 5), (4, 5), (9, 1), (None, 9)), at((1, 5), (2, 6), (3, 1), (8, 8), (None, 1)), "k", "day", "conservative")
+    audit = I.candidate_audit(ids(1, 1, 1, 1, 1, 2, 3, 3, None), ids(3, 4, 4, 5, None, None), "k")
+    for df in (found, audit):
+        assert "Join" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.k for r in found.collect()), key=str) == [2, 3, None]
+    want = [(1, "only_first")] * 5 + [(2, "only_first"), (4, "only_second"), (4, "only_second"), (5, "only_second"), (None, "only_first")] + [(None, "only_second")] * 2
+    assert sorted(map(tuple, audit.collect()), key=str) == sorted(want, key=str)
+
+
 def test_best_efforts_do_not_drift_and_take_nan_for_missing(spark):
     from cadenza.operators import windows as W
 
