@@ -1,7 +1,7 @@
 """Many checks of a table in one scan.
 
 Checks that judge a row by itself, and checks of unique keys, are data: an SQL condition or a list of columns. All rules of a table are compiled into one
-aggregate: each row goes out once for the conditions and once for each key, the conditions shrink to one row a task before
+aggregate: each row goes out once for each condition that it breaks and once for each key, the conditions shrink to a few rows a task before
 the shuffle, and keys are counted there. So a table is read once, whatever the number of its rules, and all tables make one job. Every
 issue is counted; up to ``SAMPLES`` examples are kept, the smallest of as many hash classes, so a sample is the same in every run.
 """
@@ -61,39 +61,39 @@ def unique(name: str, table: str, columns: list[str], **rest) -> Rule:
     return Rule(name, table, unique=tuple(columns), **rest)
 
 
-def _text(columns) -> F.Column:
-    shown = F.concat_ws(", ", *(F.concat(F.lit(f"{c}="), F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("<NA>"))) for c in columns))
+def _text(columns, held: dict[str, str] | None = None) -> F.Column:
+    """The columns' names and values; ``held``: the names under which the values lie."""
+    at = held or {c: c for c in columns}
+    shown = F.concat_ws(", ", *(F.concat(F.lit(f"{c}="), F.coalesce(F.col(f"`{at[c]}`").cast("string"), F.lit("<NA>"))) for c in columns))
     return F.substring(shown, 1, SAMPLE_LENGTH)
 
 
-def _samples(bad: F.Column, text: F.Column, name: str) -> list[F.Column]:
-    return [F.min(F.when(bad & (F.pmod(F.xxhash64(text), F.lit(SAMPLES)) == i), text)).alias(f"{name}_{i}") for i in range(SAMPLES)]
-
-
-def _joined(name: str) -> F.Column:
-    return F.array_join(F.array_compact(F.array(*(F.col(f"{name}_{i}") for i in range(SAMPLES)))), " | ")
-
-
 def _one_table(table: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Each row gives an entry for each condition that it breaks, with the hash class and text of a sample, and one for each key,
+    with its values as they are: a key's entry is its values and a count and no more, and its text is made of them when they have been counted."""
     rows, keys = [r for r in rules if r.bad], [r for r in rules if r.unique]
-    flags = {f"_b{i}": F.coalesce(F.expr(r.bad), F.lit(False)) for i, r in enumerate(rows)}
-    texts = {f"_t{i}": F.when(F.expr(r.bad), _text(r.show or table.columns)) for i, r in enumerate(rows)}
-    none = F.lit(None).cast("string")
-    sides = F.array(F.struct(F.lit(-1).alias("rule"), none.alias("key"), none.alias("text")), *(F.struct(F.lit(j).alias("rule"), F.to_json(F.struct(*(F.col(f"`{c}`") for c in r.unique))).alias("key"), _text(r.unique).alias("text")) for j, r in enumerate(keys)))
-    each = table.select(*(c.alias(n) for n, c in (flags | texts).items()), F.explode(sides).alias("_s"))
-    own = F.col("_s.rule") == -1
-    counts = [F.count_if(own & F.col(f"_b{i}")).alias(f"_n{i}") for i in range(len(rows))]
-    shown = [s for i in range(len(rows)) for s in _samples(own & F.col(f"_b{i}"), F.col(f"_t{i}"), f"_x{i}")]
-    groups = each.groupBy(F.col("_s.rule").alias("rule"), F.col("_s.key").alias("key")).agg(F.count("*").alias("n"), F.first("_s.text").alias("text"), *counts, *shown)
-    repeated = (F.col("rule") >= 0) & (F.col("n") > 1)
-    sums = [F.sum(f"_n{i}").alias(f"_n{i}") for i in range(len(rows))] + [F.min(f"_x{i}_{k}").alias(f"_x{i}_{k}") for i in range(len(rows)) for k in range(SAMPLES)]
-    by = groups.groupBy("rule").agg(F.count_if(repeated).alias("n"), *_samples(repeated, F.col("text"), "_k"), *sums)
-    results = [F.when(F.col("rule") == -1, F.struct(F.lit(r.name).alias("check_name"), F.col(f"_n{i}").alias("issue_count"), _joined(f"_x{i}").alias("details"))) for i, r in enumerate(rows)]
-    results += [F.when(F.col("rule") == j, F.struct(F.lit(r.name).alias("check_name"), F.col("n").alias("issue_count"), _joined("_k").alias("details"))) for j, r in enumerate(keys)]
-    found = by.select(F.explode(F.array_compact(F.array(*results))).alias("r")).select("r.*")
-    # an empty table has no rows to count: no issues
-    every = table.sparkSession.createDataFrame([(r.name,) for r in rules], "check_name string")
-    return every.join(F.broadcast(found), "check_name", "left").select("check_name", F.coalesce("issue_count", F.lit(0)).cast("long").alias("issue_count"), F.coalesce("details", F.lit("")).alias("details"))
+    names = list(dict.fromkeys(c for r in keys for c in r.unique))
+    kinds = {c: table.select(F.col(f"`{c}`")).schema[0].dataType.simpleString() for c in names}
+    value = {c: F.to_json(F.struct(F.col(f"`{c}`"))) if "map<" in k or "variant" in k else F.col(f"`{c}`") for c, k in kinds.items()}  # others can be grouped
+    held = {c: f"_k{i}" for i, c in enumerate(names)}
+
+    def entry(rule: int, text: F.Column, columns: tuple[str, ...] = ()) -> F.Column:
+        part = F.lit(-1) if columns else F.pmod(F.xxhash64(text), F.lit(SAMPLES)).cast("int")
+        return F.struct(F.lit(rule).alias("rule"), part.alias("part"), text.alias("text"), *(F.when(F.lit(c in columns), value[c]).alias(h) for c, h in held.items()))
+
+    sides = [F.when(F.coalesce(F.expr(r.bad), F.lit(False)), entry(i, _text(r.show or table.columns))) for i, r in enumerate(rows)]
+    sides += [entry(i, F.lit(None).cast("string"), r.unique) for i, r in enumerate(keys, len(rows))]
+    each = table.select(F.inline(F.array_compact(F.array(*sides))))
+    groups = each.groupBy("rule", "part", *held.values()).agg(F.count("*").alias("n"), F.min("text").alias("text")).where("part >= 0 or n > 1")
+    shown = F.col("text")
+    for i, r in enumerate(keys, len(rows)):
+        shown = F.when(F.col("rule") == i, _text(r.unique, held)).otherwise(shown)
+    sampled = groups.select("rule", F.when(F.col("part") < 0, 1).otherwise(F.col("n")).alias("n"), shown.alias("text"))
+    samples = [F.min(F.when(F.pmod(F.xxhash64("text"), F.lit(SAMPLES)) == k, F.col("text"))) for k in range(SAMPLES)]
+    by = sampled.groupBy("rule").agg(F.sum("n").alias("issue_count"), F.array_join(F.array_compact(F.array(*samples)), " | ").alias("details"))
+    # rules without issues have no row there
+    every = table.sparkSession.createDataFrame([(i, r.name) for i, r in enumerate((*rows, *keys))], "rule int, check_name string")
+    return every.join(F.broadcast(by), "rule", "left").select("check_name", F.coalesce("issue_count", F.lit(0)).cast("long").alias("issue_count"), F.coalesce("details", F.lit("")).alias("details"))
 
 
 def _fault(table: DataFrame | None, rule: Rule) -> str | None:

@@ -53,6 +53,17 @@ def test_fused_rules_find_what_single_checks_find(spark, tmp_path):
     assert {r.issue_count for r in Q.fused(spark, RULES, {"t": t.limit(0)}).collect()} == {0}
 
 
+def test_keys_go_through_the_shuffle_as_values_and_a_count(spark):
+    t = table(spark).withColumns({"at": F.timestamp_micros(F.col("k") + 1), "m": F.create_map("s", "b")}).where("s is not null")
+    rules = [*RULES, Q.unique("micros", "t", ["at"]), Q.unique("maps", "t", ["m", "a"]), Q.unique("odd", "t", ["a"], show=("k",))]
+    found = Q.fused(spark, rules, {"t": t})
+    got = {r.check_name: r for r in found.collect()}
+    assert {n: got[n].issue_count for n in ("micros", "unique_pair", "unique_k", "accepted")} == {n: c for n, c in (wanted(t) | {"micros": 0}).items() if n in ("micros", "unique_pair", "unique_k", "accepted")}
+    assert got["maps"].issue_count == t.groupBy("s", "b", "a").count().where("count > 1").count() and got["odd"].issue_count == 5
+    keys = Q._one_table(t, [r for r in rules if r.unique and r.name != "maps"])
+    assert "to_json" not in keys._jdf.queryExecution().optimizedPlan().toString()  # milliseconds, and text for each row
+
+
 def test_rules_that_cannot_be_asked_are_issues(spark):
     rules = [RULES[0], Q.required("no column", "t", ["none"]), Q.unique("no table", "x", ["k"]), Q.Rule("no sql", "t", bad="nothing(k)")]
     results = Q.fused_results(spark, rules, {"t": table(spark)})
