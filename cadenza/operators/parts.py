@@ -25,6 +25,8 @@ from .tables import ATTEMPTS, Change, Conflict, Snapshot, commit, read, snapshot
 from .upsert import one_per_key, upsert
 
 PART_ROWS = 1_000_000
+#: Up to so many parts are named to the scan of their filters, which passes over others; more are left to the join.
+FEW = 1000
 BLOCK_WORDS, KEY_BITS, PROBES = 8, 10, 7  # 512 bits a block, ten a key: some 1 % of foreign keys pass
 
 
@@ -71,7 +73,9 @@ class RangedTable:
         ranges = self.spark.read.schema(ranges.schema).parquet(f"{self.root}/_ranges/version={version}")
         sized = made.join(F.broadcast(ranges.select("_bucket", "blocks")), "_bucket")  # a row a part, as in the pointer
         words = [F.bit_or(w).alias(f"w{i}") for i, w in enumerate(_bits(self.keys))]
-        sized.groupBy("_bucket", _block(self.keys, "blocks").alias("block")).agg(*words).write.partitionBy("_bucket").parquet(f"{self.root}/_filters/version={version}")
+        filters = sized.groupBy("_bucket", _block(self.keys, "blocks").alias("block")).agg(*words)
+        # few files in the order of parts: a folder a part would hold a file of each task
+        filters.repartitionByRange("_bucket").sortWithinPartitions("_bucket", "block").write.parquet(f"{self.root}/_filters/version={version}")
         return {r["_bucket"]: (version, r["rows"]) for r in ranges.select("_bucket", "rows").collect()}
 
     def hit(self, rows: DataFrame, at: Snapshot) -> set[str]:
@@ -84,10 +88,12 @@ class RangedTable:
         keys = rows.select(*(F.col(k).alias(f"k_{i}") for i, k in enumerate(self.keys))).distinct()
         names = keys.columns
         near = stored(sweep_join(keys.withColumn("at", _key(names, 0)).withColumn("all", F.lit(1)), ranges, "all", "at", "low", "high"), "near")
-        paths = sorted(f"{self.root}/_filters/version={at.buckets[r['_bucket']][0]}/_bucket={r['_bucket']}" for r in near.select("_bucket").distinct().collect())
-        if not paths:
+        parts = sorted(r["_bucket"] for r in near.select("_bucket").distinct().collect())
+        if not parts:
             return set()
-        filters = self.spark.read.parquet(*paths).withColumn("_bucket", F.regexp_extract(F.col("_metadata.file_path"), "_bucket=([^/]+)/", 1))
+        filters = self.spark.read.parquet(*(f"{self.root}/_filters/version={v}" for v in sorted({at.buckets[p][0] for p in parts})))
+        if len(parts) <= FEW:
+            filters = filters.where(F.col("_bucket").isin(parts))
         met = near.withColumn("block", _block(names, "blocks")).join(filters.hint("merge"), ["_bucket", "block"])
         there = reduce(lambda a, b: a & b, (F.col(f"w{i}").bitwiseAND(bits) == bits for i, bits in enumerate(_bits(names))))
         return {r["_bucket"] for r in met.where(there).select("_bucket").distinct().collect()}

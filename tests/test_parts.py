@@ -66,6 +66,16 @@ def test_two_writers_of_the_same_new_key_leave_one_row(spark, tmp_path):
     assert change.read == done[0].written and content(two) == {1: "ours", 2: "theirs", 3: "ours"}
 
 
+def test_filters_lie_in_few_files_however_many_the_parts(spark, tmp_path, monkeypatch):
+    table = RangedTable(spark, str(tmp_path / "t"), ["k"], 50)
+    change = table.upsert(spark.range(0, 2000, 2).select(F.col("id").alias("k"), F.lit("old").alias("v")))
+    assert len(change.written) >= 18 and len(list(tmp_path.glob("t/_filters/**/*.parquet"))) <= 4  # the tests' number of tasks
+    keys = frame(spark, [(100, "a"), (1500, "a")])
+    few = table.hit(keys, table.snapshot())
+    monkeypatch.setattr("cadenza.operators.parts.FEW", 0)
+    assert table.hit(keys, table.snapshot()) == few and 2 <= len(few) <= 3
+
+
 def test_null_keys_are_equal(spark, tmp_path):
     table = RangedTable(spark, str(tmp_path / "t"), ["a", "b"], 500)
     rows = lambda v: spark.createDataFrame([(None, None, v), (1, None, v), (None, "x", v), (1, "x", v)], "a int, b string, v string")
