@@ -1,9 +1,10 @@
 """The pipeline's near duplicates: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-Words and their hashes are those of operator 4, whose radius of 3 bits finds only a small part of these pairs, and whose
-fingerprint puts pairs at 0.8 about 10 of 64 bits apart, a radius that no segment table holds at scale. So candidates
-come from MinHash instead: 14 bands of 5 minima meet for a pair at 0.8 with a probability of 0.996, for one at 0.9
-with 0.99999. Each candidate's similarity is then computed exactly from both sets of hashes, and
+Words, hashes, fingerprints and their search are those of operator 4, over five words: texts whose fingerprints are linked
+by steps of 3 bits or fewer are candidates. That radius finds only a small part of the pairs at 0.8, whose fingerprints are about 10 of 64 bits
+apart, a radius that no segment table holds at scale. So candidates also
+come from MinHash: 14 bands of 5 minima meet for a pair at 0.8 with a probability of 0.996, for one at 0.9
+with 0.99999. A fingerprint's class is one more band, and each candidate's similarity is then computed exactly from both sets of hashes, and
 verified pairs are joined to components, which makes likeness transitive.
 
 Texts with the same words, whatever their case and white space, are one entry, however many documents hold them. In a
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .common import written
 from .components import components
-from .simhash import only, shingle_hashes
+from .simhash import fingerprint_of, links, only, shingle_hashes
 
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 14, 5
@@ -55,7 +56,7 @@ def bands(hashes: np.ndarray) -> list[int]:
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """A row per document: tag is a hash of the text, entry one of its words."""
+    """A row per document: tag is a hash of the text, entry one of its words, fp the fingerprint of its shingles."""
     from xxhash import xxh64_intdigest
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -64,12 +65,23 @@ def signed(docs: DataFrame) -> DataFrame:
                 part = batch.slice(at, 1000)
                 texts = part.column("text").to_pylist()
                 entry = [xxh64_intdigest(b" ".join((t or "").encode("utf-8", "replace").lower().split()), 1) for t in texts]
-                sets = [np.unique(shingle_hashes(t, SHINGLE_WORDS)) for t in texts]
-                keys = [np.array(bands(s) if len(s) else [], np.uint64).view(np.int64) for s in sets]
-                columns = [part.column("doc_id"), part.column("tag"), pa.array(np.array(entry, np.uint64).view(np.int64)), pa.array(keys, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "tag", "entry", "bands"])
+                fps, keys = [], []
+                for t in texts:
+                    hashes = shingle_hashes(t, SHINGLE_WORDS)
+                    fps.append(fingerprint_of(hashes))
+                    keys.append(np.array(bands(np.unique(hashes)) if len(hashes) else [], np.uint64).view(np.int64))
+                columns = [part.column("doc_id"), part.column("tag"), *(pa.array(np.array(c, np.uint64).view(np.int64)) for c in (entry, fps)), pa.array(keys, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "tag", "entry", "fp", "bands"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("tag"), "text").mapInArrow(hashed, "doc_id long, tag long, entry long, bands array<long>")
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("tag"), "text").mapInArrow(hashed, "doc_id long, tag long, entry long, fp long, bands array<long>")
+
+
+def with_classes(entries: DataFrame) -> DataFrame:
+    """Entries whose bands hold one more: the class of their fingerprint, found as operator 4 finds its components."""
+    member = components(links(entries.where("size(bands) > 0").select("fp").distinct()))
+    rooted = entries.hint("merge").join(member, entries.fp == member.node, "left")
+    own = F.array(F.xxhash64(F.coalesce("root", "fp"), F.lit("simhash")))
+    return rooted.withColumn("bands", F.when(F.size("bands") > 0, F.concat("bands", own)).otherwise(F.col("bands"))).select(*entries.columns)
 
 
 def shingled(texts: DataFrame) -> DataFrame:
@@ -205,8 +217,8 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     rows = written(signed(docs), "signed")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), "tag"))
     # rows with the same entry have the same bands, so a copy's bands may be any row's
-    bare = rows.groupBy("entry").agg(least.alias("k"), F.first("bands").alias("bands"))
-    bare = written(bare, "entries")
+    bare = rows.groupBy("entry").agg(least.alias("k"), F.first("fp").alias("fp"), F.first("bands").alias("bands"))
+    bare = written(with_classes(written(bare, "bare")).drop("fp"), "entries")
     met = written(buckets(bare.select("entry", "bands")), "buckets")
     pairs = written(candidates(met), "candidates")
     named = pairs.select(F.explode(F.array("a", "b")).alias("entry")).distinct()

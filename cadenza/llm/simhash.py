@@ -47,7 +47,10 @@ def shingle_hashes(text: str | None, shingle_words: int = SHINGLE_WORDS) -> np.n
 
 
 def fingerprint(text: str | None) -> int:
-    hashes = shingle_hashes(text)
+    return fingerprint_of(shingle_hashes(text))
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
     n = len(hashes)
     ones = np.zeros(64, np.int64)
     for at in range(0, n, 1 << 13):  # bounded memory for long texts

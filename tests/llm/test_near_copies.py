@@ -109,3 +109,23 @@ def test_blocks_join_what_is_similar():
 def alike(a, b):
     x, y = (set(memoryview(r["shingles"]).cast("Q")) for r in (a, b))
     return len(x & y) >= 0.8 * len(x | y)
+
+
+def test_fingerprints_alone_find_candidates_that_are_verified(spark, monkeypatch):
+    """MinHash finds nothing here: bands of a text are its own. What operator 4's search links is compared, and only what is similar goes."""
+    from cadenza.llm.simhash import fingerprint_of, shingle_hashes
+
+    from xxhash import xxh64_intdigest
+
+    own = lambda hashes: [xxh64_intdigest(hashes.tobytes(), k) for k in range(N.BANDS)]
+    monkeypatch.setattr(N, "bands", own)
+    rng, texts, want = random.Random(8), [], set()
+    for k in range(12):
+        text = prose(300 + k, 400, 10**6)
+        texts += [text, replaced(rng, text, 200)]
+        a, b = (fingerprint_of(shingle_hashes(t, N.SHINGLE_WORDS)) for t in texts[-2:])
+        want |= {2 * k} if (a ^ b).bit_count() <= 3 else {2 * k, 2 * k + 1}
+    assert len(want) < len(texts)
+    assert {r.doc_id for r in N.one_of_each(frame(spark, texts)).collect()} == want
+    monkeypatch.setattr(N, "SIMILARITY", 1.0)
+    assert N.one_of_each(frame(spark, texts)).count() == len(texts)
