@@ -20,6 +20,9 @@ Null texts count as empty; a null doc_id sorts first. Repeated doc_ids are separ
 by the text's hash and then the text, so that a hot id is spread over files; only rows with equal id and text are
 kept together. An empty table gives no records. Other columns are ignored. A text that holds a zero byte or
 begins with white space is encoded as one piece.
+
+Workers take texts in small slices, since the lists and arrays that encode a slice take some ten times its bytes; they give
+unused memory back after each batch and what they know of chunks when files are read, so that it adds little to an executor's.
 """
 
 from __future__ import annotations
@@ -41,6 +44,8 @@ from .common import slices, table, work_folder
 
 TEXT_BYTES_PER_FILE = 32 << 20
 CACHED_CHUNKS = 300_000
+#: Texts are encoded in slices of about so many bytes.
+ENCODE_BYTES = 1 << 20
 INDEX = "file int, ordinal int, offset long, length long, doc_id long, n_tokens long, start_in_file long, ids_crc32 long"
 
 _HEAD = struct.Struct("<QI")
@@ -54,7 +59,7 @@ _UNSAFE = rf"[ \n][{_SPACE}]|^[{_SPACE}]"
 _SAFE = rf"([ \n])([^{_SPACE}])"
 
 
-def masked_crc(data: bytes) -> int:
+def masked_crc(data: bytes | memoryview) -> int:
     crc = zlib.crc32(data)
     return (((crc >> 15) | (crc << 17)) + 0xA282EAD8) & 0xFFFFFFFF
 
@@ -177,7 +182,7 @@ def frame(doc_id: int | None, ids: bytes, width: int) -> bytes:
     return length + _CRC.pack(masked_crc(length)) + payload + _CRC.pack(masked_crc(payload))
 
 
-def frames(data: bytes) -> Iterator[tuple[int, int, int | None, np.ndarray]]:
+def frames(data: bytes | memoryview) -> Iterator[tuple[int, int, int | None, np.ndarray]]:
     """(offset, length with its newline, doc_id, ids) of each record; a wrong checksum is an error."""
     at = 0
     while at < len(data):
@@ -192,19 +197,25 @@ def frames(data: bytes) -> Iterator[tuple[int, int, int | None, np.ndarray]]:
         at += size + 17
 
 
+def encoded(batches: Iterator[pa.RecordBatch], tokenizer_file: str, end_id: int) -> Iterator[pa.RecordBatch]:
+    """The frame of each row (doc_id, text)."""
+    encoder = encoder_of(tokenizer_file)
+    end, width = encoder.pack([end_id]), encoder.dtype.itemsize
+    for batch in batches:
+        for part in slices(batch, "text", ENCODE_BYTES):
+            ids = encoder.encode(part.column("text"))
+            out = [frame(d, x + end, width) for d, x in zip(part.column("doc_id").to_pylist(), ids)]
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["frame"])
+        pa.default_memory_pool().release_unused()
+
+
 def write_token_records(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, bytes_per_file: int = TEXT_BYTES_PER_FILE) -> None:
     """Encode ``docs`` (doc_id, text) in ascending doc_id order into numbered files under ``path``/data."""
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).withColumn("tag", F.xxhash64("text"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(tokenizer_file)
-        end, width = encoder.pack([end_id]), encoder.dtype.itemsize
-        for batch in batches:
-            for part in slices(batch, "text"):
-                ids = encoder.encode(part.column("text"))
-                out = [frame(d, x + end, width) for d, x in zip(part.column("doc_id").to_pylist(), ids)]
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["frame"])
+        return encoded(batches, tokenizer_file, end_id)
 
     parts = docs.repartitionByRange(max(1, -(-total // bytes_per_file)), "doc_id", "tag").sortWithinPartitions("doc_id", "tag", "text")
     parts.select("doc_id", "text").mapInArrow(encode, "frame binary").select(F.col("frame").cast("string").alias("value")).write.option("lineSep", "\n").text(f"{path}/data")
@@ -214,9 +225,11 @@ def _read(spark: SparkSession, path: str, schema: str, rows) -> DataFrame:
     """``rows(file, data)`` of every file."""
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder_of.cache_clear()  # files are read when all are written
         for batch in batches:
             for name, data in zip(batch.column("path"), batch.column("content")):
-                yield from rows(int(re.search(r"part-(\d+)", name.as_py())[1]), data.as_py())
+                yield from rows(int(re.search(r"part-(\d+)", name.as_py())[1]), memoryview(data.as_buffer()))
+            pa.default_memory_pool().release_unused()
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{path}/data")
     return files.select("path", "content").mapInArrow(parse, schema)
@@ -225,7 +238,7 @@ def _read(spark: SparkSession, path: str, schema: str, rows) -> DataFrame:
 def write_index(spark: SparkSession, path: str) -> None:
     """Check every record and write the offset index to ``path``/index."""
 
-    def rows(file: int, data: bytes) -> Iterator[pa.RecordBatch]:
+    def rows(file: int, data: memoryview) -> Iterator[pa.RecordBatch]:
         out, start = [], 0
         for i, (offset, length, doc_id, ids) in enumerate(frames(data)):
             out.append((file, i, offset, length, doc_id, len(ids), start, zlib.crc32(ids.astype("<u4").tobytes())))
@@ -248,7 +261,7 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, file, ordinal, ids) of every record."""
 
-    def rows(file: int, data: bytes) -> Iterator[pa.RecordBatch]:
+    def rows(file: int, data: memoryview) -> Iterator[pa.RecordBatch]:
         for i, (_, _, doc_id, ids) in enumerate(frames(data)):
             yield pa.RecordBatch.from_arrays([pa.array([doc_id], pa.int64()), pa.array([file], pa.int32()), pa.array([i], pa.int32()), pa.array([ids.astype(np.int32)], pa.list_(pa.int32()))], ["doc_id", "file", "ordinal", "ids"])
 

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -44,6 +45,26 @@ def test_slices_hold_all_rows():
     assert [b.num_rows for b in got] == [3, 1, 3] and pa.Table.from_batches(got).equals(pa.Table.from_batches([batch]))
 
 
+def test_a_worker_s_memory_stays_small():
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(5000)]
+    texts = [" ".join(rng.choices(words, k=400)) for _ in range(5000)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    list(R.encoded(iter([batch.slice(0, 10)]), FILE, 2))
+    tracemalloc.start()
+    n = sum(b.num_rows for b in R.encoded(iter([batch]), FILE, 2))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert batch.nbytes > 10 << 20 and n == len(texts) and most < 40 << 20
+
+
+def test_reading_takes_no_copy():
+    data = b"".join(R.frame(i, b"\1\0\2\0", 2) + b"\n" for i in range(3))
+    assert [(at, d, ids.tolist()) for at, _, d, ids in R.frames(memoryview(data))] == [(at, d, ids.tolist()) for at, _, d, ids in R.frames(data)]
+    (_, _, _, ids), *_ = R.frames(memoryview(data))
+    assert np.shares_memory(ids, np.frombuffer(data, np.uint8))
+
+
 def test_files_hold_all_documents_in_order(spark, docs, rows):
     path = R.work_folder(spark, "tokens")
     R.write_token_records(docs, path, FILE, 2, bytes_per_file=100_000)
