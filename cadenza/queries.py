@@ -38,8 +38,19 @@ def query(sql: str, texts: tuple[str, ...] = ()):
     return register
 
 
+def rounded(x: F.Column | str, digits: int) -> F.Column:
+    """A double as DuckDB's round gives it: that multiple of a power of ten which is nearest to the product, halves away from zero.
+
+    Spark's round goes by the double's shortest decimal text. The two part where a product is a half and the text is not, or the other way round.
+    """
+    x, power = F.col(x) if isinstance(x, str) else x, F.lit(10.0**digits)
+    product = x * power
+    nearest = F.when(F.abs(product - F.rint(product)) == 0.5, product + F.signum(product) / 2).otherwise(F.rint(product))
+    return F.when(F.abs(product) == float("inf"), x).otherwise(nearest / power)
+
+
 def r(name: str, digits: int = 4) -> F.Column:
-    return F.round(name, digits).alias(name)
+    return rounded(name, digits).alias(name)
 
 
 def effort_columns(found: DataFrame) -> DataFrame:
@@ -383,7 +394,7 @@ FROM (SELECT * FROM x WHERE i = 1 AND NOT ok) a FULL JOIN (SELECT * FROM x WHERE
 def top_excluded_vs_eligible(t):
     e = t("lineitem").select(F.lit("watts").alias("metric_name"), F.col("l_returnflag").alias("duration_seconds"), (F.col("l_linestatus") == "F").alias("is_record_eligible"), F.col("l_extendedprice").alias("peak_value"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("activity_id"))
     found = reports.excluded_against_eligible(e)
-    return found.select(F.col("duration_seconds").alias("flag"), F.col("excluded_activity_id").alias("excluded_id"), F.col("eligible_activity_id").alias("eligible_id"), F.round("watt_difference", 2).alias("difference"))
+    return found.select(F.col("duration_seconds").alias("flag"), F.col("excluded_activity_id").alias("excluded_id"), F.col("eligible_activity_id").alias("eligible_id"), rounded("watt_difference", 2).alias("difference"))
 
 
 @query("SELECT rows_per_key, count(*) AS keys FROM (SELECT count(*) AS rows_per_key FROM lineitem GROUP BY l_orderkey) GROUP BY 1")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .plans import reports
 from .quality import fused as Q
-from .queries import query
+from .queries import query, r
 
 RULES = [
     Q.required("line_quantity", "lineitem", ["l_quantity"], "l_quantity > 2 and l_discount < 0.1", severity="CRITICAL", show=("l_orderkey", "l_linenumber")),
@@ -64,7 +64,7 @@ def latest_transforms(t):
         F.col("l_linenumber").alias("duration_seconds"),
     )
     found = reports.latest_transforms(_runs(t), batches)
-    return found.select("entity", "run_id", "failed_batches", "rows_written", F.round("rows_per_second", 4).alias("rows_per_second"))
+    return found.select("entity", "run_id", "failed_batches", "rows_written", r("rows_per_second"))
 
 
 @query("""

@@ -12,7 +12,7 @@ from .operators import reconcile as R
 from .operators import upsert as U
 from .plans import outbox, reports, silver
 from .quality import families as V
-from .queries import query
+from .queries import query, rounded
 from .sources import shape
 
 # --- responses, made from tables as JSON, to typed rows
@@ -24,7 +24,7 @@ def shape_activities(t):
     one = F.struct(F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderkey")).alias("id"), F.col("o_orderpriority").alias("name"), F.col("o_totalprice").alias("distance"), (F.col("o_totalprice") / 7).alias("moving_time"), device.alias("device_watts"))
     pages = t("orders").groupBy("o_custkey").agg(F.to_json(F.collect_list(one)).alias("payload"))
     good, _ = shape.activities(pages)
-    return good.select("activity_id", "activity_name", F.round("distance_metres", 2).alias("distance"), F.col("moving_time_seconds").alias("moving"), F.col("is_device_watts").alias("device"), F.col("stream_status").alias("status"))
+    return good.select("activity_id", "activity_name", rounded("distance_metres", 2).alias("distance"), F.col("moving_time_seconds").alias("moving"), F.col("is_device_watts").alias("device"), F.col("stream_status").alias("status"))
 
 
 @query("SELECT o_orderdate AS day, count(*) AS rejected FROM orders WHERE o_orderpriority = '5-LOW' GROUP BY 1")
@@ -174,7 +174,7 @@ def power_cutover(t):
 def silver_activities(t):
     o = t("orders").select(F.col("o_orderkey"), F.lit("Ride").alias("sport_type"), F.col("o_totalprice").alias("distance_metres"), F.col("o_custkey").cast("double").alias("average_speed_metres_per_second"), F.col("o_orderdate").cast("timestamp_ntz").alias("start_datetime_local"), F.lit("").alias("raw_payload"), F.lit("").alias("source_identity_text"))
     s = silver.silver_activities(o)
-    return s.select("o_orderkey", F.round("distance_kilometres", 6).alias("km"), F.round("distance_miles", 6).alias("miles"), F.round("average_speed_kilometres_per_hour", 6).alias("kmh"), F.col("start_date_local").cast("string").alias("day"))
+    return s.select("o_orderkey", rounded("distance_kilometres", 6).alias("km"), rounded("distance_miles", 6).alias("miles"), rounded("average_speed_kilometres_per_hour", 6).alias("kmh"), F.col("start_date_local").cast("string").alias("day"))
 
 
 @query("""

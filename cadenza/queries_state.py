@@ -17,7 +17,7 @@ from .operators.tables import publish, published
 from .quality import families as V
 from .quality.gate import Refused, gate
 from .quality.runner import Check
-from .queries import EFFORTS, ORACLE_SQL, ORDER, RECORDS, effort_columns, query, r
+from .queries import EFFORTS, ORACLE_SQL, ORDER, RECORDS, effort_columns, query, r, rounded
 
 #: Orders before this day are the history whose state is kept, those from it on are new.
 START = "1997-03-17"
@@ -101,7 +101,7 @@ def _load(t, longest):
     levels = orders.groupBy("o_custkey", F.add_months(F.trunc("d", "month"), 1).alias("valid_from")).agg(F.max("o_totalprice").alias("ftp"))
     found = C.asof_join(orders, levels, ["o_custkey"], "d", "valid_from", ["valid_from", "ftp"], longest)
     intensity = F.col("o_totalprice") / F.col("ftp")
-    return found.select("o_custkey", "o_orderkey", F.col("valid_from").cast("string").alias("valid_from"), F.round("ftp", 2).alias("ftp_used"), F.round(intensity, 4).alias("intensity"), F.round(100 * intensity * intensity, 4).alias("stress"))
+    return found.select("o_custkey", "o_orderkey", F.col("valid_from").cast("string").alias("valid_from"), rounded("ftp", 2).alias("ftp_used"), rounded(intensity, 4).alias("intensity"), rounded(100 * intensity * intensity, 4).alias("stress"))
 
 
 @query(FTP)
